@@ -33,7 +33,7 @@ METHOD = (
     Rule("n_words", most=1_000_000),
     Rule("mean_word_chars", least=2, most=20),
     Rule("symbol_ratio", most=0.1),
-    Rule("dup_line_ratio", most=0.3),
+    Rule("dup_line_ratio", most=0.6),
     Rule("stop_ratio", least=0.02),
     Rule("caps_ratio", most=0.5),
 )
@@ -133,7 +133,7 @@ r AS (
 ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND n_words <= 1000000 AND word_chars / n_words BETWEEN 2 AND 20 AND n_symbols / n_words <= 0.1
-       AND n_dup_lines / n_lines <= 0.3 AND n_stop / n_words >= 0.02 AND coalesce(n_caps / nullif(n_letters, 0) <= 0.5, true) AS kept
+       AND n_dup_lines / n_lines <= 0.6 AND n_stop / n_words >= 0.02 AND coalesce(n_caps / nullif(n_letters, 0) <= 0.5, true) AS kept
 FROM b
 """
 

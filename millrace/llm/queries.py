@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, language_id, license_scan, mixing, quality_classifier, quality_rules, url_filter
 from .common import table
 
 
@@ -12,13 +12,36 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(spark, docs, language_id.train(docs))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(spark, table(spark, sf_dir, "pages"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score_quality(spark, docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op4_quality_rules, op10_exact_dedup)}
-ORACLE_SQL = {"op2_mixing": mixing.ORACLE_SQL, "op4_quality_rules": quality_rules.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op8_url_filter, op9_quality_classifier, op10_exact_dedup)}
+ORACLE_SQL = {
+    "op2_mixing": mixing.ORACLE_SQL,
+    "op3_license_scan": license_scan.ORACLE_SQL,
+    "op4_quality_rules": quality_rules.ORACLE_SQL,
+    "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+}
