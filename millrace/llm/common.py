@@ -137,12 +137,10 @@ def word_hashes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     if not len(start):
         return np.empty(0, dtype=np.uint64)
     long = end - start
-    at = np.arange(len(buffer)) - np.repeat(np.append(start, len(buffer)), np.diff(np.concatenate(([0], start[1:], [len(buffer), len(buffer)]))))
+    at = np.arange(len(buffer)) - np.repeat(start, np.diff(np.concatenate(([0], start[1:], [len(buffer)]))))
     at[: start[0]] = 0
     power = _POW if int(long.max()) <= len(_POW) else _powers(int(long.max()), _ODD)
     value = _BYTE[buffer] * power[np.minimum(at, len(power) - 1)]
-    bounds = np.empty(2 * len(start), dtype=np.int64)
-    bounds[::2], bounds[1::2] = start, end
     total = np.zeros(len(buffer) + 1, dtype=np.uint64)
     np.cumsum(value, out=total[1:])
     return mix((total[end] - total[start]) ^ (long.astype(np.uint64) << np.uint64(48)))
@@ -156,6 +154,34 @@ def combine(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def shingle_sets(texts: list[bytes], width: int = 5, step: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The sorted distinct hashes of each text's shingles of ``width`` words.
+
+    A text with fewer words has its whole sequence as its one shingle; without
+    words the set is empty.  Texts are hashed together, about ``step`` bytes
+    at a time.
+    """
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= step):
+            size += len(texts[j]) + 1
+            j += 1
+        buffer, start, end = words_of(b"\n".join(texts[i:j]))
+        hashes = word_hashes(buffer, start, end)
+        edge = np.cumsum([0, *(len(t) + 1 for t in texts[i:j])])
+        at = np.searchsorted(start, edge)
+        many = combine([hashes[k : len(hashes) - width + 1 + k] for k in range(width)]) if len(hashes) >= width else hashes[:0]
+        for a, b in zip(at[:-1], at[1:]):
+            if b - a >= width:
+                yield np.unique(many[a : b - width + 1])
+            elif b > a:
+                yield combine([hashes[k : k + 1] for k in range(a, b)])
+            else:
+                yield hashes[:0]
+        i = j
+
+
 def texts_of(column) -> Iterator[bytes]:
     """UTF-8 bytes of each value of an Arrow string column; null as empty."""
     import pyarrow as pa

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, license_scan, mixing, quality_classifier, quality_rules, url_filter
+from . import exact_dedup, jaccard_join, language_id, license_scan, mixing, quality_classifier, quality_rules, url_filter
 from .common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(spark, table(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op8_url_filter, op9_quality_classifier, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op8_url_filter, op9_quality_classifier, op10_exact_dedup)}
 ORACLE_SQL = {
     "op2_mixing": mixing.ORACLE_SQL,
     "op3_license_scan": license_scan.ORACLE_SQL,
