@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, language_id, license_scan, mixing, quality_classifier, quality_rules, url_filter
+from . import exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, sharding, url_filter
 from .common import table
 
 
@@ -29,6 +30,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(spark, docs, language_id.train(docs))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(spark, table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(spark, table(spark, sf_dir, "pages"))
 
@@ -42,7 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op8_url_filter, op9_quality_classifier, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op6_sharding, op7_packing, op8_url_filter, op9_quality_classifier, op10_exact_dedup)}
 ORACLE_SQL = {
     "op2_mixing": mixing.ORACLE_SQL,
     "op3_license_scan": license_scan.ORACLE_SQL,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import Shared, power_of_two
 
-BINS = 512
+BINS = 2048
 #: Histograms of so many nodes are taken in one aggregation.
 NODES = 256
 
@@ -59,15 +59,11 @@ class Node:
 
 def leaf_of(node: Node, value) -> Column:
     """The value of the leaf that a row falls in."""
-    if node.cut is None:
+    if node.left is None:
         return F.lit(value(node))
     return F.when(node.cut.left(), leaf_of(node.left, value)).otherwise(leaf_of(node.right, value))
 
 
-def leaves(node: Node) -> list[Node]:
-    return [node] if node.cut is None else leaves(node.left) + leaves(node.right)
-
-
 def _measure(rows: DataFrame, root: Node, nodes: list[Node], dims: list[str]) -> None:
     """Weight and ranges of each open node."""
     number = {id(n): i for i, n in enumerate(nodes)}
