@@ -50,16 +50,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total_s
     return sizes.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, total_share: float = 1.5, most_epochs: int = 2, seed: str = "mix", bucket_rows: int = 20_000) -> DataFrame:
+def mix_sources(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, total_share: float = 1.5, most_epochs: int = 2, seed: str = "mix", bucket_rows: int = 20_000, carry: tuple[str, ...] = (), broadcast_rows: int = 100_000) -> DataFrame:
     """Words each document gives to a mix of the sources at their target weights.
 
-    Returns doc_id, size, source, source_size, target, taken.  Documents of a
+    Returns doc_id, size, source, source_size, target, taken, and the columns
+    of ``docs`` named in ``carry``.  Documents of a
     source are laid out in the order of a hash of id and seed; whole epochs
     are repeated while they fit the budget (the target rounded down), and the
     last epoch is cut at the exact word.  A null source is a source of its
     own; null and empty texts have size 0 and give nothing; rows repeated under
     one id follow each other, and rows equal in id and size are
-    interchangeable.  Only the three named columns are read.
+    interchangeable.  Only the columns named are read.
 
     The order within a source is by key, so the leading bits of the key split
     each source into ranges of about ``bucket_rows`` rows: sums of the ranges,
@@ -68,22 +69,27 @@ def mix_sources(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     """
     shared = Shared(spark, "mixing")
     key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
-    rows = shared.keep(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), count_words(F.col(text_col)).alias("size"), key.alias("key")), "sizes")
-    bits = min(32, power_of_two(rows.count() / bucket_rows, 1).bit_length() - 1)
-    rows = rows.withColumn("bucket", F.shiftrightunsigned(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits))
-    ranges = shared.keep(rows.groupBy("source", "bucket").agg(F.sum("size").alias("range_size")), "ranges")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), count_words(F.col(text_col)).alias("size"), key.alias("key"), *[F.col(c).alias(f"carried {c}") for c in carry])
+    slim = shared.keep(rows.select("doc_id", "source", "size", "key"), "sizes")
+    if not carry:
+        rows = slim  # else texts are read again, not written
+    bits = min(32, power_of_two(slim.count() / bucket_rows, 1).bit_length() - 1)
+    bucket = F.shiftrightunsigned(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits)
+    ranges = shared.keep(slim.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("range_size")), "ranges")
     targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, total_share, most_epochs)
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select("source", "bucket", F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("ahead"))
     plan = offsets.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select(F.col("o.source").alias("p_source"), F.col("o.bucket").alias("p_bucket"), "ahead", "source_size", "target")
+    if ranges.count() <= broadcast_rows:  # one row for each range; beyond that the join shuffles
+        plan = F.broadcast(plan)
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = rows.withColumn("bucket", bucket).withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.join(plan, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("bucket") == F.col("p_bucket")))
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest("source_size", F.lit(1)))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size") - F.col("ahead") - F.col("within")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return placed.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"), *[F.col(f"carried {c}").alias(c) for c in carry])
 
 
 ORACLE_SQL = r"""

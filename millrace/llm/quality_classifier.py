@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import combine, draw, in_training, texts_of, word_hashes, words_of
 
@@ -124,8 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(x, np.array([r["label"] for r in sample]), cut=cut)
 
 
-def score_quality(spark: SparkSession, docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Returns doc_id, held_out, score, predicted for each document; other columns are not read.
+def score_quality(spark: SparkSession, docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Returns doc_id, held_out, score, predicted for each document, and its columns named in ``carry``.
 
     The score of a text depends on its bytes only.  Null and empty texts have
     the score of a text without words.  A narrow pass: no shuffle.
@@ -133,9 +134,11 @@ def score_quality(spark: SparkSession, docs: DataFrame, ranker: Ranker, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array([features(t) for t in texts_of(b.column("text"))]).reshape(-1, len(FEATURES))
+            x = np.array([features(t) for t in texts_of(b.column(0))]).reshape(-1, len(FEATURES))
             s = ranker.score(x)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= ranker.cut).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            kept = b.columns[1:]
+            yield pa.RecordBatch.from_arrays([*kept[:2], pa.array(s), pa.array((s >= ranker.cut).astype(np.int32)), *kept[2:]], names=["doc_id", "held_out", "score", "predicted", *carry])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (~in_training(F.col(id_col))).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select(F.col(text_col).cast("string").alias("scored text"), F.col(id_col).cast("long").alias("doc_id"), (~in_training(F.col(id_col))).alias("held_out"), *carry)
+    out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), *(docs.schema[c] for c in carry)])
+    return rows.mapInArrow(run, out)
