@@ -96,7 +96,7 @@ def build(grams: dict[str, dict[int, int]]) -> Model:
         p3 = predict_order(three, p2[seen % SYMBOLS**2])
         bits[: SYMBOLS**2, :, i] = -np.log2(p2)
         bits[SYMBOLS**2 :, :, i] = -np.log2(p3)
-    return Model(languages, symbol, row, bits.reshape(-1, len(languages)))
+    return Model(languages, symbol, row, bits.reshape(len(bits) * SYMBOLS, len(languages)))
 
 
 def code_lengths(model: Model, texts: list[bytes], most_bytes: int = 1 << 20) -> np.ndarray:
