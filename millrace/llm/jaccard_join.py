@@ -12,9 +12,10 @@ only documents that meet in a bucket (one n-gram) can be linked.
 1. Documents with equal sets are one node from the start: their copies are
    dropped from each task's postings, and repeated ones in the bucket.
 2. Stars: in each bucket, members are paired with a leader only, so a bucket
-   of m members costs m pairs.  Pairs pass length and positional filters, then
-   are verified once each (a suffix filter first), and linked nodes get
-   components.
+   of m members costs m pairs.  The leader is the member with the most frequent
+   n-grams, which in a group of near copies is the least changed one.  Pairs
+   pass length and positional filters, then are verified once each (a suffix
+   filter first), and linked nodes get components.
 3. Gaps: buckets that still hold different components give all pairs between
    different components (never inside one) that pass the filters; these are
    verified too.  What is then not linked has no path of links.
@@ -91,18 +92,32 @@ def _survey(width: int):
         me = TaskContext.get().partitionId()
         for k, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 3 + [pa.array([k], pa.int32()), pa.array([me], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], names=names)
+                part = packed(part)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 3 + [pa.array([k], pa.int32()), pa.array([me], pa.int32()), pa.array([part])], names=names)
 
     return run
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """One block of counts as its filled slots and their values."""
+    at = np.flatnonzero(counts)
+    return zlib.compress(at.astype(np.uint16).tobytes() + counts[at].astype(np.uint64).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The counts of a block, all slots."""
+    data = zlib.decompress(data)
+    n, out = len(data) // 10, np.zeros(1 << BLOCK_BITS, dtype=np.uint64)
+    out[np.frombuffer(data, np.uint16, n)] = np.frombuffer(data, np.uint64, n, 2 * n)
+    return out
+
+
 def _add(part: pd.DataFrame) -> pd.DataFrame:
     """The sum of a few tasks' counts of one block."""
     counts = np.zeros(1 << BLOCK_BITS, dtype=np.uint64)
     for x in part["counts"]:
-        x = zlib.decompress(x)
-        counts += np.frombuffer(x, np.uint32 if len(x) == 4 << BLOCK_BITS else np.uint64)
-    return pd.DataFrame({"block": part["block"].iloc[:1], "part": part["part"].iloc[:1] // FAN_IN, "counts": [zlib.compress(counts.tobytes(), 1)]})
+        counts += unpacked(x)
+    return pd.DataFrame({"block": part["block"].iloc[:1], "part": part["part"].iloc[:1] // FAN_IN, "counts": [packed(counts)]})
 
 
 def count_table(shared: Shared, survey: DataFrame) -> np.ndarray:
@@ -116,8 +131,7 @@ def count_table(shared: Shared, survey: DataFrame) -> np.ndarray:
             parts = shared.keep(parts, f"counts{level}")
     table = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << BLOCK_BITS), dtype=np.uint8)
     for r in parts.toLocalIterator():
-        counts = np.frombuffer(zlib.decompress(r["counts"]), np.uint64)
-        table[r["block"]] = np.minimum(255, np.ceil(SCALE * np.log2(np.maximum(counts, 1))))
+        table[r["block"]] = np.minimum(255, np.ceil(SCALE * np.log2(np.maximum(unpacked(r["counts"]), 1))))
     return table.reshape(-1)
 
 
@@ -127,22 +141,26 @@ def ordered(h: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def _post(width: int, percent: int, owner_bits: int, hot_rows: int, shared_table, flush: int = 500_000):
-    """Blobs of postings (key, sig, n, position) for the owners of their keys."""
-
-    def blobs(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
-        key = np.concatenate([k for k, _, _ in held])
-        long = [len(k) for k, _, _ in held]
-        sig = np.repeat(np.array([s for _, s, _ in held], np.int64), long)
-        n = np.repeat(np.array([n for _, _, n in held], np.int32), long)
-        at = np.concatenate([np.arange(x, dtype=np.int32) for x in long])
+    """Blobs of postings (key, sig, n, hub, position) for the owners of their keys.
+
+    A position past 65 535 is sent as that: filters only get looser by it.
+    ``hub`` is the mean frequency of all of a document's n-grams: in a group
+    of near copies, the one with the fewest changes of its own has the highest.
+    """
+
+    def blobs(held: list[tuple[np.ndarray, int, int, int]]) -> pa.RecordBatch:
+        long = [len(x[0]) for x in held]
+        key = np.concatenate([x[0] for x in held])
+        sig, n, hub = (np.repeat(np.array([x[i] for x in held], t), long) for i, t in ((1, np.int64), (2, np.int32), (3, np.uint16)))
+        at = np.concatenate([np.minimum(np.arange(x), 65535).astype(np.uint16) for x in long])
         pieces = np.ceil(np.exp2((key >> np.uint64(56)).astype(np.float64) / SCALE) / hot_rows).astype(np.int64)
         salt = np.where(pieces > 1, sig % np.maximum(pieces, 1), 0)
         owner = (mix(key + salt.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - owner_bits)).astype(np.int64)
         order = np.argsort(owner, kind="stable")
-        owner, key, sig, n, at = owner[order], key[order], sig[order], n[order], at[order]
-        cut = np.flatnonzero(np.diff(owner, prepend=-1))
-        rows = [(int(owner[a]), *(x[a:b].tobytes() for x in (key, sig, n, at))) for a, b in zip(cut, [*cut[1:], len(owner)])]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] + [pa.binary()] * 4)], names=["owner", "key", "sig", "n", "at"])
+        columns = [owner[order], *(x[order] for x in (key, sig, n, hub, at))]
+        cut = np.flatnonzero(np.diff(columns[0], prepend=-1))
+        rows = [(int(columns[0][a]), *(x[a:b].tobytes() for x in columns[1:])) for a, b in zip(cut, [*cut[1:], len(key)])]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] + [pa.binary()] * 5)], names=["owner", "key", "sig", "n", "hub", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(zlib.decompress(shared_table.value), np.uint8)
@@ -155,8 +173,8 @@ def _post(width: int, percent: int, owner_bits: int, hot_rows: int, shared_table
                 met.add(s)
                 p = need_prefix(len(h), percent)
                 k = ordered(h, table)
-                k = np.sort(np.partition(k, p - 1)[:p]) if p < len(k) else np.sort(k)
-                held.append((k, s, len(h)))
+                hub = int(256 * (k >> np.uint64(56)).mean())
+                held.append((np.sort(np.partition(k, p - 1)[:p]) if p < len(k) else np.sort(k), s, len(h), hub))
                 size += p
                 if size >= flush:
                     yield blobs(held)
@@ -168,53 +186,58 @@ def _post(width: int, percent: int, owner_bits: int, hot_rows: int, shared_table
 
 
 def leaders(start: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Index of each member's leader, members sorted by size inside runs that begin where ``start`` is true.
+    """Index of each member's leader, in runs of members that begin where ``start`` is true.
 
-    The first member leads those whose size the length filter lets it link
-    with; the first one too long leads the next, and so on.
+    A run's first member leads all whose sizes let it link with them, the
+    first of the others leads what it may link with of these, and so on.
     """
-    index = np.arange(len(n))
-    lead = np.maximum.accumulate(np.where(start, index, 0))
-    while True:
-        far = percent * n.astype(np.int64) > 100 * n[lead].astype(np.int64)
-        if not far.any():
-            return lead
-        before = np.concatenate(([False], far[:-1]))
-        fresh = far & (~before | (lead != np.concatenate(([-1], lead[:-1]))))  # the first too long for its leader
-        mark = np.maximum.accumulate(np.where(fresh | (lead == index), index, 0))
-        lead = np.where(far, mark, lead)
+    lead, left, run = np.full(len(n), -1), np.arange(len(n)), np.cumsum(start)
+    n = n.astype(np.int64)
+    while len(left):
+        first = np.ones(len(left), dtype=bool)
+        first[1:] = run[left][1:] != run[left][:-1]
+        head = np.maximum.accumulate(np.where(first, left, 0))
+        near = 100 * np.minimum(n[left], n[head]) >= percent * np.maximum(n[left], n[head])
+        lead[left[near]] = head[near]
+        left = left[~near]
+    return lead
 
 
 def _bucket(percent: int, hot_rows: int):
-    """Members of buckets with company: (key, sig, n, at, leader, leader_n, leader_at)."""
+    """Members of buckets with company, and their leaders: those of the highest hub."""
 
     def run(blobs: pd.DataFrame) -> pd.DataFrame:
-        key, sig, n, at = (np.frombuffer(b"".join(blobs[c]), t) for c, t in (("key", np.uint64), ("sig", np.int64), ("n", np.int32), ("at", np.int32)))
-        order = np.lexsort((sig, n, key))
-        key, sig, n, at = key[order], sig[order], n[order], at[order]
+        key, sig, n, hub, at = (np.frombuffer(b"".join(blobs[c]), t) for c, t in (("key", np.uint64), ("sig", np.int64), ("n", np.int32), ("hub", np.uint16), ("at", np.uint16)))
+        order = np.argsort(key, kind="stable")
+        start = np.ones(len(key), dtype=bool)
+        start[1:] = key[order][1:] != key[order][:-1]
+        company = ~start | np.append(~start[1:], False)
+        company |= np.exp2((key[order] >> np.uint64(56)).astype(np.float64) / SCALE) > hot_rows  # may have company elsewhere
+        order = order[company]  # most postings have none and needn't be sorted further
+        order = order[np.lexsort((sig[order], -hub[order].astype(np.int32), key[order]))]
+        key, sig, n, hub, at = (x[order] for x in (key, sig, n, hub, at))
         fresh = np.ones(len(key), dtype=bool)
         fresh[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])  # equal sets posted by several tasks
-        key, sig, n, at = key[fresh], sig[fresh], n[fresh], at[fresh]
+        key, sig, n, hub, at = (x[fresh] for x in (key, sig, n, hub, at))
         start = np.ones(len(key), dtype=bool)
         start[1:] = key[1:] != key[:-1]
-        company = ~start | np.append(~start[1:], False)
-        company |= np.exp2((key >> np.uint64(56)).astype(np.float64) / SCALE) > hot_rows  # may have company elsewhere
-        key, sig, n, at, start = key[company], sig[company], n[company], at[company], start[company]
-        lead = leaders(start, n, percent) if len(key) else np.empty(0, np.int64)
-        return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n, "at": at, "leader": sig[lead], "leader_n": n[lead], "leader_at": at[lead]})
+        alone = start & np.append(start[1:], True) & (np.exp2((key >> np.uint64(56)).astype(np.float64) / SCALE) <= hot_rows)
+        key, sig, n, hub, at, start = (x[~alone] for x in (key, sig, n, hub, at, start))
+        lead = leaders(start, n, percent)
+        return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n, "hub": hub.astype(np.int32), "at": at.astype(np.int32), "leader": sig[lead], "leader_n": n[lead], "leader_at": at[lead].astype(np.int32)})
 
     return run
 
 
 def may_link(a_n: str, a_at: str, b_n: str, b_at: str, percent: int):
-    """Length and positional filters, for a pair whose first common key stands at these positions, a the smaller.
+    """Length and positional filters, for a pair whose first common key stands at these positions.
 
     A pair that reaches the similarity passes at its first common key; what
     fails at a later one isn't lost, since pairs are kept if any bucket passes them.
     """
     a, b = F.col(a_n).cast("long"), F.col(b_n).cast("long")
     need = F.ceil(percent * (a + b) / (100 + percent))
-    return (100 * a >= percent * b) & (1 + F.least(a - F.col(a_at) - 1, b - F.col(b_at) - 1) >= need)
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (1 + F.least(a - F.col(a_at) - 1, b - F.col(b_at) - 1) >= need)
 
 
 def suffix_bound(x: np.ndarray, y: np.ndarray, edges: np.ndarray) -> int:
@@ -261,7 +284,7 @@ def _links(shared: Shared, docs: DataFrame, nodes: DataFrame, pairs: DataFrame,
     return shared.keep(found, f"{name}_links")
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, owner_rows: int = 1_000_000, hot_rows: int = 100_000, broadcast_rows: int = 500_000) -> DataFrame:
+def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, owner_rows: int = 400_000, hot_rows: int = 100_000, broadcast_rows: int = 500_000) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id.
 
     Two documents link when 100 * intersection >= percent * union of their
@@ -285,15 +308,16 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     shared_table = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
     postings = nodes.filter("n > 0").agg(F.sum(F.col("n") * (100 - percent) / 100 + 1).alias("p")).collect()[0]["p"] or 0
     bits = power_of_two(postings / owner_rows, 16).bit_length() - 1
-    posted = docs.mapInArrow(_post(width, percent, bits, hot_rows, shared_table), "owner long, key binary, sig binary, n binary, at binary")
-    members = posted.groupBy("owner").applyInPandas(_bucket(percent, hot_rows), "key long, sig long, n int, at int, leader long, leader_n int, leader_at int")
+    posted = docs.mapInArrow(_post(width, percent, bits, hot_rows, shared_table), "owner long, key binary, sig binary, n binary, hub binary, at binary")
+    members = posted.groupBy("owner").applyInPandas(_bucket(percent, hot_rows), "key long, sig long, n int, hub int, at int, leader long, leader_n int, leader_at int")
     members = shared.keep(members, "members")
 
-    # leaders of one key in several tasks, or for several ranges of size: each is paired with the key's first that may reach it
-    heads = members.filter("sig = leader").select("key", "sig", "n", "at")
-    top = heads.groupBy("key").agg(F.min(F.struct("n", "sig", "at")).alias("t"), F.count("*").alias("heads")).filter("heads > 1").select("key", "t.*")
-    top = top.select("key", F.col("sig").alias("a"), F.col("n").alias("a_n"), F.col("at").alias("a_at"))
-    across = heads.join(top, "key").filter((F.col("sig") != F.col("a")) & may_link("a_n", "a_at", "n", "at", percent)).select("a", F.col("sig").alias("b"))
+    # leaders of one key in several tasks: each is paired with the first of about its size, or of the next sizes
+    heads = members.filter("sig = leader").select("key", "sig", "n", "hub", "at", F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).alias("class"))
+    top = heads.groupBy("key", "class").agg(F.max(F.struct("hub", "sig", "n", "at")).alias("t"))
+    top = top.select("key", F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)).alias("class"), F.col("t.sig").alias("a"), F.col("t.n").alias("a_n"), F.col("t.at").alias("a_at"))
+    several = heads.groupBy("key").agg(F.count("*").alias("heads")).filter("heads > 1").select("key")
+    across = heads.join(several, "key", "left_semi").join(top, ["key", "class"]).filter((F.col("sig") != F.col("a")) & may_link("a_n", "a_at", "n", "at", percent)).select("a", F.col("sig").alias("b"))
     stars = members.filter((F.col("sig") != F.col("leader")) & may_link("leader_n", "leader_at", "n", "at", percent)).select(F.col("leader").alias("a"), F.col("sig").alias("b"))
     links = _links(shared, docs, nodes, stars.unionByName(across).distinct(), width, percent, broadcast_rows, "star")
     parts = shared.keep(connected_components(shared, links, "star_cc"), "star_parts")
