@@ -99,16 +99,20 @@ def _survey(width: int):
 
 
 def packed(counts: np.ndarray) -> bytes:
-    """One block of counts as its filled slots and their values."""
-    at = np.flatnonzero(counts)
-    return zlib.compress(at.astype(np.uint16).tobytes() + counts[at].astype(np.uint64).tobytes(), 1)
+    """One block of counts: a bitmap of the filled slots, the values up to 254 in a byte each, then larger ones."""
+    filled = counts[counts > 0].astype(np.uint64)
+    return zlib.compress(np.packbits(counts > 0).tobytes() + np.minimum(filled, 255).astype(np.uint8).tobytes() + filled[filled > 254].tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
     """The counts of a block, all slots."""
     data = zlib.decompress(data)
-    n, out = len(data) // 10, np.zeros(1 << BLOCK_BITS, dtype=np.uint64)
-    out[np.frombuffer(data, np.uint16, n)] = np.frombuffer(data, np.uint64, n, 2 * n)
+    there = np.unpackbits(np.frombuffer(data, np.uint8, (1 << BLOCK_BITS) // 8)).astype(bool)
+    n, at = int(there.sum()), (1 << BLOCK_BITS) // 8
+    filled = np.frombuffer(data, np.uint8, n, at).astype(np.uint64)
+    filled[filled == 255] = np.frombuffer(data[at + n :], np.uint64)
+    out = np.zeros(1 << BLOCK_BITS, dtype=np.uint64)
+    out[there] = filled
     return out
 
 
@@ -277,7 +281,7 @@ def _links(shared: Shared, docs: DataFrame, nodes: DataFrame, pairs: DataFrame,
     wanted = shared.keep(nodes.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("w_id")), f"{name}_wanted")
     if wanted.count() <= broadcast_rows:
         wanted = F.broadcast(wanted)
-    texts = shared.keep(docs.join(wanted, F.col("doc_id") == F.col("w_id")).select("sig", "text"), f"{name}_texts")
+    texts = docs.join(wanted, F.col("doc_id") == F.col("w_id")).select("sig", "text")
     near = pairs.join(texts.select(F.col("sig").alias("b"), F.col("text").alias("b_text")), "b")
     both = near.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("a_text")), "a")
     found = both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(width, percent), "a long, b long").distinct()
@@ -307,17 +311,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     table = count_table(shared, survey)
     shared_table = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
     postings = nodes.filter("n > 0").agg(F.sum(F.col("n") * (100 - percent) / 100 + 1).alias("p")).collect()[0]["p"] or 0
-    bits = power_of_two(postings / owner_rows, 16).bit_length() - 1
+    bits = power_of_two(postings / owner_rows, 128).bit_length() - 1
     posted = docs.mapInArrow(_post(width, percent, bits, hot_rows, shared_table), "owner long, key binary, sig binary, n binary, hub binary, at binary")
     members = posted.groupBy("owner").applyInPandas(_bucket(percent, hot_rows), "key long, sig long, n int, hub int, at int, leader long, leader_n int, leader_at int")
     members = shared.keep(members, "members")
 
     # leaders of one key in several tasks: each is paired with the first of about its size, or of the next sizes
-    heads = members.filter("sig = leader").select("key", "sig", "n", "hub", "at", F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).alias("class"))
+    heads = members.filter(F.col("sig") == F.col("leader")).filter(F.shiftrightunsigned("key", 56) > SCALE * float(np.log2(hot_rows)))
+    heads = heads.select("key", "sig", "n", "hub", "at", F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).alias("class"))
     top = heads.groupBy("key", "class").agg(F.max(F.struct("hub", "sig", "n", "at")).alias("t"))
     top = top.select("key", F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)).alias("class"), F.col("t.sig").alias("a"), F.col("t.n").alias("a_n"), F.col("t.at").alias("a_at"))
-    several = heads.groupBy("key").agg(F.count("*").alias("heads")).filter("heads > 1").select("key")
-    across = heads.join(several, "key", "left_semi").join(top, ["key", "class"]).filter((F.col("sig") != F.col("a")) & may_link("a_n", "a_at", "n", "at", percent)).select("a", F.col("sig").alias("b"))
+    across = heads.join(top, ["key", "class"]).filter((F.col("sig") != F.col("a")) & may_link("a_n", "a_at", "n", "at", percent)).select("a", F.col("sig").alias("b"))
     stars = members.filter((F.col("sig") != F.col("leader")) & may_link("leader_n", "leader_at", "n", "at", percent)).select(F.col("leader").alias("a"), F.col("sig").alias("b"))
     links = _links(shared, docs, nodes, stars.unionByName(across).distinct(), width, percent, broadcast_rows, "star")
     parts = shared.keep(connected_components(shared, links, "star_cc"), "star_parts")
