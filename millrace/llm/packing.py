@@ -8,6 +8,8 @@ document opens the next one.  So all sequences of a shard are full but the last.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,37 +25,55 @@ END_ID = 2
 K1, B = 1.2, 0.75
 
 
+#: Pieces whose characters map one to one, so a joined text's offsets are theirs; others are encoded one by one.
+_PLAIN = re.compile(r"[\x21-\x3b\x3d-\x7e\u00c0-\u00ff]+")
+#: White space to ``str.split`` but not to tokenizers.
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+
+
+def pieces_of(text: str) -> list[str]:
+    """What stands between white space."""
+    return re.split(r"[ \t\r\n]+", text) if _SEPARATORS.search(text) else text.split()
+
+
 class WordTokenizer:
     """Token ids of whole texts by way of a bounded cache of ids by white-space separated piece.
 
     For tokenizers that split at white space and drop it, whose normaliser
     doesn't look across it: ids of a text are those of its pieces in order.
+    The cache holds the pieces met lately, in two halves of which the older is dropped in turn.
     """
 
-    def __init__(self, path: str, cache_size: int = 250_000):
+    def __init__(self, path: str, cache_size: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has its core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.young, self.old, self.size = Tokenizer.from_file(path), {}, {}, cache_size
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def _learn(self, pieces: list[str]) -> None:
-        missing = []
+        plain, odd = [], []
         for p in pieces:
             got = self.old.get(p)
             if got is None:
-                missing.append(p)
+                (plain if _PLAIN.fullmatch(p) else odd).append(p)
             else:
                 self.young[p] = got
-        for p, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
+        for p, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
             self.young[p] = np.array(e.ids, self.dtype).tobytes()
+        if plain:
+            e = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            ids, width = np.array(e.ids, self.dtype).tobytes(), self.dtype.itemsize
+            begin = np.cumsum([0, *(len(p) + 1 for p in plain)])
+            cut = (np.searchsorted([o[0] for o in e.offsets], begin) * width).tolist()
+            self.young.update(zip(plain, (ids[a:b] for a, b in zip(cut, cut[1:]))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        split = [pieces_of(t) for t in texts]
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
-        pieces = set().union(*split)
-        self._learn([p for p in pieces if p not in self.young])
+        self._learn(list(set().union(*split) - self.young.keys()))
         get = self.young.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
