@@ -103,8 +103,8 @@ def transform(p: Pipeline, df: DataFrame) -> DataFrame:
                     bad = bad | F.col(f"`{f}`").isNull() | (F.col(f"`{f}`").cast("string") == "")
             df = reject(df, "require", F.when(bad, "required field empty"))
         elif s.kind in ("dedup", "dedupe"):
-            good = dedup(df.filter("_reason is null"), o.strings("keys") or list(p.storage.key_columns), o.string("policy", KEEP_LAST), (LINE,), o.strings("prefer_fields"))
-            df = good.unionByName(df.filter("_reason is not null"))
+            good = dedup(_where(df, "_reason is null"), o.strings("keys") or list(p.storage.key_columns), o.string("policy", KEEP_LAST), (LINE,), o.strings("prefer_fields"))
+            df = good.unionByName(_where(df, "_reason is not null"))
         else:
             raise ValueError(f"no transform of kind {s.kind!r}")
     return df
@@ -124,13 +124,22 @@ def _coerced(df: DataFrame, columns: list[str], plan: dict[str, Coercion], rejec
 
 def _realigned(df: DataFrame, columns: list[str], field_: str, value: str) -> DataFrame:
     rest = [c for c in df.columns if c not in columns]
-    packed = df.select(F.struct(*rest).alias("rest"), *columns)
     k, n = columns.index(field_), len(columns)
-    a = F.array(*[F.col(f"`{c}`") for c in columns])
-    at = F.array_position(a, F.lit(value)).cast("int")
-    tail = F.concat(F.slice(a, 1, k) if k else F.array().cast("array<string>"), F.slice(a, F.greatest(at, F.lit(1)), n), F.array_repeat(F.lit(None).cast("string"), F.greatest(at - k - 1, F.lit(0))))
-    moved = F.when((at > k + 1) & ~F.coalesce(F.col(f"`{field_}`") == value, F.lit(False)), tail).otherwise(a)
-    return packed.select("rest", moved.alias("a")).select(*[F.get("a", F.lit(i)).alias(c) for i, c in enumerate(columns)], "rest.*")
+    # a projection for each step, so no expression is repeated for each column
+    rows = df.select(F.struct(*rest).alias("rest"), F.array(*[F.col(f"`{c}`") for c in columns]).alias("a"))
+    rows = rows.withColumn("at", F.coalesce(F.array_position("a", F.lit(value)), F.lit(0)).cast("int"))
+    tail = F.concat(F.slice("a", 1, k) if k else F.array().cast("array<string>"), F.slice("a", F.greatest("at", F.lit(1)), n), F.array_repeat(F.lit(None).cast("string"), F.greatest(F.col("at") - k - 1, F.lit(0))))
+    moved = F.when((F.col("at") > k + 1) & ~F.coalesce(F.get("a", F.lit(k)) == value, F.lit(False)), tail).otherwise(F.col("a"))
+    return rows.select("rest", moved.alias("a")).select(*[F.get("a", F.lit(i)).alias(c) for i, c in enumerate(columns)], "rest.*")
+
+
+def _where(df: DataFrame, condition: str) -> DataFrame:
+    """A filter that stays above the projections below it.
+
+    Pushed down it would repeat every expression behind the reason; a value
+    that isn't deterministic keeps it in place.
+    """
+    return df.withColumn("_fence", F.monotonically_increasing_id()).filter(F.expr(condition) & (F.col("_fence") >= 0)).drop("_fence")
 
 
 def plan(spark: SparkSession, p: Pipeline) -> Run:
@@ -139,8 +148,8 @@ def plan(spark: SparkSession, p: Pipeline) -> Run:
     if issues:
         raise ValueError("; ".join(f"{i.path}: {i.message}" for i in issues))
     done = transform(p, read(spark, p))
-    accepted = project(done.filter("_reason is null"), p.storage.columns)
-    rejected = done.filter("_reason is not null").select(F.col("_raw").alias("raw"), F.col("_stage").alias("stage"), F.col("_reason").alias("reason"))
+    accepted = project(_where(done, "_reason is null"), p.storage.columns)
+    rejected = _where(done, "_reason is not null").select(F.col("_raw").alias("raw"), F.col("_stage").alias("stage"), F.col("_reason").alias("reason"))
     return Run(accepted, rejected)
 
 
@@ -154,7 +163,7 @@ def run(spark: SparkSession, p: Pipeline, gateway: str = "") -> Run:
     count = lambda cond: F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0))
     of = lambda stage: count(F.col("_stage") == stage)
     observed = done.observe(seen, F.count(F.lit(1)).alias("seen"), of("parse").alias("parse_errors"), of("coerce").alias("transform_rejected"), (of("validate") + of("require")).alias("validate_dropped"), count(F.col("_reason").isNull()).alias("inserted"))
-    accepted = project(observed.filter("_reason is null"), p.storage.columns)
+    accepted = project(_where(observed, "_reason is null"), p.storage.columns)
     s = p.storage
     ddl = infer_table(s.table, s.columns, s.kind if s.kind in ("postgres", "mssql", "sqlite", "mysql") else "generic", p.contract(), p.types()) if s.auto_create_table else None
     with metrics.step("load"):

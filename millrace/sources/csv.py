@@ -21,7 +21,7 @@ class CsvOptions:
     """``fields_per_record`` (else ``expected_fields``), if positive, is the width each row must have; 0 takes any.
 
     ``multi_line``: whether quoted values hold line ends; None looks for a
-    line with an odd number of quotes first, since files without such can be split.
+    line that ends inside a quoted value first, since files without such can be split.
     """
 
     has_header: bool = True
@@ -50,6 +50,12 @@ def _guard(comma: str) -> str:
     return rf"\A{value}(?:{sep}{value})*+\z"
 
 
+def _open_end(comma: str) -> str:
+    """A line that ends inside a quoted value."""
+    sep = "\\" + comma if not comma.isalnum() else comma
+    return rf'\A(?:(?:"(?:[^"]|"")*+"|[^"{sep}]*+){sep})*+"(?:[^"]|"")*+\z'
+
+
 def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(), columns: Sequence[str] | None = None) -> DataFrame:
     """Declared columns (or all) as text, nulls for '' and for what a file lacks, and ``_parse_error``.
 
@@ -64,18 +70,17 @@ def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(),
     first = next(csv.reader([head["value"]], delimiter=options.comma), [])
     names = [header_name(h, options.header_map) for h in first] if options.has_header else list(columns or [f"col_{i}" for i in range(max(len(first), options.expected_fields))])
     width = options.fields_per_record or options.expected_fields
-    # one more field than named, so a row that is too long can be told from a full one
-    fields = [f"f{i}" for i in range(max(len(names), width) + 1)]
+    # the corrupt-record column marks rows of another width than the schema's
+    fields = [f"f{i}" for i in range(width if width > 0 else max(1, len(names)))]
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_bad"]])
     parse = {"sep": options.comma, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE", "emptyValue": "", "nullValue": None}
     lines = spark.read.text(path).select(F.col("value"))
     multi = options.multi_line
     if multi is None and not options.scrub:
-        multi = not lines.filter((F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1).isEmpty()
+        multi = not lines.filter(F.rlike("value", F.lit(_open_end(options.comma)))).isEmpty()
     strict_quotes = not options.lazy_quotes and not options.scrub
-    count = F.size(F.filter(F.array(*fields), lambda x: x.isNotNull()))
     if multi:
-        rows = spark.read.options(**{k: v for k, v in parse.items() if v is not None}, header=options.has_header, multiLine=True, enforceSchema=True).schema(schema).csv(path)
+        rows = spark.read.options(**{k: v for k, v in parse.items() if v is not None}, header=options.has_header, multiLine=True, enforceSchema=True, columnPruning=False).schema(schema).csv(path)
         rows = rows.withColumn("_ok", F.lit(True))
     else:
         value = scrub(F.col("value"), options.scrub_pairs) if options.scrub else F.col("value")
@@ -85,11 +90,10 @@ def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(),
             rows = rows.filter(F.col("value") != strip_bom(F.lit(head["value"])))
         parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {k: v for k, v in parse.items() if v is not None})
         rows = rows.select(parsed.alias("p"), (F.rlike("value", F.lit(_guard(options.comma))) if strict_quotes else F.lit(True)).alias("_ok")).select("p.*", "_ok")
-    want = options.fields_per_record or options.expected_fields
     error = F.when(~F.col("_ok"), F.lit("bare quote in a value"))
-    if want > 0:
-        error = error.when(count != want, F.concat(F.lit(f"expected {want} fields, got "), count.cast("string")))
-    place = {n: f"f{i}" for i, n in enumerate(names)}  # the last of several equal names wins
+    if width > 0:
+        error = error.when(F.col("_bad").isNotNull(), f"expected {width} fields")
+    place = {n: f"f{i}" for i, n in enumerate(names) if i < len(fields)}  # the last of several equal names wins
 
     def value_of(name: str) -> Column:
         if name not in place:
