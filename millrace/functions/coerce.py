@@ -134,6 +134,15 @@ def coerce(df: DataFrame, plan: dict[str, Coercion], empty_rejects: bool = False
     return df.select(*[F.col(f"`_typed {c}`").alias(c) for c in names], reason.alias(REJECT))
 
 
+def where(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays above the projections below it.
+
+    Pushed down, a test of a reason would repeat every expression behind it;
+    a value that isn't deterministic keeps it in place.
+    """
+    return df.withColumn("_fence", F.monotonically_increasing_id()).filter(condition & (F.col("_fence") >= 0)).drop("_fence")
+
+
 def coerce_keep(c: Column, kind: str, layout: str = ISO) -> Column:
     """Record-style coercion: the typed value as text, or the text itself where it can't be typed.  Kind names are case-sensitive."""
     if kind == "int":

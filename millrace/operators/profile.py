@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.checks import is_bool_word, is_date, is_int, is_real, is_timestamp
+from ..functions.coerce import where
 from ..functions.layouts import DATE_LAYOUTS, TIMESTAMP_LAYOUTS, parse
 from ..functions.text import collapse_whitespace, strip_html, trim_unicode
 
@@ -23,21 +24,18 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     times: all values are dates or timestamps; ``timestamp`` if any has a time.
     """
     columns = list(columns or df.columns)
-    aggs = []
-    for i, name in enumerate(columns):
-        c = F.col(f"`{name}`").cast("string")
-        filled = F.coalesce(trim_unicode(c) != "", F.lit(False))
-        every = lambda test: F.bool_and(F.when(filled, test))  # noqa: B023, E731
-        aggs += [every(test(c)).alias(f"{i} {kind}") for kind, test in TESTS]
-        aggs += [every(is_date(c)).alias(f"{i} date"), every(is_date(c) | is_timestamp(c)).alias(f"{i} timestamp"), F.count_if(filled).alias(f"{i} filled"), F.bool_and(filled).alias(f"{i} all")]
-    one = df.agg(*aggs)
-    rows = []
-    for i, name in enumerate(columns):
-        kind = F.when(F.col(f"`{i} filled`") == 0, "text")
-        for k in ("integer", "boolean", "real", "date", "timestamp"):
-            kind = kind.when(F.col(f"`{i} {k}`"), k)
-        rows.append(F.struct(F.lit(name).alias("column"), kind.otherwise("text").alias("type"), F.col(f"`{i} filled`").cast("bigint").alias("filled"), F.coalesce(F.col(f"`{i} all`"), F.lit(False)).alias("all_filled")))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    # values of all columns under each other: the tests are compiled once, not once for each column
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(columns)])).alias("x")).select("x.i", trim_unicode(F.col("x.v")).alias("v"))
+    filled = F.coalesce(F.col("v") != "", F.lit(False))
+    tested = values.select("i", filled.alias("filled"), *[test(F.col("v")).alias(k) for k, test in TESTS], is_date(F.col("v")).alias("date"), is_timestamp(F.col("v")).alias("time"))
+    every = lambda test: F.bool_and(F.when(F.col("filled"), test))
+    kinds = [every(F.col(k)).alias(k) for k, _ in TESTS] + [every(F.col("date")).alias("date"), every(F.col("date") | F.col("time")).alias("timestamp")]
+    found = tested.groupBy("i").agg(*kinds, F.count_if("filled").alias("n"), F.bool_and("filled").alias("all_filled"))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "i int, column string")
+    kind = F.when(F.coalesce("n", F.lit(0)) == 0, "text")
+    for k in ("integer", "boolean", "real", "date", "timestamp"):
+        kind = kind.when(F.col(k), k)
+    return names.join(found, "i", "left").select("column", kind.otherwise("text").alias("type"), F.coalesce("n", F.lit(0)).cast("bigint").alias("filled"), F.coalesce("all_filled", F.lit(False)).alias("all_filled"))
 
 
 def layout_scores(df: DataFrame, column: str, layouts: Sequence[str] = (*DATE_LAYOUTS, *TIMESTAMP_LAYOUTS)) -> DataFrame:
@@ -52,7 +50,7 @@ def error_buckets(df: DataFrame, reason: str = "_reject_reason", order_by: Seque
 
     Both parts combine before the shuffle: counts as partial sums, first rows as a group limit.
     """
-    rows = df.filter(F.col(reason).isNotNull())
+    rows = where(df, F.col(reason).isNotNull())
     counts = rows.groupBy(F.col(reason).alias("reason")).agg(F.count("*").alias("n"))
     first = rows.select(F.col(reason).alias("reason"), *order_by, F.row_number().over(Window.partitionBy(reason).orderBy(*order_by)).cast("bigint").alias("rank")).filter(F.col("rank") <= keep)
     return first.join(counts, "reason")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import checks, text
-from ..functions.coerce import REJECT, Coercion, coerce, coerce_keep, prepared, quoted, to_bool, to_date, to_date_cz, to_float, to_int
+from ..functions.coerce import REJECT, Coercion, coerce, coerce_keep, prepared, quoted, to_bool, to_date, to_date_cz, to_float, to_int, where
 from ..functions.layouts import parse_date
 from ..operators import dedup as d
 from ..operators import profile, sets
@@ -118,7 +118,7 @@ FROM ({_INT_T}) i JOIN ({_DATE_T}) d USING (o_orderkey)"""
 
 @query(f"SELECT reason, count(*) AS n FROM ({_REASONS}) WHERE reason IS NOT NULL GROUP BY reason")
 def coerce_reject_reasons(spark, sf_dir):
-    return _typed_orders(spark, sf_dir).filter(f"{REJECT} is not null").groupBy(F.col(REJECT).alias("reason")).agg(F.count("*").alias("n"))
+    return where(_typed_orders(spark, sf_dir), F.col(REJECT).isNotNull()).groupBy(F.col(REJECT).alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count(reason) AS BIGINT) AS transform_rejected, CAST(count(*) FILTER (reason IS NULL AND key IS NULL) AS BIGINT) AS validate_dropped, CAST(count(*) FILTER (reason IS NULL AND key IS NOT NULL) AS BIGINT) AS inserted FROM ({_REASONS})")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.checks import contract_kind, contract_reason, require, stream_reason
-from ..functions.coerce import CZ, KINDS, Coercion, prepared, quoted
+from ..functions.coerce import CZ, KINDS, Coercion, prepared, quoted, where
 from ..functions.text import normalize
 from ..operators.dedup import KEEP_LAST, dedup
 from ..operators.sets import project
@@ -103,8 +103,8 @@ def transform(p: Pipeline, df: DataFrame) -> DataFrame:
                     bad = bad | F.col(f"`{f}`").isNull() | (F.col(f"`{f}`").cast("string") == "")
             df = reject(df, "require", F.when(bad, "required field empty"))
         elif s.kind in ("dedup", "dedupe"):
-            good = dedup(_where(df, "_reason is null"), o.strings("keys") or list(p.storage.key_columns), o.string("policy", KEEP_LAST), (LINE,), o.strings("prefer_fields"))
-            df = good.unionByName(_where(df, "_reason is not null"))
+            good = dedup(where(df, F.col("_reason").isNull()), o.strings("keys") or list(p.storage.key_columns), o.string("policy", KEEP_LAST), (LINE,), o.strings("prefer_fields"))
+            df = good.unionByName(where(df, F.col("_reason").isNotNull()))
         else:
             raise ValueError(f"no transform of kind {s.kind!r}")
     return df
@@ -133,23 +133,14 @@ def _realigned(df: DataFrame, columns: list[str], field_: str, value: str) -> Da
     return rows.select("rest", moved.alias("a")).select(*[F.get("a", F.lit(i)).alias(c) for i, c in enumerate(columns)], "rest.*")
 
 
-def _where(df: DataFrame, condition: str) -> DataFrame:
-    """A filter that stays above the projections below it.
-
-    Pushed down it would repeat every expression behind the reason; a value
-    that isn't deterministic keeps it in place.
-    """
-    return df.withColumn("_fence", F.monotonically_increasing_id()).filter(F.expr(condition) & (F.col("_fence") >= 0)).drop("_fence")
-
-
 def plan(spark: SparkSession, p: Pipeline) -> Run:
     """The accepted and rejected rows, lazily."""
     issues = [i for i in lint(p) if i.severity == SEVERE]
     if issues:
         raise ValueError("; ".join(f"{i.path}: {i.message}" for i in issues))
     done = transform(p, read(spark, p))
-    accepted = project(_where(done, "_reason is null"), p.storage.columns)
-    rejected = _where(done, "_reason is not null").select(F.col("_raw").alias("raw"), F.col("_stage").alias("stage"), F.col("_reason").alias("reason"))
+    accepted = project(where(done, F.col("_reason").isNull()), p.storage.columns)
+    rejected = where(done, F.col("_reason").isNotNull()).select(F.col("_raw").alias("raw"), F.col("_stage").alias("stage"), F.col("_reason").alias("reason"))
     return Run(accepted, rejected)
 
 
@@ -163,7 +154,7 @@ def run(spark: SparkSession, p: Pipeline, gateway: str = "") -> Run:
     count = lambda cond: F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0))
     of = lambda stage: count(F.col("_stage") == stage)
     observed = done.observe(seen, F.count(F.lit(1)).alias("seen"), of("parse").alias("parse_errors"), of("coerce").alias("transform_rejected"), (of("validate") + of("require")).alias("validate_dropped"), count(F.col("_reason").isNull()).alias("inserted"))
-    accepted = project(_where(observed, "_reason is null"), p.storage.columns)
+    accepted = project(where(observed, F.col("_reason").isNull()), p.storage.columns)
     s = p.storage
     ddl = infer_table(s.table, s.columns, s.kind if s.kind in ("postgres", "mssql", "sqlite", "mysql") else "generic", p.contract(), p.types()) if s.auto_create_table else None
     with metrics.step("load"):

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.coerce import REJECT, Coercion, coerce
+from ..functions.coerce import REJECT, Coercion, coerce, where
 
 
 def read_stream(spark: SparkSession, folder: str, columns: Sequence[str], sep: str = ",", header: bool = True, files_per_trigger: int = 1000) -> DataFrame:
@@ -25,8 +26,8 @@ def write_stream(df: DataFrame, plan: dict[str, Coercion], accepted: str, reject
 
     def save(batch: DataFrame, number: int) -> None:
         typed = coerce(batch, plan)
-        typed.filter(f"{REJECT} is null").drop(REJECT).write.mode("overwrite").parquet(f"{accepted}/batch={number}")
-        typed.filter(f"{REJECT} is not null").select(REJECT).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+        where(typed, F.col(REJECT).isNull()).drop(REJECT).write.mode("overwrite").parquet(f"{accepted}/batch={number}")
+        where(typed, F.col(REJECT).isNotNull()).select(REJECT).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
 
     writer = df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
