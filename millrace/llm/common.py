@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-TABLES = ("documents", "pages", "benchmark", "labels", "embeddings", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

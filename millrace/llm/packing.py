@@ -88,7 +88,7 @@ def tokenizer_at(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-def _tokenise(path: str, step: int = 1 << 20):
+def _tokenise(path: str, step: int = 1 << 22):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer_at(path)
         for b in batches:

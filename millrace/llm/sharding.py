@@ -49,12 +49,18 @@ class Node:
     right: "Node | None" = None
     ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
     weight: int = 0
+    rows: int = 0
     # state of the search for the cut
     keys: list[str] = field(default_factory=list)
     fixed: list[int] = field(default_factory=list)
     low: int = 0
     high: int = 0
     below: int = 0
+    held: int = 0  # rows in [low, high]
+
+    def width(self) -> int:
+        """Of a bin; one value each when no more rows than bins are left."""
+        return 1 if self.held <= BINS else (self.high - self.low) // BINS + 1
 
 
 def leaf_of(node: Node, value) -> Column:
@@ -67,15 +73,15 @@ def leaf_of(node: Node, value) -> Column:
 def _measure(rows: DataFrame, root: Node, nodes: list[Node], dims: list[str]) -> None:
     """Weight and ranges of each open node."""
     number = {id(n): i for i, n in enumerate(nodes)}
-    aggs = [F.sum("size").alias("w")] + [f(d).alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]
+    aggs = [F.sum("size").alias("w"), F.count("*").alias("n")] + [f(d).alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]
     for r in rows.groupBy(leaf_of(root, lambda n: number.get(id(n), -1)).alias("node")).agg(*aggs).collect():
         if r["node"] >= 0:
             n = nodes[r["node"]]
-            n.weight, n.ranges = r["w"], {d: (r[f"lo_{d}"], r[f"hi_{d}"]) for d in dims}
+            n.weight, n.rows, n.ranges = r["w"], r["n"], {d: (r[f"lo_{d}"], r[f"hi_{d}"]) for d in dims}
 
 
-def _histograms(rows: DataFrame, root: Node, nodes: list[Node]) -> dict[int, dict[int, int]]:
-    """Weights in bins of [low, high] of the key under search, for each node still searching."""
+def _histograms(rows: DataFrame, root: Node, nodes: list[Node]) -> dict[int, dict[int, tuple[int, int]]]:
+    """Weights and rows in bins of [low, high] of the key under search, for each node still searching."""
     number = {id(n): i for i, n in enumerate(nodes)}
     rows = rows.withColumn("node", leaf_of(root, lambda n: number.get(id(n), -1)).cast("int"))
     bin_, inside = F.lit(None).cast("long"), F.lit(False)
@@ -85,12 +91,12 @@ def _histograms(rows: DataFrame, root: Node, nodes: list[Node]) -> dict[int, dic
             here = here & (F.col(k) == v)
         key = n.keys[len(n.fixed)]
         here = here & F.col(key).between(n.low, n.high)
-        width = (n.high - n.low) // BINS + 1
+        width = n.width()
         bin_ = F.when(here, F.floor((F.col(key) - n.low) / width) if width > 1 else F.col(key) - n.low).otherwise(bin_)
         inside = inside | here
-    out: dict[int, dict[int, int]] = {}
-    for r in rows.filter(F.col("node") >= 0).select("node", bin_.cast("long").alias("bin"), "size").filter("bin is not null").groupBy("node", "bin").agg(F.sum("size").alias("w")).collect():
-        out.setdefault(r["node"], {})[r["bin"]] = r["w"]
+    out: dict[int, dict[int, tuple[int, int]]] = {}
+    for r in rows.filter(F.col("node") >= 0).select("node", bin_.cast("long").alias("bin"), "size").filter("bin is not null").groupBy("node", "bin").agg(F.sum("size").alias("w"), F.count("*").alias("n")).collect():
+        out.setdefault(r["node"], {})[r["bin"]] = (r["w"], r["n"])
     return out
 
 
@@ -110,7 +116,7 @@ def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], toleran
             for n in part:
                 wide = max(dims, key=lambda d: ((n.ranges[d][1] - n.ranges[d][0]) / spread[d], -dims.index(d)))
                 n.keys = [wide, *[t for t in ties if t != wide]]
-                n.fixed, n.below = [], 0
+                n.fixed, n.below, n.held = [], 0, n.rows
                 n.low, n.high = n.ranges[wide]
             searching = list(part)
             while searching:
@@ -119,9 +125,9 @@ def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], toleran
                 for i, n in enumerate(searching):
                     goal = n.weight * (n.shards // 2) / n.shards
                     share = n.weight / n.shards
-                    width = (n.high - n.low) // BINS + 1
-                    under, at, w = n.below, n.low - 1, 0
-                    for b, w in sorted(found.get(i, {}).items()):
+                    width = n.width()
+                    under, at, w, held = n.below, -1, 0, 0
+                    for b, (w, held) in sorted(found.get(i, {}).items()):
                         at = b
                         if under + w >= goal:
                             break
@@ -131,11 +137,11 @@ def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], toleran
                     hi = min(n.high, lo + width - 1)
                     near = min(goal - under, over - goal)
                     if near > tolerance * share and lo < hi:
-                        n.below, n.low, n.high = under, lo, hi
+                        n.below, n.low, n.high, n.held = under, lo, hi, held
                         open_.append(n)
                         continue
                     if lo == hi and w > whole * share and near > tolerance * share and len(n.fixed) + 1 < len(n.keys):
-                        n.fixed, n.below = [*n.fixed, lo], under  # go on inside the value
+                        n.fixed, n.below, n.held = [*n.fixed, lo], under, held  # go on inside the value
                         key = n.keys[len(n.fixed)]
                         n.low, n.high = {"tie_hash": (0, 2**32 - 1), "tie_id": (0, 2**32 - 1)}.get(key) or n.ranges.get(key, (0, 2**32 - 1))
                         open_.append(n)
