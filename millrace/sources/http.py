@@ -12,8 +12,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.text import safe_filename  # noqa: F401  the column form of a download's name
-
 LOG_SCHEMA = "url string, duration_ms bigint, download_size bigint, http_response_code int, file string"
 
 
