@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -190,6 +190,24 @@ def texts_of(column) -> Iterator[bytes]:
             yield x.as_py() or b""
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives freed memory back at its end, as worker processes outlive tasks."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        import ctypes
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not every C library has it
+            pass
+
+    return wrapped
+
+
 def named_words(text: str) -> list[str]:
     """Plain form of the words, for brute-force checks."""
     return re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shared, combine, mix, power_of_two, shingle_sets, texts_of
+from .common import Shared, combine, mix, power_of_two, released, shingle_sets, texts_of
 from .components import connected_components
 
 #: The count table has 2**SLOT_BITS counters, one byte each when shared out.
@@ -284,7 +284,7 @@ def _links(shared: Shared, docs: DataFrame, nodes: DataFrame, pairs: DataFrame,
     texts = docs.join(wanted, F.col("doc_id") == F.col("w_id")).select("sig", "text")
     near = pairs.join(texts.select(F.col("sig").alias("b"), F.col("text").alias("b_text")), "b")
     both = near.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("a_text")), "a")
-    found = both.select("a", "b", "a_text", "b_text").mapInArrow(_verify(width, percent), "a long, b long").distinct()
+    found = both.select("a", "b", "a_text", "b_text").mapInArrow(released(_verify(width, percent)), "a long, b long").distinct()
     return shared.keep(found, f"{name}_links")
 
 
@@ -306,13 +306,13 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     """
     shared = Shared(spark, "jaccard")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    survey = shared.keep(docs.mapInArrow(_survey(width), "doc_id long, n long, sig long, block int, part int, counts binary"), "survey")
+    survey = shared.keep(docs.mapInArrow(released(_survey(width)), "doc_id long, n long, sig long, block int, part int, counts binary"), "survey")
     nodes = survey.filter("n is not null").select("doc_id", "n", "sig")
     table = count_table(shared, survey)
     shared_table = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
     postings = nodes.filter("n > 0").agg(F.sum(F.col("n") * (100 - percent) / 100 + 1).alias("p")).collect()[0]["p"] or 0
     bits = power_of_two(postings / owner_rows, 128).bit_length() - 1
-    posted = docs.mapInArrow(_post(width, percent, bits, hot_rows, shared_table), "owner long, key binary, sig binary, n binary, hub binary, at binary")
+    posted = docs.mapInArrow(released(_post(width, percent, bits, hot_rows, shared_table)), "owner long, key binary, sig binary, n binary, hub binary, at binary")
     members = posted.groupBy("owner").applyInPandas(_bucket(percent, hot_rows), "key long, sig long, n int, hub int, at int, leader long, leader_n int, leader_at int")
     members = shared.keep(members, "members")
 

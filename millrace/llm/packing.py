@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import released
+
 #: Id that ends every document.
 END_ID = 2
 #: BM25's constants.
@@ -44,7 +46,7 @@ class WordTokenizer:
     The cache holds the pieces met lately, in two halves of which the older is dropped in turn.
     """
 
-    def __init__(self, path: str, cache_size: int = 400_000):
+    def __init__(self, path: str, cache_size: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has its core
         from tokenizers import Tokenizer
 
@@ -88,7 +90,7 @@ def tokenizer_at(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-def _tokenise(path: str, step: int = 1 << 22):
+def _tokenise(path: str, step: int = 1 << 21):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer_at(path)
         for b in batches:
@@ -167,9 +169,9 @@ def chain(docs: list[np.ndarray], window: int, query_terms: int = 24) -> list[in
 
 def _pack(window: int, dtype: str, query_terms: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "ids"], na_position="last", kind="stable")
+        rows = rows.sort_values(["no_id", "doc_id", "ids"], kind="stable")
         docs = [np.frombuffer(x, dtype) for x in rows["ids"]]
-        ids, at, out = rows["doc_id"].tolist(), 0, []
+        ids, at, out = [None if none else i for i, none in zip(rows["doc_id"].tolist(), rows["no_id"])], 0, []
         base = int(rows["shard"].iloc[0]) << 32
         for i in chain(docs, window, query_terms):
             whole = np.append(docs[i].astype("<u4"), np.uint32(END_ID))
@@ -178,7 +180,7 @@ def _pack(window: int, dtype: str, query_terms: int):
                 long = min(len(whole) - start, window - at % window)
                 out.append((ids[i], start, long, zlib.crc32(whole[start : start + long].astype("<u4").tobytes()), len(whole), base + at // window, at % window))
                 start, at = start + long, at + long
-        return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]).astype({"doc_id": "Int64"})
+        return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], dtype=object).astype("Int64")
 
     return run
 
@@ -199,5 +201,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id
     shards = max(1, -(-total // shard_bytes))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
     dtype = tokenizer_at(tokenizer_path).dtype.str
-    tokens = rows.mapInArrow(_tokenise(tokenizer_path), "shard long, doc_id long, ids binary")
+    tokens = rows.mapInArrow(released(_tokenise(tokenizer_path)), "shard long, doc_id long, ids binary")
+    # a null among integers would make pandas turn them all into floats
+    tokens = tokens.withColumn("no_id", F.col("doc_id").isNull()).fillna(0, ["doc_id"])
     return tokens.groupBy("shard").applyInPandas(_pack(window, dtype, query_terms), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import combine, draw, in_training, texts_of, word_hashes, words_of
+from .common import combine, draw, in_training, released, texts_of, word_hashes, words_of
 
 FEATURES = ("empty", "log_words", "word_length", "symbols", "bars", "shouts", "capitals", "digits", "other", "high", "lines", "distinct", "repeats", "dup_lines", "sentences", "commas")
 
@@ -141,4 +141,4 @@ def score_quality(spark: SparkSession, docs: DataFrame, ranker: Ranker, id_col:
 
     rows = docs.select(F.col(text_col).cast("string").alias("scored text"), F.col(id_col).cast("long").alias("doc_id"), (~in_training(F.col(id_col))).alias("held_out"), *carry)
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), *(docs.schema[c] for c in carry)])
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(released(run), out)
