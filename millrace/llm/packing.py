@@ -107,9 +107,9 @@ def _tokenise(path: str, step: int = 1 << 21):
 
 
 class Bm25:
-    """Inverted index of documents given as arrays of token ids."""
+    """Inverted index of documents given as arrays of token ids; queries have all of a seed's distinct terms, or its heaviest ``query_terms``."""
 
-    def __init__(self, docs: list[np.ndarray], query_terms: int):
+    def __init__(self, docs: list[np.ndarray], query_terms: int | None = None):
         n, long = len(docs), np.array([len(d) for d in docs])
         vocabulary = int(max((int(d.max()) for d in docs if len(d)), default=0)) + 1
         doc = np.repeat(np.arange(n), long)
@@ -125,10 +125,10 @@ class Bm25:
         self.of_term = np.searchsorted(self.term[order], np.arange(vocabulary + 1))
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of all documents for a query of the seed's heaviest terms."""
+        """BM25 of all documents for a query of the seed's terms."""
         a, b = self.of_doc[seed], self.of_doc[seed + 1]
         at = np.arange(a, b)
-        if len(at) > self.query_terms:
+        if self.query_terms is not None and len(at) > self.query_terms:
             at = at[np.argpartition(-self.weight[a:b], self.query_terms)[: self.query_terms]]
         spans = [(self.of_term[t], self.of_term[t + 1]) for t in self.term[at]]
         if not spans:
@@ -136,7 +136,7 @@ class Bm25:
         return np.bincount(np.concatenate([self.post_doc[x:y] for x, y in spans]), np.concatenate([self.post_weight[x:y] for x, y in spans]), self.n)
 
 
-def chain(docs: list[np.ndarray], window: int, query_terms: int = 24) -> list[int]:
+def chain(docs: list[np.ndarray], window: int, query_terms: int | None = None) -> list[int]:
     """The order in which documents are laid out.
 
     The first unused document seeds; its unused neighbours follow by falling
@@ -167,7 +167,7 @@ def chain(docs: list[np.ndarray], window: int, query_terms: int = 24) -> list[in
     return order
 
 
-def _pack(window: int, dtype: str, query_terms: int):
+def _pack(window: int, dtype: str, query_terms: int | None):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["no_id", "doc_id", "ids"], kind="stable")
         docs = [np.frombuffer(x, dtype) for x in rows["ids"]]
@@ -185,7 +185,7 @@ def _pack(window: int, dtype: str, query_terms: int):
     return run
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_bytes: int = 4_000_000, query_terms: int = 24) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_bytes: int = 4_000_000, query_terms: int | None = None) -> DataFrame:
     """One row for each piece of a document in a sequence.
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.

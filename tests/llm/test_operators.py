@@ -367,6 +367,12 @@ def test_neighbours_share_a_window():
     assert index.scores(0) == pytest.approx(plain)
 
 
+def test_a_seed_s_light_terms_find_neighbours():
+    seed = np.repeat(np.arange(1, 31), 3).astype("<u2")  # 30 heavy terms, and a light one that the last document shares
+    docs = [np.append(seed, np.uint16(40)), *(np.full(50, 100 + i, "<u2") for i in range(6)), np.array([40, *range(200, 240)], "<u2")]
+    assert packing.chain(docs, 132)[:2] == [0, 7]
+
+
 def test_cached_ids_equal_the_tokenizer_s(rows):
     from tokenizers import Tokenizer
 
