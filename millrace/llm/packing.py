@@ -140,7 +140,7 @@ def chain(docs: list[np.ndarray], window: int, query_terms: int | None = None) -
     """The order in which documents are laid out.
 
     The first unused document seeds; its unused neighbours follow by falling
-    score (ties: the earlier) until the window is full or none shares a term, then the next seed comes.
+    score (ties: the earlier) until the window that holds its end is full or none shares a term, then the next seed comes.
     """
     index, used, order, filled, next_ = Bm25(docs, query_terms), np.zeros(len(docs), dtype=bool), [], 0, 0
     while len(order) < len(docs):
@@ -149,9 +149,8 @@ def chain(docs: list[np.ndarray], window: int, query_terms: int | None = None) -
         seed = next_
         used[seed] = True
         order.append(seed)
-        filled += len(docs[seed]) + 1
-        if filled >= window:
-            filled %= window
+        filled = (filled + len(docs[seed]) + 1) % window
+        if not filled:
             continue
         score = index.scores(seed)
         score[used] = 0

@@ -373,6 +373,11 @@ def test_a_seed_s_light_terms_find_neighbours():
     assert packing.chain(docs, 132)[:2] == [0, 7]
 
 
+def test_neighbours_follow_a_seed_longer_than_a_window():
+    docs = [np.arange(1, 26, dtype="<u2"), np.arange(50, 56, dtype="<u2"), np.arange(20, 26, dtype="<u2")]
+    assert packing.chain(docs, 20) == [0, 2, 1]
+
+
 def test_cached_ids_equal_the_tokenizer_s(rows):
     from tokenizers import Tokenizer
 
