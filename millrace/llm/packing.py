@@ -1,9 +1,10 @@
 """Packing by lexical retrieval: BM25 neighbours of seed documents share their sequences.
 
-Documents are tokenised once and dealt to shards of bounded size.  Inside a
-shard an inverted index over token ids gives each seed's unused neighbours by
-BM25, and these fill the seed's window greedily; what a window can't hold of a
-document opens the next one.  So all sequences of a shard are full but the last.
+Documents are tokenised once and dealt to index shards of bounded size.  Every
+shard is searched for every seed, and the merged order gives each seed's unused
+neighbours in the whole table by BM25; these fill the seed's window greedily.
+What a window can't hold of a document opens the next one of its lane.  So all
+sequences of a lane are full but the last.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import released
+from .common import Shared, released
 
 #: Id that ends every document.
 END_ID = 2
@@ -107,17 +108,17 @@ def _tokenise(path: str, step: int = 1 << 21):
 
 
 class Bm25:
-    """Inverted index of documents given as arrays of token ids; queries have all of a seed's distinct terms, or its heaviest ``query_terms``."""
+    """Inverted index of documents given as arrays of token ids; queries have all of a seed's distinct terms, or its heaviest ``query_terms``; ``idf`` and ``mean`` length may be those of more documents."""
 
-    def __init__(self, docs: list[np.ndarray], query_terms: int | None = None):
+    def __init__(self, docs: list[np.ndarray], query_terms: int | None = None, idf: np.ndarray | None = None, mean: float | None = None):
         n, long = len(docs), np.array([len(d) for d in docs])
         vocabulary = int(max((int(d.max()) for d in docs if len(d)), default=0)) + 1
         doc = np.repeat(np.arange(n), long)
         pair, tf = np.unique(doc * vocabulary + np.concatenate([np.empty(0, np.int64), *docs]).astype(np.int64), return_counts=True)
         self.doc, self.term = pair // vocabulary, pair % vocabulary
         df = np.bincount(self.term, minlength=vocabulary)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        weight = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long[self.doc] / max(1e-9, long.mean())))
+        idf = np.log1p((n - df + 0.5) / (df + 0.5)) if idf is None else idf
+        weight = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long[self.doc] / max(1e-9, long.mean() if mean is None else mean)))
         self.weight, self.n, self.query_terms = weight, n, query_terms
         self.of_doc = np.searchsorted(self.doc, np.arange(n + 1))
         order = np.argsort(self.term, kind="stable")
@@ -136,13 +137,13 @@ class Bm25:
         return np.bincount(np.concatenate([self.post_doc[x:y] for x, y in spans]), np.concatenate([self.post_weight[x:y] for x, y in spans]), self.n)
 
 
-def chain(docs: list[np.ndarray], window: int, query_terms: int | None = None) -> list[int]:
+def chain(docs: list[np.ndarray], window: int, query_terms: int | None = None, idf: np.ndarray | None = None, mean: float | None = None) -> list[int]:
     """The order in which documents are laid out.
 
     The first unused document seeds; its unused neighbours follow by falling
     score (ties: the earlier) until the window that holds its end is full or none shares a term, then the next seed comes.
     """
-    index, used, order, filled, next_ = Bm25(docs, query_terms), np.zeros(len(docs), dtype=bool), [], 0, 0
+    index, used, order, filled, next_ = Bm25(docs, query_terms, idf, mean), np.zeros(len(docs), dtype=bool), [], 0, 0
     while len(order) < len(docs):
         while used[next_]:
             next_ += 1
@@ -166,41 +167,260 @@ def chain(docs: list[np.ndarray], window: int, query_terms: int | None = None) -
     return order
 
 
-def _pack(window: int, dtype: str, query_terms: int | None):
+def _index(dtype: str):
+    """A shard's documents and its postings, by term, as one row."""
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["no_id", "doc_id", "ids"], kind="stable")
         docs = [np.frombuffer(x, dtype) for x in rows["ids"]]
-        ids, at, out = [None if none else i for i, none in zip(rows["doc_id"].tolist(), rows["no_id"])], 0, []
-        base = int(rows["shard"].iloc[0]) << 32
-        for i in chain(docs, window, query_terms):
-            whole = np.append(docs[i].astype("<u4"), np.uint32(END_ID))
-            start = 0
-            while start < len(whole):
-                long = min(len(whole) - start, window - at % window)
-                out.append((ids[i], start, long, zlib.crc32(whole[start : start + long].astype("<u4").tobytes()), len(whole), base + at // window, at % window))
-                start, at = start + long, at + long
-        return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"], dtype=object).astype("Int64")
+        long = np.array([len(d) for d in docs], dtype="<u4")
+        term = np.concatenate(docs).astype(np.int64)
+        pair, tf = np.unique(term * len(docs) + np.repeat(np.arange(len(docs)), long), return_counts=True)
+        terms, df = np.unique(pair // len(docs), return_counts=True)
+        parts = (rows["doc_id"].to_numpy("<i8"), rows["no_id"].to_numpy(bool), long, np.concatenate(docs), (pair % len(docs)).astype("<u4"), tf.astype("<u4"), terms.astype("<u4"), df.astype("<u4"))
+        return pd.DataFrame([(int(rows["shard"].iloc[0]), *(x.tobytes() for x in parts))], columns=["shard", *_PARTS])
+
+    return run
+
+
+_PARTS = ("doc_ids", "no_ids", "long", "ids", "post_doc", "post_tf", "terms", "df")
+_FOUND = "block int, lane binary, no binary, score binary, long binary"
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(0, np.int64)
+    for b in batches:
+        for terms, df in zip(b.column("terms").to_pylist(), b.column("df").to_pylist()):
+            if terms:
+                t = np.frombuffer(terms, "<u4")
+                total = np.pad(total, (0, max(0, int(t[-1]) + 1 - len(total))))
+                total[t] += np.frombuffer(df, "<u4")
+    have = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(total[have])], names=["term", "df"])
+
+
+def _ids_of(wanted: dict[int, np.ndarray], dtype: str):
+    """Token ids of documents named by shard and place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, long, ids in zip(*(b.column(c).to_pylist() for c in ("shard", "long", "ids"))):
+                at, width = np.append(0, np.cumsum(np.frombuffer(long, "<u4").astype(np.int64))), np.dtype(dtype).itemsize
+                some = wanted.get(shard, [])
+                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array([ids[at[i] * width : at[i + 1] * width] for i in some], pa.binary())], names=["shard", "place", "ids"])
+
+    return run
+
+
+def _search(base: np.ndarray, used, idf, mean: float, lanes: np.ndarray, need: np.ndarray, queries, blocks: int):
+    """Each query's best unused documents of each shard, as many as fill twice what the query needs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                first = int(base[row["shard"]])
+                long, post, tf, terms, df = (np.frombuffer(row[c], "<u4") for c in ("long", "post_doc", "post_tf", "terms", "df"))
+                free = ~np.unpackbits(used.value[first // 8 : (first + len(long)) // 8 + 1])[first % 8 :][: len(long)].astype(bool)
+                if not free.any():
+                    continue
+                keep, at = free[post], np.repeat(np.arange(len(terms)), df)
+                post, tf, at = post[keep].astype(np.int64), tf[keep].astype(np.float64), at[keep]
+                weight = idf.value[terms[at]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long[post] / max(1e-9, mean)))
+                of_term = np.append(0, np.cumsum(np.bincount(at, minlength=len(terms))))
+                place = np.full(len(idf.value), -1)
+                place[terms] = np.arange(len(terms))
+                out: list[list] = [[] for _ in range(blocks)]
+                for lane, n, query in zip(lanes.tolist(), need.tolist(), queries.value):
+                    p = place[query]
+                    p = p[p >= 0]
+                    spans = [slice(x, y) for x, y in zip(of_term[p].tolist(), of_term[p + 1].tolist()) if x < y]
+                    if not spans:
+                        continue
+                    score = np.bincount(np.concatenate([post[s] for s in spans]), np.concatenate([weight[s] for s in spans]), len(long))
+                    best = _best(score, long, 2 * n)
+                    out[lane % blocks].append((lane, best, score[best]))
+                for k, found in enumerate(out):
+                    if found:
+                        no = np.concatenate([x for _, x, _ in found])
+                        parts = (np.repeat([x for x, _, _ in found], [len(x) for _, x, _ in found]).astype("<i4"), no + first, np.concatenate([x for _, _, x in found]), long[no].astype("<i8") + 1)
+                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["block", "lane", "no", "score", "long"])
+
+    return run
+
+
+def _best(score: np.ndarray, long: np.ndarray, tokens: int, few: int = 64) -> np.ndarray:
+    """Places of the best scores above 0 (ties: the earlier), up to where their documents hold so many tokens."""
+    for k in (few, len(score)):
+        least = np.partition(score, len(score) - k)[len(score) - k] if k < len(score) else 0.0
+        some = np.flatnonzero((score >= least) & (score > 0))
+        some = some[np.argsort(-score[some], kind="stable")]
+        held = np.cumsum(long[some].astype(np.int64) + 1)
+        if k >= len(score) or least <= 0 or held[-1] >= tokens:
+            break
+    return some[: np.searchsorted(held, tokens) + 1]
+
+
+def _merge(lanes: np.ndarray, need: np.ndarray):
+    """The best over all shards for the queries of a block."""
+    need_of = dict(zip(lanes.tolist(), need.tolist()))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        lane, no, score, long = (np.concatenate([np.frombuffer(x, t) for x in rows[c]]) for c, t in (("lane", "<i4"), ("no", "<i8"), ("score", "<f8"), ("long", "<i8")))
+        order = np.lexsort((no, -score, lane))
+        lane, no, long = lane[order], no[order], long[order]
+        held = np.cumsum(long) - long
+        start = np.append(True, lane[1:] != lane[:-1])
+        held -= held[start][np.cumsum(start) - 1]
+        keep = held < 2 * np.array([need_of[x] for x in lane.tolist()])
+        return pd.DataFrame([(lane[keep].tobytes(), no[keep].tobytes())], columns=["lane", "no"])
+
+    return run
+
+
+def _chained(window: int, dtype: str, idf, mean: float):
+    """Lays out what one task holds; for each document its shard, place and start."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["shard", "place"])
+        docs = [np.frombuffer(x, dtype) for x in rows["ids"]]
+        order = np.array(chain(docs, window, None, idf.value, mean))
+        long = np.array([len(d) + 1 for d in docs])[order]
+        return pd.DataFrame({"shard": rows["shard"].to_numpy()[order], "place": rows["place"].to_numpy()[order], "at": np.cumsum(long) - long})
 
     return run
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_bytes: int = 4_000_000, query_terms: int | None = None) -> DataFrame:
+def _pieces(window: int, dtype: str):
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                ids, no_ids = np.frombuffer(row["doc_ids"], "<i8").tolist(), np.frombuffer(row["no_ids"], bool).tolist()
+                edge, tokens, out = np.append(0, np.cumsum(np.frombuffer(row["long"], "<u4").astype(np.int64))), np.frombuffer(row["ids"], dtype), []
+                for p in row["placed"]:
+                    i, at, start = p["place"], p["at"], 0
+                    whole = np.append(tokens[edge[i] : edge[i + 1]].astype("<u4"), np.uint32(END_ID)).astype("<u4")
+                    while start < len(whole):
+                        long = min(len(whole) - start, window - at % window)
+                        out.append((None if no_ids[i] else ids[i], start, long, zlib.crc32(whole[start : start + long].tobytes()), len(whole), (p["lane"] << 32) + at // window, at % window))
+                        start, at = start + long, at + long
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=names)
+
+    return run, ", ".join(f"{n} long" for n in names)
+
+
+def pack_documents(
+    spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_bytes: int = 8_000_000, lane_windows: int = 24, most_lanes: int = 4096
+) -> DataFrame:
     """One row for each piece of a document in a sequence.
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     Every id of every document, its end id included, lies in one piece.  Null
     and empty texts are their end id alone.  Rows that repeat an id are documents of their own; an
-    empty table gives no rows; other columns are not read.  A sequence's number is its shard's times 2**32 plus
-    its place there.  Shards hold about ``shard_bytes`` of text, dealt by a hash of
-    id and text, so their number, not their size, grows with the input.
+    empty table gives no rows; other columns are not read.  A sequence's number is its lane's times 2**32 plus
+    its place there.
+
+    Shards of the index hold about ``shard_bytes`` of text.  In a round every lane
+    has a seed, and every shard is searched for all of them; of a seed's best
+    documents those stay that no earlier lane took, and a lane whose window
+    is not full then asks again.  So each document follows as the best
+    one that is unused over the whole table.  A lane has about ``lane_windows`` windows unless there are ``most_lanes``
+    of them; what is left at less than a shard is laid out by one task.  The driver holds a number and a mark for each document, and the queries of one round.
     """
+    shared = Shared(spark, "packing")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).collect()[0]["n"] or 0
     shards = max(1, -(-total // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
     dtype = tokenizer_at(tokenizer_path).dtype.str
-    tokens = rows.mapInArrow(released(_tokenise(tokenizer_path)), "shard long, doc_id long, ids binary")
+    tokens = rows.mapInArrow(released(_tokenise(tokenizer_path)), "shard int, doc_id long, ids binary")
     # a null among integers would make pandas turn them all into floats
     tokens = tokens.withColumn("no_id", F.col("doc_id").isNull()).fillna(0, ["doc_id"])
-    return tokens.groupBy("shard").applyInPandas(_pack(window, dtype, query_terms), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    index = shared.keep(tokens.groupBy("shard").applyInPandas(_index(dtype), "shard int, " + ", ".join(f"{c} binary" for c in _PARTS)), "index")
+
+    sizes = {r["shard"]: np.frombuffer(r["long"], "<u4") for r in index.select("shard", "long").toLocalIterator()}
+    base = np.append(0, np.cumsum([len(sizes.get(s, ())) for s in range(shards)]))
+    long = np.concatenate([sizes.get(s, np.zeros(0, "<u4")) for s in range(shards)]).astype(np.int64) + 1
+    del sizes
+    used, n = np.zeros(len(long), dtype=bool), len(long)
+    counts = index.select("terms", "df").mapInArrow(_count_terms, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
+    df = np.zeros(int(counts["term"].max()) + 1 if len(counts) else 1)
+    df[counts["term"].to_numpy(int)] = counts["df"]
+    mean, idf = float(long.mean() - 1) if n else 0.0, spark.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)))
+
+    def fetch(numbers: np.ndarray) -> DataFrame:
+        of = np.searchsorted(base, numbers, side="right") - 1
+        wanted = {int(s): (numbers[of == s] - base[s]).astype(np.int32) for s in np.unique(of)}
+        return index.filter(F.col("shard").isin(list(wanted))).select("shard", "long", "ids").mapInArrow(_ids_of(wanted, dtype), "shard int, place int, ids binary")
+
+    def put(force: bool = False) -> None:
+        if placed and (force or len(placed) >= 500_000):
+            no, lane, at = (np.array(x) for x in zip(*placed))
+            of = np.searchsorted(base, no, side="right") - 1
+            table = pd.DataFrame({"shard": of.astype(np.int32), "place": (no - base[of]).astype(np.int32), "lane": lane, "at": at})
+            spark.createDataFrame(table, _PLACED).write.mode("append").parquet(f"{shared.root}/placed")
+            placed.clear()
+
+    def lay(no: int, lane: int) -> bool:
+        """Whether the lane's open window is full with the document."""
+        used[no] = True
+        placed.append((no, lane, int(at[lane])))
+        crossed = at[lane] % window + long[no] >= window
+        at[lane] += long[no]
+        return crossed
+
+    lanes = int(max(1, min(most_lanes, long.sum() // (window * lane_windows))))
+    at, opened, placed, tail, next_ = np.zeros(lanes, dtype=np.int64), {}, [], int(long.sum()) // shards, 0
+    left = int(long.sum())
+    while left > tail or opened:
+        closed = [k for k in range(lanes) if k not in opened][: left // window + 1] if left > tail else []
+        seeds = {}
+        for k in closed:
+            while next_ < n and used[next_]:
+                next_ += 1
+            if next_ == n:
+                break
+            lay(next_, k)
+            seeds[next_] = k
+        if seeds:
+            for r in fetch(np.fromiter(seeds, np.int64)).collect():
+                lane = seeds[int(base[r["shard"]]) + r["place"]]
+                if at[lane] % window:
+                    opened[lane] = np.unique(np.frombuffer(r["ids"], dtype))
+        if opened:
+            which = np.array(sorted(opened))
+            need = window - at[which] % window
+            marks, queries = spark.sparkContext.broadcast(np.packbits(used)), spark.sparkContext.broadcast([opened[k] for k in which.tolist()])
+            found = index.select("shard", "long", "post_doc", "post_tf", "terms", "df").mapInArrow(released(_search(base, marks, idf, mean, which, need, queries, 16)), _FOUND)
+            best: dict[int, list] = {}
+            for r in found.groupBy("block").applyInPandas(_merge(which, need), "lane binary, no binary").collect():
+                for lane, no in zip(np.frombuffer(r["lane"], "<i4").tolist(), np.frombuffer(r["no"], "<i8").tolist()):
+                    best.setdefault(lane, []).append(no)
+            for lane, needed in zip(which.tolist(), need.tolist()):
+                full, listed = False, best.get(lane, [])
+                for no in listed:
+                    if not used[no] and lay(no, lane):
+                        full = True
+                        break
+                # a list that holds less than was asked for had all that share a term
+                if full or long[listed].sum() < 2 * needed:
+                    del opened[lane]
+            marks.unpersist()
+            queries.unpersist()
+        left = int(long[~used].sum())
+        put()
+    rest = np.flatnonzero(~used)
+    if len(rest):
+        laid = fetch(rest).withColumn("task", F.lit(0)).groupBy("task").applyInPandas(_chained(window, dtype, idf, mean), "shard int, place int, at long")
+        laid.select("shard", "place", F.lit(lanes).cast("long").alias("lane"), "at").write.mode("append").parquet(f"{shared.root}/placed")
+    put(force=True)
+    run, schema = _pieces(window, dtype)
+    if not n:
+        return spark.createDataFrame([], schema)
+    places = spark.read.schema(_PLACED).parquet(f"{shared.root}/placed").groupBy("shard").agg(F.collect_list(F.struct("place", "lane", "at")).alias("placed"))
+    return index.select("shard", "doc_ids", "no_ids", "long", "ids").join(places, "shard").drop("shard").mapInArrow(released(run), schema)
+
+
+_PLACED = "shard int, place int, lane long, at long"

@@ -378,6 +378,33 @@ def test_neighbours_follow_a_seed_longer_than_a_window():
     assert packing.chain(docs, 20) == [0, 2, 1]
 
 
+def test_neighbours_come_from_every_shard(spark):
+    rnd = random.Random(5)
+    words = [f"{a}{b}{c}" for a in "bcdfgh" for b in ("an", "or", "ist") for c in ("el", "um", "ita", "o")]
+    topics = [rnd.sample(words, 6) for _ in range(12)]
+    rows = [(i, " ".join(rnd.choice(topics[i % 12]) for _ in range(120))) for i in range(240)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collect(packing.pack_documents(spark, table, TOKENIZER, window=1500, shard_bytes=10_000))
+    assert sum(r["length"] for r in got) == sum({r["doc_id"]: r["doc_tokens"] for r in got}.values())
+    in_window = defaultdict(set)
+    for r in got:
+        in_window[r["sequence_id"]].add(r["doc_id"])
+    pairs = [(a, b) for ids in in_window.values() for a in ids for b in ids if a < b]
+    assert np.mean([a % 12 == b % 12 for a, b in pairs]) > 0.4
+
+
+def test_best_equals_a_full_sort():
+    rnd = np.random.default_rng(1)
+    for n, tokens in ((5, 30), (300, 50), (300, 3000), (300, 10**6)):
+        score, long = rnd.integers(0, 9, n) / 4, rnd.integers(0, 20, n).astype("<u4")
+        want, held = [], 0
+        for i in sorted(np.flatnonzero(score > 0), key=lambda i: (-score[i], i)):
+            if held < tokens:
+                want.append(i)
+                held += int(long[i]) + 1
+        assert packing._best(score, long, tokens).tolist() == want
+
+
 def test_cached_ids_equal_the_tokenizer_s(rows):
     from tokenizers import Tokenizer
 
