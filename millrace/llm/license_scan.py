@@ -5,7 +5,8 @@ rare first.  A block that contains the needed share of a template's tokens has
 at least one of the template's first ``m - need + 1`` tokens (prefix filter),
 at least ``need`` template tokens (length filter), and its first common token
 stands early enough in both orders (positional filter).  What passes is
-verified once for each block and template.  Built-in functions only.
+verified once for each block and template.  Windows of words are looked at
+around the template's rare tokens only, for the same reason.  Built-in functions only.
 """
 
 from __future__ import annotations
@@ -58,28 +59,29 @@ def token_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
     return sorted(vocabulary, key=lambda t: (counts.get(t, 0), t))
 
 
-def scan_licenses(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan_licenses(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD, windows: bool = False) -> DataFrame:
     """One row for each document with the places of the phrases and all labels.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels,
-    labels, score.  A block is a line.  ``score`` is the largest containment of
+    labels, score.  A block is a line; with ``windows`` a line of at most twice a
+    template's words, and any run of as many words as the template has, over line ends.  ``score`` is the largest containment of
     a template, 1 where a phrase stands, else 0.  A null text is empty: no
     words, empty label strings, null places.  Repeated rows are kept apart;
     other columns are not read; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sets = [(sorted(set(t.split())), label) for t, label in templates]
-    order = token_order(rows, sorted({w for s, _ in sets for w in s}))
+    sets = [(sorted(set(t.split())), label, len(t.split())) for t, label in templates]
+    order = token_order(rows, sorted({w for s, _, _ in sets for w in s}))
     rank = {w: i for i, w in enumerate(order)}
     index = []
-    for k, (tokens, label) in enumerate(sets):
+    for k, (tokens, label, long) in enumerate(sets):
         tokens = sorted(tokens, key=rank.get)
         need = needed(len(tokens), threshold)
-        index += [(tokens[i], i, k, tokens, need, label) for i in range(len(tokens) - need + 1)]
+        index += [(tokens[i], i, k, tokens, need, label, long) for i in range(len(tokens) - need + 1)]
     least = min(x[4] for x in index)
     prefix = sorted({x[0] for x in index})
     # the index holds the prefixes of the fixed templates: a few dozen rows
-    templates_by_token = F.broadcast(spark.createDataFrame(index, "t_token string, t_at int, t_id int, t_tokens array<string>, t_need int, t_label string"))
+    templates_by_token = F.broadcast(spark.createDataFrame(index, "t_token string, t_at int, t_id int, t_tokens array<string>, t_need int, t_label string, t_words int"))
 
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     rows = rows.withColumn("low", lower_ascii(F.col("text")))
@@ -97,11 +99,25 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         return out
 
     ordered = F.array(*map(F.lit, order))
-    blocks = F.transform(F.split("low", "\n"), lambda line: F.array_intersect(ordered, F.split(line, GAP)))
-    blocks = F.filter(F.when(F.arrays_overlap("words", F.array(*map(F.lit, prefix))), blocks).otherwise(F.array().cast("array<array<string>>")), lambda b: (F.size(b) >= least) & F.arrays_overlap(b, F.array(*map(F.lit, prefix))))
+    rare, span = F.array(*map(F.lit, prefix)), max(x[6] for x in index)
+
+    def line_block(line: Column) -> Column:
+        own = F.split(line, GAP)
+        return F.struct(F.array_intersect(ordered, own).alias("tokens"), F.size(F.filter(own, lambda w: w != "")).alias("long"), F.lit(None).cast("array<string>").alias("around"), F.lit(None).cast("int").alias("mid"))
+
+    def around_block(w: Column, i: Column) -> Column:
+        start = F.greatest(i + 2 - span, F.lit(1))
+        around = F.slice("words", start, i + 1 + span - start)
+        return F.when(F.array_contains(rare, w), F.struct(F.array(w).alias("tokens"), F.lit(None).cast("int").alias("long"), around.alias("around"), (i + 2 - start).alias("mid")))
+
+    blocks = F.filter(F.transform(F.split("low", "\n"), line_block), lambda b: (F.size(b["tokens"]) >= least) & F.arrays_overlap(b["tokens"], rare))
+    if windows:
+        blocks = F.concat(blocks, F.filter(F.transform("words", around_block), lambda b: b.isNotNull() & (F.size(F.array_intersect(ordered, b["around"])) >= least)))
+    blocks = F.when(F.arrays_overlap("words", rare), blocks)
     rows = rows.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), F.filter(F.transform("words", here), lambda x: x.isNotNull()).alias("hits"), blocks.alias("blocks"))
 
-    pairs = rows.select("doc_id", "row", "n_words", "hits", F.posexplode_outer("blocks").alias("b_at", "b_tokens"))
+    pairs = rows.select("doc_id", "row", "n_words", "hits", F.explode_outer("blocks").alias("b"))
+    pairs = pairs.select("doc_id", "row", "n_words", "hits", F.col("b.tokens").alias("b_tokens"), F.col("b.long").alias("b_words"), F.col("b.around").alias("around"), F.col("b.mid").alias("mid"))
     pairs = pairs.select("*", F.explode_outer("b_tokens").alias("b_token"))
     b_at = F.array_position("b_tokens", F.col("b_token")) - 1
     pairs = pairs.join(templates_by_token, F.col("b_token") == F.col("t_token"), "left")
@@ -110,6 +126,11 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     shared = F.array_intersect("t_tokens", "b_tokens")
     first = F.element_at(shared, 1) == F.col("b_token")  # each pair is verified at its first common token only
     met = F.when(possible & first, F.size(shared)).otherwise(0)
+    if windows:
+        starts = F.sequence(F.greatest(F.col("mid") - F.col("t_words") + 1, F.lit(1)), F.col("mid"))
+        best = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect("t_tokens", F.slice("around", s, F.col("t_words"))))))
+        near = F.when(F.size(F.array_intersect("t_tokens", "around")) >= F.col("t_need"), best).otherwise(0)
+        met = F.when(F.col("mid").isNotNull(), near).when(F.col("b_words") <= 2 * F.col("t_words"), met).otherwise(0)
     match = F.when(met >= F.col("t_need"), F.struct(F.col("t_label").alias("label"), (met / F.size("t_tokens")).alias("share")))
     found = pairs.select("doc_id", "row", "n_words", "hits", match.alias("match"))
     found = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("hits").alias("hits"), F.collect_set("match.label").alias("more"), F.max("match.share").alias("share"))

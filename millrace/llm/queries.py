@@ -18,7 +18,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(spark, table(spark, sf_dir, "documents"))
+    return license_scan.scan_licenses(spark, table(spark, sf_dir, "documents"), windows=True)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from millrace.llm import components, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, sharding, url_filter
+from millrace.llm import components, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, queries, sharding, url_filter
 from millrace.llm.common import Shared, named_words, shingle_sets, table, word_hashes, words_of
 
 SF = "/root/testdata/sf0.001"
@@ -185,6 +185,45 @@ def test_license_prefix_join_loses_nothing(spark):
         assert got[i]["score"] == pytest.approx(1.0 if base else best)
 
 
+def test_license_notices_over_line_ends(spark, tmp_path):
+    far = "released " + "x " * 3000 + "under " + "x " * 3000 + "mit " + "x " * 3000 + "license"
+    rows = [
+        (1, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided", {"bsd"}),
+        (2, "licensed under the Apache\nLicense,\n\nVersion 2.0", {"apache"}),
+        (3, far, set()),
+        (4, "Released, as of now, under the\twell known MIT license", {"mit"}),
+        (5, "x " * 500 + "released under the MIT license " + "x " * 500, {"mit"}),
+    ]
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in collect(queries.op3_license_scan(spark, str(tmp_path)))}
+    assert {i: set(filter(None, r["labels"].split(","))) for i, r in got.items()} == {i: labels for i, _, labels in rows}
+
+
+def test_license_windows_equal_brute_force(spark):
+    rnd = random.Random(8)
+    vocabulary = sorted({w for t, _ in license_scan.TEMPLATES for w in t.split()}) + ["other", "words"]
+    rows = []
+    for i in range(200):
+        words = []
+        for _ in range(rnd.randrange(1, 4)):
+            t = rnd.choice(license_scan.TEMPLATES)[0].split()
+            words += [w if rnd.random() < 0.9 else rnd.choice(vocabulary) for w in t] + rnd.choices(vocabulary, k=rnd.randrange(12))
+        rows.append((i, "".join(w + rnd.choice("    \n") for w in words)))
+    got = {r["doc_id"]: r for r in collect(license_scan.scan_licenses(spark, spark.createDataFrame(rows, "doc_id long, text string"), windows=True))}
+    for i, text in rows:
+        found, best = set(), 0
+        for t, label in license_scan.TEMPLATES:
+            want, n, words = set(t.split()), len(t.split()), text.split()
+            blocks = [words[k : k + n] for k in range(len(words))] + [x for x in map(str.split, text.split("\n")) if len(x) <= 2 * n]
+            share = max(len(want & set(b)) / len(want) for b in blocks)
+            if share >= license_scan.THRESHOLD:
+                found.add(label)
+                best = max(best, share)
+        base = set(filter(None, got[i]["base_labels"].split(",")))
+        assert set(filter(None, got[i]["labels"].split(","))) == found | base
+        assert got[i]["score"] == pytest.approx(1.0 if base else best)
+
+
 def test_quality_rules_on_odd_rows(odd_docs, no_docs, rows):
     got = defaultdict(list)
     for r in collect(quality_rules.quality_rules(odd_docs)):
