@@ -38,14 +38,15 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 12, keep_every: int = 4) -> DataFrame:
+def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 12, keep_every: int = 4, tolerance: float | None = None) -> DataFrame:
     """Personalised PageRank of trust along edges and of distrust against them.
 
     ``hosts``: host, trust_seed, distrust_seed (weights of at least 0);
     ``edges``: src, dst, weight.  Returns host, trust, distrust, each summing
     to 1 at most; mass that reaches a host without edges out is lost, which
     changes no comparison of two hosts.  Tables are written every few rounds,
-    which bounds the plan and the work that a lost executor costs.
+    which bounds the plan and the work that a lost executor costs.  With a
+    ``tolerance`` the rounds end once no mass changes by more between two such tables.
     """
     both = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("src").alias("at"), F.col("dst").alias("to")), F.struct(F.lit("distrust").alias("kind"), F.col("dst").alias("at"), F.col("src").alias("to"))))
     steps = edges.select(both.alias("e"), "weight").select("e.*", "weight")
@@ -54,21 +55,27 @@ def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float
     seeds = hosts.select(F.col("host").alias("at"), F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("trust_seed").alias("seed")), F.struct(F.lit("distrust").alias("kind"), F.col("distrust_seed").alias("seed")))).alias("s")).select("at", "s.*").filter("seed > 0")
     totals = seeds.groupBy("kind").agg(F.sum("seed").alias("total"))
     seeds = shared.keep(seeds.join(totals, "kind").select("kind", "at", (F.col("seed") / F.col("total")).alias("mass")), "seeds")
-    rank = seeds
+    rank = last = seeds
     for k in range(1, rounds + 1):
         sent = rank.join(steps, ["kind", "at"]).select("kind", F.col("to").alias("at"), (F.col("mass") * F.col("share") * damping).alias("mass"))
         rank = sent.unionByName(seeds.withColumn("mass", F.col("mass") * (1 - damping))).groupBy("kind", "at").agg(F.sum("mass").alias("mass"))
         if k % keep_every == 0:
             rank = shared.keep(rank, f"rank{k}")
+            if tolerance is not None:
+                moved = rank.unionByName(last.withColumn("mass", -F.col("mass"))).groupBy("kind", "at").agg(F.abs(F.sum("mass")).alias("moved")).agg(F.max("moved").alias("most"))
+                if (moved.collect()[0]["most"] or 0.0) <= tolerance:
+                    break
+                last = rank
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)).alias(kind)
     return rank.groupBy(F.col("at").alias("host")).agg(of("trust"), of("distrust"))
 
 
-def judge_urls(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES, damping: float = 0.85, rounds: int = 12) -> DataFrame:
+def judge_urls(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES, damping: float = 0.85, rounds: int = 10_000, least: float = 1e-9) -> DataFrame:
     """One row for each page: page_id, host, path, rule, verdict.
 
     A rule decides where one fits.  Else the host decides: it is blocked when
-    it has distrust and no less of it than trust.  Seeds: a host's allowed pages give it
+    it has distrust, more than ``least`` of an even share, and no less of it than trust; both are
+    propagated until they change by a hundredth of that at most.  Seeds: a host's allowed pages give it
     trust unless any of its pages is blocked; hosts with at least half their
     pages blocked have distrust.  Links that name a host count once for each
     pair of page and host; relative links stay in their host and carry nothing.  A null
@@ -85,7 +92,8 @@ def judge_urls(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", u
     of = lambda v: F.sum(F.when(F.col("ruled") == v, 1.0).otherwise(0.0)).alias(v)
     hosts = named.groupBy("host").agg(F.count("*").alias("n"), of("allow"), of("block"))
     hosts = shared.keep(hosts.select("host", F.when(F.col("block") == 0, F.col("allow")).otherwise(0.0).alias("trust_seed"), F.when(2 * F.col("block") >= F.col("n"), F.col("block")).otherwise(0.0).alias("distrust_seed")), "hosts")
-    ranks = propagate(shared, hosts, edges, damping, rounds)
-    bad = ranks.filter((F.col("distrust") > 0) & (F.col("distrust") >= F.col("trust"))).select(F.col("host").alias("bad_host"))
+    least /= max(1, hosts.count())
+    ranks = propagate(shared, hosts, edges, damping, rounds, tolerance=least / 100)
+    bad = ranks.filter((F.col("distrust") > least) & (F.col("distrust") >= F.col("trust"))).select(F.col("host").alias("bad_host"))
     judged = rows.join(bad, F.col("host") == F.col("bad_host"), "left")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("bad_host").isNotNull(), "block").otherwise("allow")).alias("verdict"))

@@ -488,6 +488,13 @@ def test_propagation_equals_brute_force(spark):
             assert not good.get(h) and not bad.get(h)
 
 
+def test_distrust_reaches_past_twelve_links(spark):
+    rows = [(i, f"http://h{i}.test/", f"<a href='http://h{i + 1}.test/'>" if i < 19 else "<a href='http://bad.net/'>") for i in range(20)]
+    pages = spark.createDataFrame([*rows, (20, "http://bad.net/", ""), (21, "http://h99.test/", "")], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in collect(url_filter.judge_urls(spark, pages))}
+    assert got == {i: "block" for i in range(21)} | {21: "allow"}
+
+
 def test_urls(spark):
     rows = [
         (1, "https://A.Example.NET/en/x?q#f", None),
