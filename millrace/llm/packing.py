@@ -1,426 +1,310 @@
 """Packing by lexical retrieval: BM25 neighbours of seed documents share their sequences.
 
-Documents are tokenised once and dealt to index shards of bounded size.  Every
-shard is searched for every seed, and the merged order gives each seed's unused
-neighbours in the whole table by BM25; these fill the seed's window greedily.
-What a window can't hold of a document opens the next one of its lane.  So all
-sequences of a lane are full but the last.
+1. Documents are tokenised once; words (runs of ids) are counted in one table
+   of fixed size over all documents, which gives BM25 its document frequencies.
+2. Documents are dealt to the shards of an inverted index by a lexical key, so
+   neighbours meet: the order in which a document is near to reference vectors
+   (a permutation index), then its least word hash.  Shards are ranges of the key.
+3. In a shard, the first unused document seeds, BM25 with all of its words
+   ranks the unused ones, and these follow until its window is full.
+
+A shard's sequences are all full but the last.
 """
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shared, released
+from .common import Shared, draw, mix, released
+from .counts import BLOCK_BITS, SCALE, count_table, packed
+from .tokens import binary_of, spread, tokenizer_at, word_terms
 
 #: Id that ends every document.
 END_ID = 2
 #: BM25's constants.
 K1, B = 1.2, 0.75
+#: Counters of words are 2**SLOT_BITS; reference vectors have 2**FEATURE_BITS entries.
+SLOT_BITS, FEATURE_BITS = 22, 13
+#: References, how many of the nearest make up a key, and bits of the key for each, for the least word hash and for the row.
+REFERENCES, NEAREST, REFERENCE_BITS, LEAST_BITS, ROW_BITS = 32, 4, 5, 24, 19
 
 
-#: Pieces whose characters map one to one, so a joined text's offsets are theirs; others are encoded one by one.
-_PLAIN = re.compile(r"[\x21-\x3b\x3d-\x7e\u00c0-\u00ff]+")
-#: White space to ``str.split`` but not to tokenizers.
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+def features(ids: np.ndarray) -> np.ndarray:
+    """The entry of each token id in a reference vector."""
+    return (ids.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(32 - FEATURE_BITS)).astype(np.int64)
 
 
-def pieces_of(text: str) -> list[str]:
-    """What stands between white space."""
-    return re.split(r"[ \t\r\n]+", text) if _SEPARATORS.search(text) else text.split()
+def halves(x: np.ndarray, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """The means of two groups of like unit vectors, begun from the one farthest from all and the one farthest from that."""
+    one = x[(x @ x.mean(0)).argmin()]
+    means = np.stack([one, x[(x @ one).argmin()]])
+    for _ in range(rounds):
+        near = (x @ means.T).argmax(1)
+        means = np.stack([x[near == k].mean(0) if (near == k).any() else means[k] for k in (0, 1)])
+        means /= np.maximum(1e-9, np.linalg.norm(means, axis=1, keepdims=True))
+    return means, (x @ means.T).argmax(1)
 
 
-class WordTokenizer:
-    """Token ids of whole texts by way of a bounded cache of ids by white-space separated piece.
+def references(docs: list[np.ndarray]) -> np.ndarray:
+    """Reference vectors (entries, references), weighted for a sum over a document's ids.
 
-    For tokenizers that split at white space and drop it, whose normaliser
-    doesn't look across it: ids of a text are those of its pieces in order.
-    The cache holds the pieces met lately, in two halves of which the older is dropped in turn.
+    They are the means of groups of a sample that is halved again and again,
+    so references of near numbers are alike.
     """
-
-    def __init__(self, path: str, cache_size: int = 250_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has its core
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.young, self.old, self.size = Tokenizer.from_file(path), {}, {}, cache_size
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def _learn(self, pieces: list[str]) -> None:
-        plain, odd = [], []
-        for p in pieces:
-            got = self.old.get(p)
-            if got is None:
-                (plain if _PLAIN.fullmatch(p) else odd).append(p)
-            else:
-                self.young[p] = got
-        for p, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-            self.young[p] = np.array(e.ids, self.dtype).tobytes()
-        if plain:
-            e = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            ids, width = np.array(e.ids, self.dtype).tobytes(), self.dtype.itemsize
-            begin = np.cumsum([0, *(len(p) + 1 for p in plain)])
-            cut = (np.searchsorted([o[0] for o in e.offsets], begin) * width).tolist()
-            self.young.update(zip(plain, (ids[a:b] for a, b in zip(cut, cut[1:]))))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes."""
-        split = [pieces_of(t) for t in texts]
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
-        self._learn(list(set().union(*split) - self.young.keys()))
-        get = self.young.__getitem__
-        return [b"".join(map(get, s)) for s in split]
-
-
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
-def tokenizer_at(path: str) -> WordTokenizer:
-    """One tokenizer for each worker process, so its cache serves all of its tasks."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
-
-
-def _tokenise(path: str, step: int = 1 << 21):
+    n, depth = 1 << FEATURE_BITS, REFERENCE_BITS
+    x = np.zeros((max(1, len(docs)), n), dtype=np.float32)
+    for i, d in enumerate(docs):
+        x[i] = np.bincount(features(d), minlength=n)
+    weight = np.log1p(len(x) / (1.0 + (x > 0).sum(0))).astype(np.float32)
+    x *= weight
+    x /= np.maximum(1e-9, np.linalg.norm(x, axis=1, keepdims=True))
+    groups = [(x.mean(0), np.arange(len(x)))]
+    for _ in range(depth):
+        halved = []
+        for mean, own in groups:
+            means, near = halves(x[own]) if len(own) > 1 else (np.stack([mean, mean]), np.zeros(len(own)))
+            halved += [(means[k], own[near == k]) for k in (0, 1)]
+        groups = halved
+    return np.ascontiguousarray(np.stack([mean for mean, _ in groups], axis=1) * weight[:, None])
+
+
+def lexical_keys(ids: np.ndarray, long: np.ndarray, least: np.ndarray, vectors: np.ndarray, row: np.ndarray, together: int = 128) -> np.ndarray:
+    """A key of 63 bits for each document: its nearest references in order, its least word hash, its row."""
+    near, edge, entry, n = np.zeros((len(long), REFERENCES), dtype=np.float32), np.append(0, np.cumsum(long)), features(ids), len(vectors)
+    for i in range(0, len(long), together):
+        some = long[i : i + together]
+        at = entry[edge[i] : edge[i + len(some)]] + np.repeat(np.arange(len(some)) * n, some)
+        near[i : i + len(some)] = np.bincount(at, minlength=len(some) * n).reshape(len(some), n).astype(np.float32) @ vectors
+    order = np.argsort(-near, axis=1, kind="stable")[:, :NEAREST]
+    key = np.zeros(len(long), dtype=np.int64)
+    for k in range(NEAREST):
+        key = key << REFERENCE_BITS | order[:, k]
+    return (key << LEAST_BITS | (least >> np.uint64(64 - LEAST_BITS)).astype(np.int64)) << ROW_BITS | (mix(row.astype(np.uint64)) >> np.uint64(64 - ROW_BITS)).astype(np.int64)
+
+
+def _tokenised(path: str, texts: pa.Array, step: int = 1 << 24) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ids and their numbers of texts [i, j), about ``step`` bytes at a time."""
+    size = np.append(0, np.cumsum(pa.compute.binary_length(texts).to_numpy().astype(np.int64)))
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(size, size[i] + step, side="right")) - 1)
+        yield i, j, *tokenizer_at(path).encode(texts.slice(i, j - i))
+        i = j
+
+
+def _ids(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer_at(path)
         for b in batches:
-            ids, size, shard, texts = b.column("doc_id"), 0, b.column("shard"), b.column("text").to_pylist()
-            first, n = 0, len(texts)
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size >= step or i == n - 1:
-                    part = tok.encode(texts[first : i + 1])
-                    yield pa.RecordBatch.from_arrays([shard.slice(first, i + 1 - first), ids.slice(first, i + 1 - first), pa.array(part, pa.binary())], names=["shard", "doc_id", "ids"])
-                    first, size = i + 1, 0
-
-    return run
-
-
-class Bm25:
-    """Inverted index of documents given as arrays of token ids; queries have all of a seed's distinct terms, or its heaviest ``query_terms``; ``idf`` and ``mean`` length may be those of more documents."""
-
-    def __init__(self, docs: list[np.ndarray], query_terms: int | None = None, idf: np.ndarray | None = None, mean: float | None = None):
-        n, long = len(docs), np.array([len(d) for d in docs])
-        vocabulary = int(max((int(d.max()) for d in docs if len(d)), default=0)) + 1
-        doc = np.repeat(np.arange(n), long)
-        pair, tf = np.unique(doc * vocabulary + np.concatenate([np.empty(0, np.int64), *docs]).astype(np.int64), return_counts=True)
-        self.doc, self.term = pair // vocabulary, pair % vocabulary
-        df = np.bincount(self.term, minlength=vocabulary)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5)) if idf is None else idf
-        weight = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long[self.doc] / max(1e-9, long.mean() if mean is None else mean)))
-        self.weight, self.n, self.query_terms = weight, n, query_terms
-        self.of_doc = np.searchsorted(self.doc, np.arange(n + 1))
-        order = np.argsort(self.term, kind="stable")
-        self.post_doc, self.post_weight = self.doc[order], weight[order]
-        self.of_term = np.searchsorted(self.term[order], np.arange(vocabulary + 1))
-
-    def scores(self, seed: int) -> np.ndarray:
-        """BM25 of all documents for a query of the seed's terms."""
-        a, b = self.of_doc[seed], self.of_doc[seed + 1]
-        at = np.arange(a, b)
-        if self.query_terms is not None and len(at) > self.query_terms:
-            at = at[np.argpartition(-self.weight[a:b], self.query_terms)[: self.query_terms]]
-        spans = [(self.of_term[t], self.of_term[t + 1]) for t in self.term[at]]
-        if not spans:
-            return np.zeros(self.n)
-        return np.bincount(np.concatenate([self.post_doc[x:y] for x, y in spans]), np.concatenate([self.post_weight[x:y] for x, y in spans]), self.n)
-
-
-def chain(docs: list[np.ndarray], window: int, query_terms: int | None = None, idf: np.ndarray | None = None, mean: float | None = None) -> list[int]:
-    """The order in which documents are laid out.
-
-    The first unused document seeds; its unused neighbours follow by falling
-    score (ties: the earlier) until the window that holds its end is full or none shares a term, then the next seed comes.
-    """
-    index, used, order, filled, next_ = Bm25(docs, query_terms, idf, mean), np.zeros(len(docs), dtype=bool), [], 0, 0
-    while len(order) < len(docs):
-        while used[next_]:
-            next_ += 1
-        seed = next_
-        used[seed] = True
-        order.append(seed)
-        filled = (filled + len(docs[seed]) + 1) % window
-        if not filled:
-            continue
-        score = index.scores(seed)
-        score[used] = 0
-        for i in np.argsort(-score, kind="stable"):
-            if score[i] <= 0:
-                break
-            used[i] = True
-            order.append(int(i))
-            filled += len(docs[i]) + 1
-            if filled >= window:
-                filled %= window
-                break
-    return order
-
-
-def _index(dtype: str):
-    """A shard's documents and its postings, by term, as one row."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["no_id", "doc_id", "ids"], kind="stable")
-        docs = [np.frombuffer(x, dtype) for x in rows["ids"]]
-        long = np.array([len(d) for d in docs], dtype="<u4")
-        term = np.concatenate(docs).astype(np.int64)
-        pair, tf = np.unique(term * len(docs) + np.repeat(np.arange(len(docs)), long), return_counts=True)
-        terms, df = np.unique(pair // len(docs), return_counts=True)
-        parts = (rows["doc_id"].to_numpy("<i8"), rows["no_id"].to_numpy(bool), long, np.concatenate(docs), (pair % len(docs)).astype("<u4"), tf.astype("<u4"), terms.astype("<u4"), df.astype("<u4"))
-        return pd.DataFrame([(int(rows["shard"].iloc[0]), *(x.tobytes() for x in parts))], columns=["shard", *_PARTS])
+            for _, _, ids, long in _tokenised(path, b.column("text")):
+                yield pa.RecordBatch.from_arrays([binary_of(ids, long).cast(pa.binary())], names=["ids"])
 
     return run
 
 
-_PARTS = ("doc_ids", "no_ids", "long", "ids", "post_doc", "post_tf", "terms", "df")
-_FOUND = "block int, lane binary, no binary, score binary, long binary"
-
-
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for b in batches:
-        for terms, df in zip(b.column("terms").to_pylist(), b.column("df").to_pylist()):
-            if terms:
-                t = np.frombuffer(terms, "<u4")
-                total = np.pad(total, (0, max(0, int(t[-1]) + 1 - len(total))))
-                total[t] += np.frombuffer(df, "<u4")
-    have = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(total[have])], names=["term", "df"])
-
-
-def _ids_of(wanted: dict[int, np.ndarray], dtype: str):
-    """Token ids of documents named by shard and place."""
+def _survey(path: str, shared_vectors):
+    """Rows of documents, then this task's counts of documents by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        me, at, counts, final = TaskContext.get().partitionId(), 0, np.zeros(1 << SLOT_BITS, dtype=np.uint32), tokenizer_at(path).final
+        names = ["doc_id", "ids", "tokens", "words", "key", "block", "part", "counts"]
         for b in batches:
-            for shard, long, ids in zip(*(b.column(c).to_pylist() for c in ("shard", "long", "ids"))):
-                at, width = np.append(0, np.cumsum(np.frombuffer(long, "<u4").astype(np.int64))), np.dtype(dtype).itemsize
-                some = wanted.get(shard, [])
-                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array([ids[at[i] * width : at[i + 1] * width] for i in some], pa.binary())], names=["shard", "place", "ids"])
-
-    return run
-
-
-def _search(base: np.ndarray, used, idf, mean: float, lanes: np.ndarray, need: np.ndarray, queries, blocks: int):
-    """Each query's best unused documents of each shard, as many as fill twice what the query needs."""
+            for i, j, ids, long in _tokenised(path, b.column("text")):
+                terms, words = word_terms(ids, long, final)
+                doc = np.repeat(np.arange(j - i), words)
+                slots = np.unique(doc << SLOT_BITS | (terms >> np.uint64(64 - SLOT_BITS)).astype(np.int64)) & ((1 << SLOT_BITS) - 1)
+                counts += np.bincount(slots, minlength=len(counts)).astype(np.uint32)
+                least = np.zeros(j - i, dtype=np.uint64)
+                if len(terms):
+                    least[words > 0] = np.minimum.reduceat(terms, (np.cumsum(words) - words)[words > 0])
+                key = lexical_keys(ids, long, least, shared_vectors.value, (me << 32) + at + np.arange(j - i))
+                at += j - i
+                none = pa.nulls(j - i, pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), binary_of(ids, long).cast(pa.binary()), pa.array(long), pa.array(words), pa.array(key), none, none, pa.nulls(j - i, pa.binary())], names=names)
+        for k, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64())] * 3, pa.array([k], pa.int32()), pa.array([me], pa.int32()), pa.array([packed(part)], pa.binary())], names=names)
+
+    return run, "doc_id long, ids binary, tokens long, words long, key long, block int, part int, counts binary"
+
+
+def postings(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, term (numbered), and frequency of each distinct pair, by document; and each term's hash.  Terms are the leading 40 bits of their hashes."""
+    doc = np.repeat(np.arange(len(words)), words)
+    pair, tf = np.unique(doc << 40 | (terms >> np.uint64(24)).astype(np.int64), return_counts=True)
+    names, term = np.unique(pair & ((1 << 40) - 1), return_inverse=True)
+    return (pair >> 40).astype(np.int32), term.astype(np.int32), tf.astype(np.float32), names.astype(np.uint64) << np.uint64(24)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                first = int(base[row["shard"]])
-                long, post, tf, terms, df = (np.frombuffer(row[c], "<u4") for c in ("long", "post_doc", "post_tf", "terms", "df"))
-                free = ~np.unpackbits(used.value[first // 8 : (first + len(long)) // 8 + 1])[first % 8 :][: len(long)].astype(bool)
-                if not free.any():
-                    continue
-                keep, at = free[post], np.repeat(np.arange(len(terms)), df)
-                post, tf, at = post[keep].astype(np.int64), tf[keep].astype(np.float64), at[keep]
-                weight = idf.value[terms[at]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * long[post] / max(1e-9, mean)))
-                of_term = np.append(0, np.cumsum(np.bincount(at, minlength=len(terms))))
-                place = np.full(len(idf.value), -1)
-                place[terms] = np.arange(len(terms))
-                out: list[list] = [[] for _ in range(blocks)]
-                for lane, n, query in zip(lanes.tolist(), need.tolist(), queries.value):
-                    p = place[query]
-                    p = p[p >= 0]
-                    spans = [slice(x, y) for x, y in zip(of_term[p].tolist(), of_term[p + 1].tolist()) if x < y]
-                    if not spans:
-                        continue
-                    score = np.bincount(np.concatenate([post[s] for s in spans]), np.concatenate([weight[s] for s in spans]), len(long))
-                    best = _best(score, long, 2 * n)
-                    out[lane % blocks].append((lane, best, score[best]))
-                for k, found in enumerate(out):
-                    if found:
-                        no = np.concatenate([x for _, x, _ in found])
-                        parts = (np.repeat([x for x, _, _ in found], [len(x) for _, x, _ in found]).astype("<i4"), no + first, np.concatenate([x for _, _, x in found]), long[no].astype("<i8") + 1)
-                        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["block", "lane", "no", "score", "long"])
 
-    return run
+class Bm25:
+    """Inverted index of some documents' postings; a query has all distinct terms of an indexed document.
 
+    Terms in more than a ``dense``-th of the documents are rows of a matrix,
+    so several queries share one product; the others have postings.
+    """
 
-def _best(score: np.ndarray, long: np.ndarray, tokens: int, few: int = 64) -> np.ndarray:
-    """Places of the best scores above 0 (ties: the earlier), up to where their documents hold so many tokens."""
+    def __init__(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, dense: int = 16):
+        self.n, df = n, np.bincount(term) if len(term) else np.zeros(1, np.int64)
+        row = np.full(len(df), -1)
+        often = np.flatnonzero(df * dense > n) if n > dense else np.zeros(0, np.int64)
+        row[often] = np.arange(len(often))
+        common = row[term] >= 0
+        self.matrix = np.zeros((len(often), n), dtype=np.float32)
+        self.matrix[row[term[common]], doc[common]] = weight[common]
+        self.common, self.common_of = row[term[common]], np.searchsorted(doc[common], np.arange(n + 1))
+        own = ~common & (df[term] > 1)  # a term of one document finds no other
+        doc, term, weight = doc[own], term[own], weight[own]
+        self.term, self.term_of = term, np.searchsorted(doc, np.arange(n + 1))
+        order = np.argsort(term, kind="stable")
+        self.doc, self.weight = doc[order], weight[order]
+        self.of = np.searchsorted(term[order], np.arange(len(df) + 1))
+
+    def scores(self, seeds: list[int]) -> Iterator[np.ndarray]:
+        """BM25 of all documents for each seed."""
+        ask = np.zeros((len(seeds), len(self.matrix)), dtype=np.float32)
+        for i, s in enumerate(seeds):
+            ask[i, self.common[self.common_of[s] : self.common_of[s + 1]]] = 1
+        for s, score in zip(seeds, ask @ self.matrix):
+            terms = self.term[self.term_of[s] : self.term_of[s + 1]]
+            at = spread(self.of[terms], self.of[terms + 1] - self.of[terms])
+            yield score + np.bincount(self.doc[at], self.weight[at], self.n)
+
+
+def best_first(score: np.ndarray, few: int = 64) -> Iterator[int]:
+    """Places of the scores above 0 by falling score (ties: the earlier); all are sorted only when a few don't do."""
+    given = 0
     for k in (few, len(score)):
         least = np.partition(score, len(score) - k)[len(score) - k] if k < len(score) else 0.0
         some = np.flatnonzero((score >= least) & (score > 0))
         some = some[np.argsort(-score[some], kind="stable")]
-        held = np.cumsum(long[some].astype(np.int64) + 1)
-        if k >= len(score) or least <= 0 or held[-1] >= tokens:
+        yield from some[given:].tolist()
+        given = len(some)
+        if k >= len(score) or least <= 0:
             break
-    return some[: np.searchsorted(held, tokens) + 1]
 
 
-def _merge(lanes: np.ndarray, need: np.ndarray):
-    """The best over all shards for the queries of a block."""
-    need_of = dict(zip(lanes.tolist(), need.tolist()))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        lane, no, score, long = (np.concatenate([np.frombuffer(x, t) for x in rows[c]]) for c, t in (("lane", "<i4"), ("no", "<i8"), ("score", "<f8"), ("long", "<i8")))
-        order = np.lexsort((no, -score, lane))
-        lane, no, long = lane[order], no[order], long[order]
-        held = np.cumsum(long) - long
-        start = np.append(True, lane[1:] != lane[:-1])
-        held -= held[start][np.cumsum(start) - 1]
-        keep = held < 2 * np.array([need_of[x] for x in lane.tolist()])
-        return pd.DataFrame([(lane[keep].tobytes(), no[keep].tobytes())], columns=["lane", "no"])
-
-    return run
-
+def chain(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, long: np.ndarray, window: int, together: int = 16) -> np.ndarray:
+    """The order in which a shard's documents, of ``long`` tokens with their ends, are laid out.
 
-def _chained(window: int, dtype: str, idf, mean: float):
-    """Lays out what one task holds; for each document its shard, place and start."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["shard", "place"])
-        docs = [np.frombuffer(x, dtype) for x in rows["ids"]]
-        order = np.array(chain(docs, window, None, idf.value, mean))
-        long = np.array([len(d) + 1 for d in docs])[order]
-        return pd.DataFrame({"shard": rows["shard"].to_numpy()[order], "place": rows["place"].to_numpy()[order], "at": np.cumsum(long) - long})
-
-    return run
-
-
-def _pieces(window: int, dtype: str):
+    The first unused document seeds; its unused neighbours follow by falling
+    score until the window that holds its end is full or none shares a term,
+    then the next seed comes.  The index is made anew each time half of its documents are used.
+    """
+    n = len(long)
+    order, used, filled = [], np.zeros(n, dtype=bool), 0
+    while len(order) < n:
+        live = np.flatnonzero(~used)
+        place = np.full(n, -1)
+        place[live] = np.arange(len(live))
+        keep = place[doc] >= 0
+        doc, term, weight = doc[keep], term[keep], weight[keep]
+        index, ready, at, left = Bm25(place[doc], term, weight, len(live)), {}, 0, len(live)
+        while left and (left > len(live) // 2 or left < 64):
+            while used[live[at]]:
+                at += 1
+            seed = int(live[at])
+            used[seed], left = True, left - 1
+            order.append(seed)
+            filled = (filled + int(long[seed])) % window
+            if not filled or not left:
+                continue
+            if at not in ready:
+                ahead = at + np.flatnonzero(~used[live[at : at + 4 * together]])[: together - 1]
+                asked = [at, *ahead.tolist()]
+                ready = dict(zip(asked, index.scores(asked)))
+            score = ready.pop(at)
+            score[used[live]] = 0
+            for i in best_first(score):
+                d = int(live[i])
+                used[d], left = True, left - 1
+                order.append(d)
+                filled += int(long[d])
+                if filled >= window:
+                    filled %= window
+                    break
+    return np.array(order, dtype=np.int64)
+
+
+def bm25_weights(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, names: np.ndarray, words: np.ndarray, table: np.ndarray, documents: int, mean: float) -> np.ndarray:
+    """Weight of each posting; document frequencies are those of the count table over all documents."""
+    df = np.exp2(table[(names >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.float64) / SCALE)
+    idf = np.log1p(np.maximum(0.0, documents - df + 0.5) / (df + 0.5))
+    return (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words[doc] / max(1e-9, mean)))).astype(np.float32)
+
+
+def _pack(path: str, window: int, shared_table, documents: int, mean: float, rows: int = 50_000):
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                ids, no_ids = np.frombuffer(row["doc_ids"], "<i8").tolist(), np.frombuffer(row["no_ids"], bool).tolist()
-                edge, tokens, out = np.append(0, np.cumsum(np.frombuffer(row["long"], "<u4").astype(np.int64))), np.frombuffer(row["ids"], dtype), []
-                for p in row["placed"]:
-                    i, at, start = p["place"], p["at"], 0
-                    whole = np.append(tokens[edge[i] : edge[i + 1]].astype("<u4"), np.uint32(END_ID)).astype("<u4")
-                    while start < len(whole):
-                        long = min(len(whole) - start, window - at % window)
-                        out.append((None if no_ids[i] else ids[i], start, long, zlib.crc32(whole[start : start + long].tobytes()), len(whole), (p["lane"] << 32) + at // window, at % window))
-                        start, at = start + long, at + long
+        tok, held = tokenizer_at(path), [b for b in batches if b.num_rows]
+        if not held:
+            return
+        shard = pa.Table.from_batches(held)
+        del held
+        shard = shard.take(np.argsort(shard.column("key").to_numpy(), kind="stable")).combine_chunks()
+        doc_ids, column = shard.column("doc_id").to_pylist(), shard.column("ids").combine_chunks()
+        long = pa.compute.binary_length(column).to_numpy().astype(np.int64) // tok.dtype.itemsize
+        ids = np.concatenate([np.zeros(0, tok.dtype), *(np.frombuffer(x.as_buffer(), tok.dtype) for x in column)])
+        del shard, column
+        doc, term, tf, terms = postings(*(found := word_terms(ids, long, tok.final)))
+        weight = bm25_weights(doc, term, tf, terms, found[1], np.frombuffer(zlib.decompress(shared_table.value), np.uint8), documents, mean)
+        del found, tf, terms
+        order = chain(doc, term, weight, long + 1, window)
+        del doc, term, weight
+        edge, at, out, base = np.append(0, np.cumsum(long)), 0, [], TaskContext.get().partitionId() << 32
+        for i in order.tolist():
+            whole, start = np.append(ids[edge[i] : edge[i + 1]].astype("<u4"), np.uint32(END_ID)).astype("<u4"), 0
+            while start < len(whole):
+                n = min(len(whole) - start, window - at % window)
+                out.append((doc_ids[i], start, n, zlib.crc32(whole[start : start + n]), len(whole), base + at // window, at % window))
+                start, at = start + n, at + n
+            if len(out) >= rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=names)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=names)
 
     return run, ", ".join(f"{n} long" for n in names)
 
 
-def pack_documents(
-    spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_bytes: int = 8_000_000, lane_windows: int = 24, most_lanes: int = 4096
-) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_tokens: int = 8_000_000, sample_rows: int = 2_000) -> DataFrame:
     """One row for each piece of a document in a sequence.
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     Every id of every document, its end id included, lies in one piece.  Null
-    and empty texts are their end id alone.  Rows that repeat an id are documents of their own; an
-    empty table gives no rows; other columns are not read.  A sequence's number is its lane's times 2**32 plus
+    and empty texts are their end id alone.  Rows that repeat an id or a text are documents of their own, ties in score fall to the one that
+    comes first in its shard; a text longer than a window is cut into as many pieces as it needs; an
+    empty table gives no rows; other columns are not read.  A sequence's number is its shard's times 2**32 plus
     its place there.
 
-    Shards of the index hold about ``shard_bytes`` of text.  In a round every lane
-    has a seed, and every shard is searched for all of them; of a seed's best
-    documents those stay that no earlier lane took, and a lane whose window
-    is not full then asks again.  So each document follows as the best
-    one that is unused over the whole table.  A lane has about ``lane_windows`` windows unless there are ``most_lanes``
-    of them; what is left at less than a shard is laid out by one task.  The driver holds a number and a mark for each document, and the queries of one round.
+    Every document is indexed in one shard of about ``shard_tokens`` tokens,
+    and a seed's neighbours are the best of its shard, so work grows in
+    proportion to the input.  Up to that many tokens there is one shard and the
+    search is exact; beyond, neighbours are as good as the lexical key brings
+    them together (measured in the README).  The reference vectors behind the
+    key are fitted on about ``sample_rows`` documents drawn by a hash of the id, twice as many at most;
+    document frequencies count all documents, with words that share one of
+    2**22 counters counted together.
     """
     shared = Shared(spark, "packing")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).collect()[0]["n"] or 0
-    shards = max(1, -(-total // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
-    dtype = tokenizer_at(tokenizer_path).dtype.str
-    tokens = rows.mapInArrow(released(_tokenise(tokenizer_path)), "shard int, doc_id long, ids binary")
-    # a null among integers would make pandas turn them all into floats
-    tokens = tokens.withColumn("no_id", F.col("doc_id").isNull()).fillna(0, ["doc_id"])
-    index = shared.keep(tokens.groupBy("shard").applyInPandas(_index(dtype), "shard int, " + ", ".join(f"{c} binary" for c in _PARTS)), "index")
-
-    sizes = {r["shard"]: np.frombuffer(r["long"], "<u4") for r in index.select("shard", "long").toLocalIterator()}
-    base = np.append(0, np.cumsum([len(sizes.get(s, ())) for s in range(shards)]))
-    long = np.concatenate([sizes.get(s, np.zeros(0, "<u4")) for s in range(shards)]).astype(np.int64) + 1
-    del sizes
-    used, n = np.zeros(len(long), dtype=bool), len(long)
-    counts = index.select("terms", "df").mapInArrow(_count_terms, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
-    df = np.zeros(int(counts["term"].max()) + 1 if len(counts) else 1)
-    df[counts["term"].to_numpy(int)] = counts["df"]
-    mean, idf = float(long.mean() - 1) if n else 0.0, spark.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)))
-
-    def fetch(numbers: np.ndarray) -> DataFrame:
-        of = np.searchsorted(base, numbers, side="right") - 1
-        wanted = {int(s): (numbers[of == s] - base[s]).astype(np.int32) for s in np.unique(of)}
-        return index.filter(F.col("shard").isin(list(wanted))).select("shard", "long", "ids").mapInArrow(_ids_of(wanted, dtype), "shard int, place int, ids binary")
-
-    def put(force: bool = False) -> None:
-        if placed and (force or len(placed) >= 500_000):
-            no, lane, at = (np.array(x) for x in zip(*placed))
-            of = np.searchsorted(base, no, side="right") - 1
-            table = pd.DataFrame({"shard": of.astype(np.int32), "place": (no - base[of]).astype(np.int32), "lane": lane, "at": at})
-            spark.createDataFrame(table, _PLACED).write.mode("append").parquet(f"{shared.root}/placed")
-            placed.clear()
-
-    def lay(no: int, lane: int) -> bool:
-        """Whether the lane's open window is full with the document."""
-        used[no] = True
-        placed.append((no, lane, int(at[lane])))
-        crossed = at[lane] % window + long[no] >= window
-        at[lane] += long[no]
-        return crossed
-
-    lanes = int(max(1, min(most_lanes, long.sum() // (window * lane_windows))))
-    at, opened, placed, tail, next_ = np.zeros(lanes, dtype=np.int64), {}, [], int(long.sum()) // shards, 0
-    left = int(long.sum())
-    while left > tail or opened:
-        closed = [k for k in range(lanes) if k not in opened][: left // window + 1] if left > tail else []
-        seeds = {}
-        for k in closed:
-            while next_ < n and used[next_]:
-                next_ += 1
-            if next_ == n:
-                break
-            lay(next_, k)
-            seeds[next_] = k
-        if seeds:
-            for r in fetch(np.fromiter(seeds, np.int64)).collect():
-                lane = seeds[int(base[r["shard"]]) + r["place"]]
-                if at[lane] % window:
-                    opened[lane] = np.unique(np.frombuffer(r["ids"], dtype))
-        if opened:
-            which = np.array(sorted(opened))
-            need = window - at[which] % window
-            marks, queries = spark.sparkContext.broadcast(np.packbits(used)), spark.sparkContext.broadcast([opened[k] for k in which.tolist()])
-            found = index.select("shard", "long", "post_doc", "post_tf", "terms", "df").mapInArrow(released(_search(base, marks, idf, mean, which, need, queries, 16)), _FOUND)
-            best: dict[int, list] = {}
-            for r in found.groupBy("block").applyInPandas(_merge(which, need), "lane binary, no binary").collect():
-                for lane, no in zip(np.frombuffer(r["lane"], "<i4").tolist(), np.frombuffer(r["no"], "<i8").tolist()):
-                    best.setdefault(lane, []).append(no)
-            for lane, needed in zip(which.tolist(), need.tolist()):
-                full, listed = False, best.get(lane, [])
-                for no in listed:
-                    if not used[no] and lay(no, lane):
-                        full = True
-                        break
-                # a list that holds less than was asked for had all that share a term
-                if full or long[listed].sum() < 2 * needed:
-                    del opened[lane]
-            marks.unpersist()
-            queries.unpersist()
-        left = int(long[~used].sum())
-        put()
-    rest = np.flatnonzero(~used)
-    if len(rest):
-        laid = fetch(rest).withColumn("task", F.lit(0)).groupBy("task").applyInPandas(_chained(window, dtype, idf, mean), "shard int, place int, at long")
-        laid.select("shard", "place", F.lit(lanes).cast("long").alias("lane"), "at").write.mode("append").parquet(f"{shared.root}/placed")
-    put(force=True)
-    run, schema = _pieces(window, dtype)
-    if not n:
-        return spark.createDataFrame([], schema)
-    places = spark.read.schema(_PLACED).parquet(f"{shared.root}/placed").groupBy("shard").agg(F.collect_list(F.struct("place", "lane", "at")).alias("placed"))
-    return index.select("shard", "doc_ids", "no_ids", "long", "ids").join(places, "shard").drop("shard").mapInArrow(released(run), schema)
-
-
-_PLACED = "shard int, place int, lane long, at long"
+    total = rows.count()
+    sample = rows.filter(draw(F.col("doc_id"), "packing") < sample_rows / max(1, total)).limit(2 * sample_rows)
+    dtype = tokenizer_at(tokenizer_path).dtype
+    found = sample.mapInArrow(released(_ids(tokenizer_path)), "ids binary").toLocalIterator()
+    vectors = spark.sparkContext.broadcast(references([np.frombuffer(r["ids"], dtype) for r in found]))
+    survey, schema = _survey(tokenizer_path, vectors)
+    surveyed = shared.keep(rows.mapInArrow(released(survey), schema), "survey")
+    tokens = surveyed.filter("block is null")
+    size = tokens.agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).collect()[0]
+    table = spark.sparkContext.broadcast(zlib.compress(count_table(shared, surveyed.filter("block is not null").select("block", "part", "counts"), SLOT_BITS).tobytes(), 1))
+    shards = max(1, -(-((size["tokens"] or 0) + total) // shard_tokens))
+    pack, schema = _pack(tokenizer_path, window, table, total, (size["words"] or 0) / max(1, total))
+    return tokens.select("doc_id", "ids", "key").repartitionByRange(shards, "key").mapInArrow(released(pack), schema)
