@@ -8,24 +8,35 @@ from pyspark.sql import functions as F
 from .common import Shared
 
 
-def connected_components(shared: Shared, edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
+def _beside_least(edges: DataFrame, least: DataFrame, hub_rows: int) -> DataFrame:
+    """Edges (u, v) joined with least (u, m, n: the node's edges); a node of more than ``hub_rows`` edges is dealt over several tasks.
+
+    Such nodes are told by a broadcast of at most edges / hub_rows rows.
+    """
+    parts = F.ceil(F.col("n") / hub_rows).cast("int")
+    hubs = F.broadcast(least.filter(F.col("n") > hub_rows).select(F.col("u").alias("hub"), parts.alias("parts")))
+    dealt = edges.join(hubs, F.col("u") == F.col("hub"), "left").select("u", "v", F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"), F.lit(0)).alias("part"))
+    return dealt.join(least.select("u", "m", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)).alias("part")), ["u", "part"])
+
+
+def connected_components(shared: Shared, edges: DataFrame, name: str = "components", most_rounds: int = 60, hub_rows: int = 100_000) -> DataFrame:
     """(node, root) for every node of an edge (a, b); root is the smallest node of the component.
 
     Alternates the large-star and small-star steps: every node's larger
     neighbours are tied to its smallest neighbour, then its smaller ones, until
     each node is tied to a root.  Minima combine before the shuffle and are
-    joined back, so a hub isn't gathered in a task; no edge comes to the
-    driver.  Each round is written and replaces the one before.
+    joined back with hubs dealt over several tasks; no edge comes to the
+    driver.  Each round is written and replaces the one before.  Nulls aren't nodes; repeated edges count once; no edges give no nodes.
     """
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     now = shared.keep(pairs, f"{name}0")
     for k in range(1, most_rounds + 1):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = now.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = _beside_least(now.select(F.col("v").alias("u"), F.col("u").alias("v")), least, hub_rows).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _beside_least(large, low, hub_rows).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         then = shared.keep(small, f"{name}{k}")
         inner = then.select(F.col("v").alias("u")).distinct().join(then.select("u").distinct(), "u", "left_semi")
         done = inner.isEmpty() and then.count() == then.select("u").distinct().count()

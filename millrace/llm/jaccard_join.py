@@ -14,11 +14,16 @@ only documents that meet in a bucket (one n-gram) can be linked.
 2. Stars: in each bucket, members are paired with a leader only, so a bucket
    of m members costs m pairs.  The leader is the member with the most frequent
    n-grams, which in a group of near copies is the least changed one.  Pairs
-   pass length and positional filters, then are verified once each (a suffix
-   filter first), and linked nodes get components.
-3. Gaps: buckets that still hold different components give all pairs between
-   different components (never inside one) that pass the filters; these are
-   verified too.  What is then not linked has no path of links.
+   pass length, positional and suffix filters, then are verified from their
+   texts, and linked nodes get components.
+3. Gaps: buckets that still hold different components give the pairs between
+   different components (never inside one) that pass the filters and weren't
+   verified before; these are verified too.  What is then not linked has no path of links.
+
+The suffix filter compares histograms of the sets' hashes over fixed ranges,
+which bound what two sets can share, before any text is fetched.  A set's text
+is that of one row that has it, named by id and text together, so rows without
+an id or under one id count like others.
 
 Very frequent n-grams are known from the count table; their buckets are dealt
 over several tasks, whose leaders are paired in turn.
@@ -38,13 +43,12 @@ from pyspark.sql import functions as F
 
 from .common import Shared, combine, mix, power_of_two, released, shingle_sets, texts_of
 from .components import connected_components
+from .counts import BLOCK_BITS, SCALE, count_table, packed
 
 #: The count table has 2**SLOT_BITS counters, one byte each when shared out.
-SLOT_BITS, BLOCK_BITS = 24, 16
-#: Steps of the shared table's logarithmic scale to a factor of two.
-SCALE = 8
-#: Parts of the count table summed at once.
-FAN_IN = 64
+SLOT_BITS = 24
+#: Ranges of a set's histogram.
+RANGE_BITS = 6
 
 
 def need_prefix(n: int, percent: int) -> int:
@@ -71,72 +75,35 @@ def _parts(b: pa.RecordBatch, width: int):
     return zip(b.column("doc_id").to_pylist(), shingle_sets(texts, width))
 
 
+def histogram(h: np.ndarray) -> bytes:
+    """How many members of a sorted set lie in each of 2**RANGE_BITS equal ranges; 255 stands for any more."""
+    return np.minimum(255, np.bincount((h >> np.uint64(64 - RANGE_BITS)).astype(np.int64), minlength=1 << RANGE_BITS)).astype(np.uint8).tobytes()
+
+
 def _survey(width: int):
     """Rows of documents, then of the counts of this task's distinct sets, block by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met = np.zeros(1 << SLOT_BITS, dtype=np.uint32), set()
-        names = ["doc_id", "n", "sig", "block", "part", "counts"]
+        names = ["doc_id", "text_hash", "n", "sig", "hist", "block", "part", "counts"]
         for b in batches:
-            ids, ns, sigs = [], [], []
-            for doc, h in _parts(b, width):
+            ns, sigs, hists = [], [], []
+            for _, h in _parts(b, width):
                 s = signature(h)
-                ids.append(doc)
                 ns.append(len(h))
                 sigs.append(s)
+                hists.append(histogram(h) if len(h) else None)
                 if s not in met:
                     met.add(s)
                     np.add.at(counts, (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
-            none = pa.nulls(len(ids), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(sigs, pa.int64()), none, none, pa.nulls(len(ids), pa.binary())], names=names)
+            none = pa.nulls(len(ns), pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(ns, pa.int64()), pa.array(sigs, pa.int64()), pa.array(hists, pa.binary()), none, none, pa.nulls(len(ns), pa.binary())], names=names)
         me = TaskContext.get().partitionId()
         for k, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
             if part.any():
-                part = packed(part)
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 3 + [pa.array([k], pa.int32()), pa.array([me], pa.int32()), pa.array([part])], names=names)
-
-    return run
-
-
-def packed(counts: np.ndarray) -> bytes:
-    """One block of counts: a bitmap of the filled slots, the values up to 254 in a byte each, then larger ones."""
-    filled = counts[counts > 0].astype(np.uint64)
-    return zlib.compress(np.packbits(counts > 0).tobytes() + np.minimum(filled, 255).astype(np.uint8).tobytes() + filled[filled > 254].tobytes(), 1)
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    """The counts of a block, all slots."""
-    data = zlib.decompress(data)
-    there = np.unpackbits(np.frombuffer(data, np.uint8, (1 << BLOCK_BITS) // 8)).astype(bool)
-    n, at = int(there.sum()), (1 << BLOCK_BITS) // 8
-    filled = np.frombuffer(data, np.uint8, n, at).astype(np.uint64)
-    filled[filled == 255] = np.frombuffer(data[at + n :], np.uint64)
-    out = np.zeros(1 << BLOCK_BITS, dtype=np.uint64)
-    out[there] = filled
-    return out
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, pa.binary()), pa.array([k], pa.int32()), pa.array([me], pa.int32()), pa.array([packed(part)], pa.binary())], names=names)
 
-
-def _add(part: pd.DataFrame) -> pd.DataFrame:
-    """The sum of a few tasks' counts of one block."""
-    counts = np.zeros(1 << BLOCK_BITS, dtype=np.uint64)
-    for x in part["counts"]:
-        counts += unpacked(x)
-    return pd.DataFrame({"block": part["block"].iloc[:1], "part": part["part"].iloc[:1] // FAN_IN, "counts": [packed(counts)]})
-
-
-def count_table(shared: Shared, survey: DataFrame) -> np.ndarray:
-    """The count table of all tasks, on a logarithmic scale of one byte.  Sums are taken ``FAN_IN`` parts at a time."""
-    parts = survey.filter("block is not null").select("block", "part", "counts")
-    left, level = 1 + (parts.agg(F.max("part").alias("m")).collect()[0]["m"] or 0), 0
-    while level == 0 or left > 1:
-        parts = parts.groupBy("block", F.floor(F.col("part") / FAN_IN).alias("group")).applyInPandas(_add, "block int, part int, counts binary")
-        left, level = -(-left // FAN_IN), level + 1
-        if left > 1:
-            parts = shared.keep(parts, f"counts{level}")
-    table = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << BLOCK_BITS), dtype=np.uint8)
-    for r in parts.toLocalIterator():
-        table[r["block"]] = np.minimum(255, np.ceil(SCALE * np.log2(np.maximum(unpacked(r["counts"]), 1))))
-    return table.reshape(-1)
+    return run, "doc_id long, text_hash long, n long, sig long, hist binary, block int, part int, counts binary"
 
 
 def ordered(h: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -244,73 +211,90 @@ def may_link(a_n: str, a_at: str, b_n: str, b_at: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (1 + F.least(a - F.col(a_at) - 1, b - F.col(b_at) - 1) >= need)
 
 
-def suffix_bound(x: np.ndarray, y: np.ndarray, edges: np.ndarray) -> int:
-    """No more than this can be shared: sizes of both sets between fixed hashes, summed by the smaller."""
-    return int(np.minimum(np.diff(np.searchsorted(x, edges)), np.diff(np.searchsorted(y, edges))).sum()) + int(len(x) > 0 and len(y) > 0 and x[-1] == y[-1] == edges[-1])
+def _may_share(percent: int):
+    """Pairs (a, b) whose histograms leave room for the overlap that they need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, 1 << RANGE_BITS).astype(np.int64) for c in ("a_hist", "b_hist"))
+            a_n, b_n = (b.column(c).to_numpy().astype(np.int64) for c in ("a_n", "b_n"))
+            most = np.where((x < 255) | (y < 255), np.minimum(x, y), 1 << 40).sum(1)
+            keep = pa.array(most >= overlap_needed(a_n, b_n, percent))
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
+
+    return run
 
 
 def _verify(width: int, percent: int):
-    edges = np.append(np.arange(32, dtype=np.uint64) << np.uint64(59), np.uint64(2**64 - 1))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, None
+        last, x = None, None
         for b in batches:
             a_sig, b_sig = b.column("a").to_numpy(), b.column("b").to_numpy()
             keep = []
             sets = shingle_sets(list(texts_of(b.column("b_text"))), width)
             for i, (t, y) in enumerate(zip(texts_of(b.column("a_text")), sets)):
-                if last != (a_sig[i], len(t)):
-                    last, last_set = (a_sig[i], len(t)), next(shingle_sets([t], width))
-                x = last_set
-                need = overlap_needed(len(x), len(y), percent)
-                if signature(x) != a_sig[i] or signature(y) != b_sig[i] or suffix_bound(x, y, edges) < need:
+                if last != t:
+                    last, x = t, next(shingle_sets([t], width))
+                if signature(x) != a_sig[i] or signature(y) != b_sig[i]:
                     continue
                 small, large = (x, y) if len(x) <= len(y) else (y, x)
                 spot = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                if int((large[spot] == small).sum()) >= need:
+                if int((large[spot] == small).sum()) >= overlap_needed(len(x), len(y), percent):
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(a_sig[keep]), pa.array(b_sig[keep])], names=["a", "b"])
 
     return run
 
 
-def _links(shared: Shared, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int, broadcast_rows: int, name: str) -> DataFrame:
-    """The pairs (a, b) of set signatures that reach the similarity, from whole texts."""
-    pairs = shared.keep(pairs, f"{name}_pairs")
+def _links(shared: Shared, docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, percent: int, broadcast_rows: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) of set signatures that reach the similarity, from whole texts; and all pairs tried, each once."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    of = lambda c: sets.select(F.col("sig").alias(c), F.col("n").alias(f"{c}_n"), F.col("hist").alias(f"{c}_hist"))
+    pairs = shared.keep(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_may_share(percent), "a long, b long"), f"{name}_pairs")
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    wanted = shared.keep(nodes.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("w_id")), f"{name}_wanted")
+    wanted = shared.keep(sets.join(wanted, "sig", "left_semi").select("sig", F.col("row.doc_id").alias("w_id"), F.col("row.text_hash").alias("w_hash")), f"{name}_wanted")
     if wanted.count() <= broadcast_rows:
         wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, F.col("doc_id") == F.col("w_id")).select("sig", "text")
+    texts = docs.join(wanted, (F.col("text_hash") == F.col("w_hash")) & F.col("doc_id").eqNullSafe(F.col("w_id")))
+    texts = texts.groupBy("sig").agg(F.first("text").alias("text"))  # rows may repeat; each task sends one
     near = pairs.join(texts.select(F.col("sig").alias("b"), F.col("text").alias("b_text")), "b")
     both = near.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("a_text")), "a")
-    found = both.select("a", "b", "a_text", "b_text").mapInArrow(released(_verify(width, percent)), "a long, b long").distinct()
-    return shared.keep(found, f"{name}_links")
+    found = both.select("a", "b", "a_text", "b_text").mapInArrow(released(_verify(width, percent)), "a long, b long")
+    return shared.keep(found, f"{name}_links"), pairs
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, owner_rows: int = 400_000, hot_rows: int = 100_000, broadcast_rows: int = 500_000) -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id.
+def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, owner_rows: int = 400_000, hot_rows: int = 100_000, broadcast_rows: int = 500_000, block_rows: int = 2_000) -> DataFrame:
+    """One row for each document: doc_id, n_shingles, component_id, text_hash, representative.
 
     Two documents link when 100 * intersection >= percent * union of their
     shingle sets; component_id is the smallest doc_id that links reach.  Null
     and empty texts have no shingles and link with nothing; a text with fewer words than
-    ``width`` has one shingle, its whole sequence.  Rows repeat as given; a row
-    with a null doc_id joins documents of equal sets only, and one without such has
-    a null component.  Other columns are not read.
+    ``width`` has one shingle, its whole sequence.  Rows repeat as given.  A row
+    with a null doc_id links like others and gets the smallest id that it
+    reaches, null if none; rows under one id are documents of their own.  Of each component the
+    row with the smallest id (ties: the smallest xxhash64 of the text, ``text_hash``) is its
+    representative, and so are its repetitions.  A text of any length is one set.  An empty table gives no
+    rows; other columns are not read.
 
     No bucket, component or table of signatures comes to the driver; it
     gets counts and the count table (a fixed 2**24 bytes), which is broadcast.
     ``owner_rows`` postings share a task, and a bucket of more than
-    ``hot_rows`` is dealt over several.  Ids of texts to verify are broadcast
-    only when a count shows at most ``broadcast_rows``.
+    ``hot_rows`` is dealt over several; one that still holds several components
+    is paired in blocks of ``block_rows``.  Names of texts to verify are broadcast
+    only when a count shows at most ``broadcast_rows``.  Buckets of frequent n-grams
+    whose members are all unlike cost pairs of slim rows, which the filters thin out before texts are read.
     """
     shared = Shared(spark, "jaccard")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    survey = shared.keep(docs.mapInArrow(released(_survey(width)), "doc_id long, n long, sig long, block int, part int, counts binary"), "survey")
-    nodes = survey.filter("n is not null").select("doc_id", "n", "sig")
-    table = count_table(shared, survey)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    survey, schema = _survey(width)
+    survey = shared.keep(docs.mapInArrow(released(survey), schema), "survey")
+    # of each set its size, histogram, rows, least id and a row that has it
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    sets = survey.filter("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("hist").alias("hist"), F.count("*").alias("rows"), F.min(row).alias("row"))
+    sets = shared.keep(sets, "sets")
+    table = count_table(shared, survey.filter("block is not null").select("block", "part", "counts"), SLOT_BITS)
     shared_table = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
-    postings = nodes.filter("n > 0").agg(F.sum(F.col("n") * (100 - percent) / 100 + 1).alias("p")).collect()[0]["p"] or 0
+    postings = survey.filter("n > 0").agg(F.sum(F.col("n") * (100 - percent) / 100 + 1).alias("p")).collect()[0]["p"] or 0
     bits = power_of_two(postings / owner_rows, 128).bit_length() - 1
     posted = docs.mapInArrow(released(_post(width, percent, bits, hot_rows, shared_table)), "owner long, key binary, sig binary, n binary, hub binary, at binary")
     members = posted.groupBy("owner").applyInPandas(_bucket(percent, hot_rows), "key long, sig long, n int, hub int, at int, leader long, leader_n int, leader_at int")
@@ -323,27 +307,53 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     top = top.select("key", F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)).alias("class"), F.col("t.sig").alias("a"), F.col("t.n").alias("a_n"), F.col("t.at").alias("a_at"))
     across = heads.join(top, ["key", "class"]).filter((F.col("sig") != F.col("a")) & may_link("a_n", "a_at", "n", "at", percent)).select("a", F.col("sig").alias("b"))
     stars = members.filter((F.col("sig") != F.col("leader")) & may_link("leader_n", "leader_at", "n", "at", percent)).select(F.col("leader").alias("a"), F.col("sig").alias("b"))
-    links = _links(shared, docs, nodes, stars.unionByName(across).distinct(), width, percent, broadcast_rows, "star")
+    links, tried = _links(shared, docs, sets, stars.unionByName(across), width, percent, broadcast_rows, "star")
     parts = shared.keep(connected_components(shared, links, "star_cc"), "star_parts")
 
     # buckets that hold more than one component: pairs between different ones
     placed = members.select("key", "sig", "n", "at").join(parts.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    placed = shared.keep(placed.join(open_keys, "key", "left_semi"), "open")
-    # the smaller of two sets shares a key within its shorter prefix
+    blocks = F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), blocks).filter("lo <> hi").select("key", "blocks")
+    placed = shared.keep(placed.join(open_keys, "key"), "open")
+    # the smaller of two sets shares a key within its shorter prefix; it meets every block of its bucket
     first = placed.filter(F.col("at") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
-    a = first.select("key", *(F.col(c).alias(f"a_{c}") for c in ("sig", "n", "at", "root")))
-    b = placed.select("key", *(F.col(c).alias(f"b_{c}") for c in ("sig", "n", "at", "root")))
+    first = first.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    a = first.select("key", "block", *(F.col(c).alias(f"a_{c}") for c in ("sig", "n", "at", "root")))
+    b = placed.select("key", F.pmod("sig", "blocks").cast("int").alias("block"), *(F.col(c).alias(f"b_{c}") for c in ("sig", "n", "at", "root")))
     smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_sig") < F.col("b_sig")))
-    gaps = a.join(b, (a["key"] == b["key"]) & (F.col("a_root") != F.col("b_root")) & smaller & may_link("a_n", "a_at", "b_n", "b_at", percent))
-    gaps = gaps.select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")).distinct()
-    more = _links(shared, docs, nodes, gaps, width, percent, broadcast_rows, "gap")
+    gaps = a.join(b, (a["key"] == b["key"]) & (a["block"] == b["block"]) & (F.col("a_root") != F.col("b_root")) & smaller & may_link("a_n", "a_at", "b_n", "b_at", percent))
+    gaps = gaps.select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    more, _ = _links(shared, docs, sets, gaps, width, percent, broadcast_rows, "gap")
     edges = parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
     parts = shared.keep(connected_components(shared, edges, "cc"), "parts")
 
-    least = nodes.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
-    rooted = least.join(parts.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows"))
+    rooted = sets.select("sig", F.col("row.doc_id").alias("least"), "rows", "row").join(parts.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows"), F.min("row").alias("first"))
     # only sets with company need a name of their own
-    names = shared.keep(rooted.select("sig", "root").join(named.filter("rows > 1"), "root").select("sig", "component_id"), "names")
-    return nodes.join(names, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    names = shared.keep(rooted.select("sig", "root").join(named.filter("rows > 1"), "root").select("sig", "component_id", "first"), "names")
+    out = survey.filter("n is not null").select("doc_id", "text_hash", "n", "sig").join(names, "sig", "left")
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", (F.col("first").isNull() | own).alias("representative"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS g
+  FROM d
+), x AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id AS node, doc_id AS reached FROM s UNION SELECT r.node, e.b FROM r JOIN e ON r.reached = e.a
+)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, c.component_id
+FROM s JOIN (SELECT node, min(reached) AS component_id FROM r GROUP BY node) c ON c.node = s.doc_id
+"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, sharding, url_filter
@@ -10,7 +9,7 @@ from .common import table
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(spark, table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +34,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # where it is missing, only this query is
+
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -53,6 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op6_sharding, op7_packing, op8_url_filter, op9_quality_classifier, op10_exact_dedup)}
 ORACLE_SQL = {
+    "op1_jaccard_join": jaccard_join.ORACLE_SQL,
     "op2_mixing": mixing.ORACLE_SQL,
     "op3_license_scan": license_scan.ORACLE_SQL,
     "op4_quality_rules": quality_rules.ORACLE_SQL,
