@@ -7,9 +7,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from millrace.llm import components, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, queries, sharding, url_filter
+from millrace.llm import components, exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, queries, sharding, tokens, url_filter
 from millrace.llm.common import Shared, named_words, shingle_sets, table, word_hashes, words_of
 
 SF = "/root/testdata/sf0.001"
@@ -85,6 +86,52 @@ def test_jaccard_on_odd_rows(spark, odd_docs, no_docs, rows):
     assert collect(jaccard_join.jaccard_components(spark, no_docs)) == []
 
 
+def numbered(n, changes=(), extra=()):
+    """A text of n words, some replaced by words of the same length."""
+    return " ".join([f"w{i:03d}" if i not in changes else f"x{i:03d}" for i in range(n)] + list(extra))
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, numbered(60)), (None, numbered(60, extra=["a"])), (3, numbered(60, extra=["a", "b"]))],
+    # the chain from 1 to 9 passes through rows without ids
+    [(9, numbered(60, extra=[f"y{i}" for i in range(14)])), (None, numbered(60, extra=[f"y{i}" for i in range(7)])), (1, numbered(60))],
+    [(None, numbered(60)), (None, numbered(60, extra=["a"]))],
+    # two texts of one length under one id
+    [(5, numbered(60)), (5, numbered(60, changes=range(60))), (7, numbered(60, extra=["zzz"]))],
+    [(5, numbered(60, changes=range(60))), (5, numbered(60)), (7, numbered(60, extra=["zzz"]))],
+    [(7, numbered(60, extra=["zzz"])), (5, numbered(60, changes=range(60))), (5, numbered(60)), (2, numbered(60, changes=range(60), extra=["q"]))],
+])
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_links_of_rows_without_ids_or_under_one_id(spark, rows, broadcast_rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in collect(jaccard_join.jaccard_components(spark, docs, broadcast_rows=broadcast_rows)))
+    assert got == Counter(brute_components(rows))
+
+
+def test_a_bucket_of_many_components(spark):
+    """Many unlike texts share one passage, some have near copies; buckets are paired in blocks."""
+    rnd, shared = random.Random(8), [f"s{i}" for i in range(30)]
+    rows = []
+    for i in range(80):
+        own = [f"t{rnd.randrange(40)}" for _ in range(rnd.choice([6, 8, 30]))]
+        rows.append((2 * i, " ".join(shared + own)))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, " ".join(shared + own[:-1] + ["end"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in collect(jaccard_join.jaccard_components(spark, docs, block_rows=5, hot_rows=20)))
+    assert got == sorted(brute_components(rows))
+
+
+def test_histograms_never_refuse_a_link():
+    rnd = np.random.default_rng(4)
+    for n, both in ((20, 19), (400, 380), (40_000, 38_000)):
+        h = np.unique(rnd.integers(0, 2**64 - 1, 2 * n, dtype=np.uint64))
+        x, y = np.sort(rnd.permutation(h)[:n]), None
+        y = np.sort(np.append(x[rnd.permutation(n)[:both]], rnd.integers(0, 2**64 - 1, n - both, dtype=np.uint64)))
+        pair = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([n]), pa.array([n]), pa.array([jaccard_join.histogram(x)]), pa.array([jaccard_join.histogram(y)])], names=["a", "b", "a_n", "b_n", "a_hist", "b_hist"])
+        assert next(iter(jaccard_join._may_share(80)([pair]))).num_rows == 1
+
+
 def test_leaders_reach_their_members():
     rnd = np.random.default_rng(1)
     for _ in range(50):
@@ -100,9 +147,10 @@ def test_leaders_reach_their_members():
             assert lead[i] == (near or [i])[0]
 
 
-def test_components_of_a_long_path_and_a_hub(spark):
+@pytest.mark.parametrize("hub_rows", [7, 100_000])
+def test_components_of_a_long_path_and_a_hub(spark, hub_rows):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(5, 5)]
-    got = {r["node"]: r["root"] for r in collect(components.connected_components(Shared(spark, "test"), spark.createDataFrame(edges, "a long, b long")))}
+    got = {r["node"]: r["root"] for r in collect(components.connected_components(Shared(spark, "test"), spark.createDataFrame(edges, "a long, b long"), hub_rows=hub_rows))}
     assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(80)}
 
 
@@ -124,7 +172,7 @@ def brute_mix(rows, weights=(3, 1, 2)):
     out = []
     for s in names:
         left = int(target[s])
-        order = sorted((r for r in rows if r[2] == s), key=lambda r: (hashlib.md5(f"{'' if r[0] is None else r[0]}:mix".encode()).hexdigest(), r[0] or -1))
+        order = sorted((r for r in rows if r[2] == s), key=lambda r: (hashlib.md5(f"{hashlib.md5(r[1].encode()).hexdigest() if r[0] is None else r[0]}:mix".encode()).hexdigest(), r[0] or -1))
         epochs = left // sizes[s] if sizes[s] else 0
         left -= epochs * sizes[s]
         for d, t, _ in order:
@@ -244,47 +292,60 @@ def test_quality_rules_on_odd_rows(odd_docs, no_docs, rows):
 # ---- 5, 9 -------------------------------------------------------------------
 
 
-def brute_bits(grams, text):
-    """Code length of a text under one language by walking the contexts symbol by symbol, with exclusion."""
-    s = [0, 0, 0] + list(text)
-    counts = defaultdict(Counter)
-    for (a, b, c, d), n in grams.items():
-        for context in ((a, b, c), (b, c), (c,), ()):
-            counts[context][d] += n
+def brute_bits(counts, text):
+    """Code length of a text under one language by walking the contexts byte by byte, with exclusion."""
+    s = language_id.BEFORE + text
 
     def p(context, symbol):
-        lower = None if context is None else context[1:] if context else None
-        if context is None:
-            return 1 / language_id.SYMBOLS
-        seen = counts.get(context)
-        below = (lambda x: 1 / language_id.SYMBOLS) if not context else (lambda x: p(lower, x))
-        if not seen:
-            return below(symbol)
+        below = (lambda x: p(context[1:], x)) if context else (lambda x: 1 / 256)
+        seen = counts.get(context, {})
         total, kinds = sum(seen.values()), len(seen)
+        if total < language_id.LEAST and context or not seen:
+            return below(symbol)
         if symbol in seen:
             return seen[symbol] / (total + kinds)
         return kinds / (total + kinds) * below(symbol) / (1 - sum(below(x) for x in seen))
 
-    return sum(-np.log2(p(tuple(s[i - 3 : i]), s[i])) for i in range(3, len(s)))
+    return sum(-np.log2(p(s[i - language_id.ORDER : i], s[i])) for i in range(language_id.ORDER, len(s)))
 
 
 def test_code_lengths_equal_a_walk_through_the_tree():
-    texts = {"xx": b"the cat and the hat", "yy": "der hut und die k\u00fche".encode()}
-    grams = {}
-    for lang, t in texts.items():
-        s = language_id._FOLD[np.frombuffer(b"   " + t, np.uint8)].astype(int)
-        grams[lang] = Counter(int(((a << 8 | b) << 8 | c) << 8 | d) for a, b, c, d in zip(s, s[1:], s[2:], s[3:]))
+    learned = {"xx": b"the cat and the hat", "yy": "der hut und die k\u00fche der".encode(), "zz": "\u0434\u043e\u043c \u0438 \u0434\u044b\u043c".encode()}
+    counts, grams = {}, {}
+    for lang, t in learned.items():
+        grams[lang] = np.unique(language_id.keys_of(np.frombuffer(language_id.BEFORE + t, np.uint8)), return_counts=True)
+        counts[lang] = defaultdict(Counter)
+        s = language_id.BEFORE + t
+        for i in range(language_id.ORDER, len(s)):
+            for k in range(language_id.ORDER + 1):
+                counts[lang][s[i - k : i]][s[i]] += 1
     model = language_id.build(grams)
-    probe = [b"the hut", "und k\u00fche? 12".encode(), b"", b"zzz " * 9000]
-    for limit in (1 << 20, 1 << 10):
-        got = language_id.code_lengths(model, probe, limit)
-        for i, t in enumerate(probe[:3]):
+    probe = [b"the hut", "und k\u00fche? 12".encode(), b"", "\u0434\u044b\u043c THE \u0434\u043e\u043c\x00\xff".encode("utf-8"), bytes(range(256)), b"zzz " * 9000]
+    for step in (1 << 17, 50):
+        got = language_id.code_lengths(model, probe, step)
+        for i, t in enumerate(probe[:5]):
             for j, lang in enumerate(model.languages):
-                symbols = Counter()
-                for code, n in grams[lang].items():
-                    symbols[tuple(int(model.symbol[(code >> k) & 255]) for k in (24, 16, 8, 0))] += n
-                assert got[i, j] == pytest.approx(brute_bits(symbols, [int(model.symbol[x]) for x in t]), rel=1e-5)
-        assert got[3] == pytest.approx(language_id.code_lengths(model, probe[3:])[0], rel=1e-6)
+                assert got[i, j] == pytest.approx(brute_bits(counts[lang], t), rel=1e-5)
+        assert got[5] == pytest.approx(language_id.code_lengths(model, probe[5:])[0], rel=1e-6)
+
+
+def test_scripts_of_several_bytes_are_told_apart():
+    """Near languages in one non-Latin script, by the letters that one of them lacks."""
+    rnd = random.Random(1)
+    letters = {"ru": "\u0430\u0431\u0432\u0433\u0434\u0435\u0436\u0437\u0438\u044b\u044d\u044a", "uk": "\u0430\u0431\u0432\u0433\u0434\u0435\u0436\u0437\u0438\u0456\u0457\u0454"}
+    text = lambda lang, n: " ".join("".join(rnd.choice(letters[lang]) for _ in range(rnd.randint(2, 7))) for _ in range(n)).encode()
+    model = language_id.build({lang: np.unique(np.concatenate([language_id.keys_of(np.frombuffer(language_id.BEFORE + text(lang, 40), np.uint8)) for _ in range(20)]), return_counts=True) for lang in letters})
+    for j, lang in enumerate(model.languages):
+        assert (language_id.code_lengths(model, [text(lang, 12) for _ in range(40)]).argmin(1) == j).all()
+
+
+def test_key_table():
+    rnd = np.random.default_rng(3)
+    keys = np.unique(rnd.integers(0, 1 << 44, 5000))
+    table_, probe = language_id.KeyTable(keys), rnd.permutation(np.append(keys, rnd.integers(0, 1 << 44, 5000)))
+    place = {k: i for i, k in enumerate(keys.tolist())}
+    assert table_.find(probe).tolist() == [place.get(k, -1) for k in probe.tolist()]
+    assert language_id.KeyTable(keys[:0]).find(keys[:3]).tolist() == [-1] * 3
 
 
 def test_language_id(spark, odd_docs, no_docs):
@@ -331,7 +392,7 @@ def test_sharding_law_and_slots(spark, slot_rows):
         size[r["shard"]] += r["size"]
         slots[r["shard"]].append(r["slot"])
         where[text[r["doc_id"]]].add(r["shard"])
-    assert sorted(size) == list(range(7)) and max(size.values()) < 1.1 * min(size.values())
+    assert sorted(size) == list(range(7)) and max(size.values()) < 1.03 * min(size.values())
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(map(len, where.values())) == 1
 
@@ -347,6 +408,19 @@ def test_tree_cuts_at_weighted_medians(spark):
     assert root.cut.keys[0] == "x" and (len(root.cut.values) > 1 or abs(at(value) - total / 2) <= max(best, 0.002 * total / 2))
 
 
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    """Of the default 40 shards on sf0.01, where one group weighs a third of a shard."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = collect(sharding.shard_documents(spark, docs))
+    size, where, weight = Counter(), defaultdict(set), Counter()
+    for r in got:
+        size[r["shard"]] += r["size"]
+        where[r["text_crc32"]].add(r["shard"])
+        weight[r["text_crc32"]] += r["size"]
+    assert all(len(s) == 1 for c, s in where.items() if weight[c] <= sum(size.values()) / 40)
+    assert len(size) == 40 and max(size.values()) < 1.15 * min(size.values())
+
+
 def test_sharding_splits_a_group_larger_than_a_shard(spark, odd_docs, no_docs):
     docs = spark.createDataFrame([(i, "same") for i in range(400)] + [(1000 + i, f"text {i}") for i in range(100)], "doc_id long, text string")
     size = Counter()
@@ -361,8 +435,8 @@ def test_sharding_splits_a_group_larger_than_a_shard(spark, odd_docs, no_docs):
 # ---- 7 ----------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("shard_bytes", [4_000_000, 60_000])
-def test_packing_is_a_round_trip(spark, odd_docs, no_docs, rows, shard_bytes):
+@pytest.mark.parametrize("shard_tokens", [4_000_000, 9_000])
+def test_packing_is_a_round_trip(spark, odd_docs, no_docs, rows, shard_tokens):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(TOKENIZER)
@@ -370,7 +444,7 @@ def test_packing_is_a_round_trip(spark, odd_docs, no_docs, rows, shard_bytes):
     for d, t, *_ in rows:
         ids = np.append(np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4"), np.uint32(2)).astype("<u4")
         expected[(d, ids.tobytes())] += 1
-    got = collect(packing.pack_documents(spark, odd_docs, TOKENIZER, shard_bytes=shard_bytes))
+    got = collect(packing.pack_documents(spark, odd_docs, TOKENIZER, shard_tokens=shard_tokens))
     ids_of = defaultdict(list)
     for (d, ids), n in expected.items():
         ids_of[d].append((np.frombuffer(ids, "<u4"), n))
@@ -391,68 +465,143 @@ def test_packing_is_a_round_trip(spark, odd_docs, no_docs, rows, shard_bytes):
     assert collect(packing.pack_documents(spark, no_docs, TOKENIZER)) == []
 
 
-def test_neighbours_share_a_window():
+def indexed(docs, idf=None):
+    """Postings of lists of word numbers, with weights."""
+    words = np.array([len(d) for d in docs])
+    terms = np.array([t << 24 for d in docs for t in d], np.uint64)
+    doc, term, tf, names = packing.postings(terms, words)
+    df = np.bincount(term)
+    weight = np.log1p((len(docs) - df + 0.5) / (df + 0.5))[term] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * words[doc] / words.mean()))
+    return doc, term, weight.astype(np.float32)
+
+
+def brute_bm25(docs, query):
+    n, long = len(docs), np.mean([len(d) for d in docs])
+    df = Counter(t for d in docs for t in set(d))
+    return [sum(np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(d) / long)) for t, f in Counter(d).items() if t in set(query)) for d in docs]
+
+
+def brute_chain(docs, window):
+    """The greedy order with plain scores, counted over all documents."""
+    order, filled = [], 0
+    while len(order) < len(docs):
+        seed = next(i for i in range(len(docs)) if i not in order)
+        order.append(seed)
+        filled = (filled + len(docs[seed]) + 1) % window
+        if not filled:
+            continue
+        score = brute_bm25(docs, docs[seed])
+        for i in sorted((i for i in range(len(docs)) if i not in order and score[i] > 0), key=lambda i: (-score[i], i)):
+            order.append(i)
+            filled += len(docs[i]) + 1
+            if filled >= window:
+                filled %= window
+                break
+    return order
+
+
+@pytest.mark.parametrize("dense", [2, 10_000])
+def test_scores_equal_bm25(dense):
     rnd = np.random.default_rng(0)
+    docs = [rnd.integers(1, 50, rnd.integers(1, 60)).tolist() for _ in range(60)]
+    index = packing.Bm25(*indexed(docs), len(docs), dense)
+    for seed, score in zip((0, 7), index.scores([0, 7])):
+        assert score == pytest.approx(brute_bm25(docs, docs[seed]), rel=1e-5)
+
+
+def test_documents_follow_as_in_brute_force():
+    rnd = np.random.default_rng(3)
     topics = [rnd.choice(5000, 40, replace=False) for _ in range(6)]
-    docs = [rnd.choice(topics[i % 6], 60).astype("<u2") for i in range(60)]
-    order = packing.chain(docs, 10 * 61)
-    assert sorted(order) == list(range(60))
-    same = np.mean([order[i] % 6 == order[i + 1] % 6 for i in range(59)])
-    assert same > 0.8
-    index = packing.Bm25(docs, 1000)
-    n, long = len(docs), np.mean([len(d) for d in docs])
-    df = Counter(t for d in docs for t in set(d.tolist()))
-    plain = [sum(np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(d) / long)) for t, f in Counter(d.tolist()).items() if t in set(docs[0].tolist())) for d in docs]
-    assert index.scores(0) == pytest.approx(plain)
+    docs = [rnd.choice(topics[i % 6], rnd.integers(20, 90)).tolist() for i in range(90)] + [[9999], []]
+    order = packing.chain(*indexed(docs), np.array([len(d) + 1 for d in docs]), 300).tolist()
+    assert sorted(order) == list(range(len(docs)))
+    assert order == brute_chain(docs, 300)
 
 
 def test_a_seed_s_light_terms_find_neighbours():
-    seed = np.repeat(np.arange(1, 31), 3).astype("<u2")  # 30 heavy terms, and a light one that the last document shares
-    docs = [np.append(seed, np.uint16(40)), *(np.full(50, 100 + i, "<u2") for i in range(6)), np.array([40, *range(200, 240)], "<u2")]
-    assert packing.chain(docs, 132)[:2] == [0, 7]
+    seed = [t for t in range(1, 31) for _ in range(3)]  # 30 heavy terms, and a light one that the last document shares
+    docs = [[*seed, 40], *([100 + i] * 50 for i in range(6)), [40, *range(200, 240)]]
+    assert packing.chain(*indexed(docs), np.array([len(d) + 1 for d in docs]), 132)[:2].tolist() == [0, 7]
 
 
 def test_neighbours_follow_a_seed_longer_than_a_window():
-    docs = [np.arange(1, 26, dtype="<u2"), np.arange(50, 56, dtype="<u2"), np.arange(20, 26, dtype="<u2")]
-    assert packing.chain(docs, 20) == [0, 2, 1]
+    docs = [list(range(1, 26)), list(range(50, 56)), list(range(20, 26))]
+    assert packing.chain(*indexed(docs), np.array([len(d) + 1 for d in docs]), 20).tolist() == [0, 2, 1]
 
 
-def test_neighbours_come_from_every_shard(spark):
+def topical(n=600, kinds=12):
+    """Documents of a topic each, whose words stand in no other topic, and some words that all use."""
     rnd = random.Random(5)
-    words = [f"{a}{b}{c}" for a in "bcdfgh" for b in ("an", "or", "ist") for c in ("el", "um", "ita", "o")]
-    topics = [rnd.sample(words, 6) for _ in range(12)]
-    rows = [(i, " ".join(rnd.choice(topics[i % 12]) for _ in range(120))) for i in range(240)]
-    table = spark.createDataFrame(rows, "doc_id long, text string")
-    got = collect(packing.pack_documents(spark, table, TOKENIZER, window=1500, shard_bytes=10_000))
-    assert sum(r["length"] for r in got) == sum({r["doc_id"]: r["doc_tokens"] for r in got}.values())
+    words = [f"{a}{b}{c}" for a in "bcdfghjklm" for b in ("an", "or", "ist", "ent") for c in ("el", "um", "ita", "o", "esk")]
+    rnd.shuffle(words)
+    return [(i, " ".join(rnd.choice(words[8 + 16 * (i % kinds) :][:16] if rnd.random() < 0.6 else words[:8]) for _ in range(80))) for i in range(n)]
+
+
+def test_shards_hold_a_seed_s_neighbours(spark):
+    """Recall of the ten best neighbours over all documents, in the shard of the seed, where texts have topics."""
+    rows = topical()
+    got = collect(packing.pack_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, window=1500, shard_tokens=30_000))
+    shard = {r["doc_id"]: r["sequence_id"] >> 32 for r in got}
+    assert len(set(shard.values())) >= 3
+    docs, found = [t.split() for _, t in rows], []
+    for seed in range(0, len(docs), 40):
+        score = brute_bm25(docs, docs[seed])
+        best = sorted((i for i in range(len(docs)) if i != seed), key=lambda i: -score[i])[:10]
+        found.append(np.mean([shard[i] == shard[seed] for i in best]))
+    assert np.mean(found) >= 0.9
+
+
+def test_windows_hold_one_topic(spark):
+    rows = topical(240)
+    got = collect(packing.pack_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, window=1500))
     in_window = defaultdict(set)
     for r in got:
         in_window[r["sequence_id"]].add(r["doc_id"])
     pairs = [(a, b) for ids in in_window.values() for a in ids for b in ids if a < b]
-    assert np.mean([a % 12 == b % 12 for a, b in pairs]) > 0.4
+    assert np.mean([a % 12 == b % 12 for a, b in pairs]) > 0.5
 
 
-def test_best_equals_a_full_sort():
+def test_best_first_equals_a_full_sort():
     rnd = np.random.default_rng(1)
-    for n, tokens in ((5, 30), (300, 50), (300, 3000), (300, 10**6)):
-        score, long = rnd.integers(0, 9, n) / 4, rnd.integers(0, 20, n).astype("<u4")
-        want, held = [], 0
-        for i in sorted(np.flatnonzero(score > 0), key=lambda i: (-score[i], i)):
-            if held < tokens:
-                want.append(i)
-                held += int(long[i]) + 1
-        assert packing._best(score, long, tokens).tolist() == want
+    for n in (5, 64, 300):
+        score = rnd.integers(0, 9, n) / 4
+        assert list(packing.best_first(score)) == sorted(np.flatnonzero(score > 0), key=lambda i: (-score[i], i))
 
 
-def test_cached_ids_equal_the_tokenizer_s(rows):
+@pytest.mark.parametrize("fast", [True, False])
+def test_cached_ids_equal_the_tokenizer_s(rows, fast):
     from tokenizers import Tokenizer
 
-    tok, own = Tokenizer.from_file(TOKENIZER), packing.WordTokenizer(TOKENIZER, cache_size=3)
+    tok, own = Tokenizer.from_file(TOKENIZER), tokens.WordTokenizer(TOKENIZER, table_size=3)
+    own.fast = own.fast if fast else None
     rnd = random.Random(0)
-    noise = ["".join(rnd.choice("aB1é ,.'\x1c\x1f\x85\u00a0\u0301\u2028İßΣ\t\x0b<|>") for _ in range(60)) for _ in range(300)]
-    for _ in range(2):
-        for t in [t for _, t, *_ in rows] + noise:
-            assert np.frombuffer(own.encode([t or ""])[0], own.dtype).tolist() == tok.encode(t or "", add_special_tokens=False).ids
+    noise = ["".join(rnd.choice("aB1é ,.'\x1c\x1f\x85\u00a0\u0301\u2028İßΣ\t\x0b<|>\x01") for _ in range(60)) for _ in range(300)]
+    texts = [t or "" for _, t, *_ in rows] + noise
+    for part in (texts, *([t] for t in texts)):
+        ids, long = own.encode(pa.array(part))
+        edge = np.append(0, np.cumsum(long))
+        for i, t in enumerate(part):
+            assert ids[edge[i] : edge[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_fast_merges_equal_the_tokenizer_s():
+    """Every word of the vocabulary, joined ones, and random letters."""
+    from tokenizers import Tokenizer
+
+    tok, own, rnd = Tokenizer.from_file(TOKENIZER), tokens.WordTokenizer(TOKENIZER), random.Random(2)
+    known = [w for w in (name.removesuffix("</w>") for name in tok.get_vocab()) if w.isascii() and w.isalpha() and w == w.lower()]
+    words = list({*known, *(rnd.choice(known) + rnd.choice(known) for _ in range(60_000)), *("".join(rnd.choice("abcdefghijklmnopqrstuvwxyzéüñß") for _ in range(rnd.randint(1, 14))) for _ in range(60_000))})
+    assert own.fast
+    assert own._ids(words, True)[0].tolist() == tok.encode(" ".join(words), add_special_tokens=False).ids
+
+
+def test_words_of_ids():
+    ids, long = np.array([1, 2, 9, 2, 1, 2, 9, 5], np.uint16), np.array([5, 0, 3])
+    final = np.zeros(10, dtype=bool)
+    final[[9, 5]] = True
+    terms, words = tokens.word_terms(ids, long, final)
+    assert words.tolist() == [2, 0, 2] and len(terms) == 4  # 1 2 9, 2 1 (its end is a word's), 2 9, 5
+    assert len(set(terms.tolist())) == 4
 
 
 # ---- 8 ----------------------------------------------------------------------
