@@ -6,9 +6,12 @@ that leaves half its shards, rounded down, on the left.  Quantiles are found
 exactly by refining histograms: one aggregation serves all nodes of a level,
 and at most ``BINS`` sums a node come to the driver.  Built-in functions only.
 
-Dimensions are functions of the text, so equal texts have equal coordinates
-and stay together, unless one value alone weighs more than a part of a shard;
-then the cut goes on inside it, by the text's hash and at last by the id's.
+Dimensions are metadata of the text (its size, lines, and bytes beyond ASCII),
+so equal texts have equal coordinates.  Where one value weighs too much for a
+balanced cut, the cut goes on inside it by the text's hash; equal texts stay together unless they weigh
+more than a shard, and are then cut by the id's hash.  Where a group of equal
+texts lies across the quantile, the next widest dimension is tried, and at
+last the hash; the best balanced of these cuts is taken.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import Shared, power_of_two
 
 BINS = 2048
+#: Range of the ties, which are hashes.
+HASHES = (0, 2**32 - 1)
 #: Histograms of so many nodes are taken in one aggregation.
 NODES = 256
 
@@ -57,6 +62,16 @@ class Node:
     high: int = 0
     below: int = 0
     held: int = 0  # rows in [low, high]
+    # dimensions not tried yet, by width, and the best cut so far with what it misses by
+    untried: list[str] = field(default_factory=list)
+    best: tuple[float, Cut] | None = None
+
+    def search(self, ties: list[str]) -> None:
+        """Begins with the widest dimension not tried yet."""
+        key = self.untried.pop(0)
+        self.keys = [key, *[t for t in ties if t != key]]
+        self.fixed, self.below, self.held = [], 0, self.rows
+        self.low, self.high = self.ranges.get(key, HASHES)
 
     def width(self) -> int:
         """Of a bin; one value each when no more rows than bins are left."""
@@ -100,11 +115,10 @@ def _histograms(rows: DataFrame, root: Node, nodes: list[Node]) -> dict[int, dic
     return out
 
 
-def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], tolerance: float = 0.002, whole: float = 0.15) -> Node:
-    """The tree.  ``rows``: size and integer columns dims and ties.
+def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], tolerance: float = 0.002, miss: float = 0.01) -> Node:
+    """The tree.  ``rows``: size and integer columns dims and ties: hashes of the text, then of the row.
 
-    A cut may miss its quantile by ``tolerance`` of a shard; a value is kept
-    whole if it weighs less than ``whole`` of a shard.
+    A cut may miss its quantile by ``tolerance`` of a shard; one that misses it by more than ``miss`` has other dimensions tried.
     """
     root = Node(0, shards)
     _measure(rows, root, [root], dims)
@@ -114,10 +128,8 @@ def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], toleran
     while level:
         for part in [level[i : i + NODES] for i in range(0, len(level), NODES)]:
             for n in part:
-                wide = max(dims, key=lambda d: ((n.ranges[d][1] - n.ranges[d][0]) / spread[d], -dims.index(d)))
-                n.keys = [wide, *[t for t in ties if t != wide]]
-                n.fixed, n.below, n.held = [], 0, n.rows
-                n.low, n.high = n.ranges[wide]
+                n.untried = [*sorted(dims, key=lambda d: ((n.ranges[d][0] - n.ranges[d][1]) / spread[d], dims.index(d))), ties[0]]
+                n.search(ties)
             searching = list(part)
             while searching:
                 found = _histograms(rows, root, searching)
@@ -140,14 +152,21 @@ def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], toleran
                         n.below, n.low, n.high, n.held = under, lo, hi, held
                         open_.append(n)
                         continue
-                    if lo == hi and w > whole * share and near > tolerance * share and len(n.fixed) + 1 < len(n.keys):
+                    key = n.keys[len(n.fixed)]
+                    if lo == hi and near > tolerance * share and (key not in ties or (key == ties[0] and w > share)) and len(n.fixed) + 1 < len(n.keys):
                         n.fixed, n.below, n.held = [*n.fixed, lo], under, held  # go on inside the value
-                        key = n.keys[len(n.fixed)]
-                        n.low, n.high = {"tie_hash": (0, 2**32 - 1), "tie_id": (0, 2**32 - 1)}.get(key) or n.ranges.get(key, (0, 2**32 - 1))
+                        n.low, n.high = HASHES
                         open_.append(n)
                         continue
                     value = hi if over - goal <= goal - under else lo - 1
-                    n.cut = Cut(n.keys[: len(n.fixed) + 1], [*n.fixed, value])
+                    cut = Cut(n.keys[: len(n.fixed) + 1], [*n.fixed, value])
+                    if n.best is None or near < n.best[0]:
+                        n.best = near, cut
+                    if n.best[0] > miss * share and n.untried:
+                        n.search(ties)
+                        open_.append(n)
+                    else:
+                        n.cut = n.best[1]
                 searching = open_
         for n in level:
             n.left, n.right = Node(n.first, n.shards // 2), Node(n.first + n.shards // 2, n.shards - n.shards // 2)
@@ -165,16 +184,19 @@ def shard_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     bytes of the text plus 16; a null text has none and the checksum 0.  Slots
     number a shard's rows from 0 without gaps, by ranges of a hash of checksum
     and id and by these two inside a range, so no shard needs to fit a task;
-    rows equal in both are interchangeable.  Rows repeat as given; other
+    rows equal in both are interchangeable.  Equal texts share a shard unless they weigh more than one.  Rows repeat as given; other
     columns are not read; an empty table gives no rows.  The tree becomes one
     expression: for thousands of shards, call this again inside each shard.
     """
     shared = Shared(spark, "sharding")
-    data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("crc"), F.size(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")).cast("long").alias("n_lines"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    data = text.cast("binary")
+    log = lambda c: F.floor(F.log2(c + 1) * 65536).cast("long")
+    metadata = [log(F.octet_length(data)).alias("log_size"), log(F.size(F.split(text, "\n"))).alias("log_lines"), log(F.octet_length(data) - F.length(text)).alias("log_high")]
+    rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("crc"), *metadata)
     rows = rows.withColumn("tie_id", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    rows = shared.keep(rows.withColumn("log_size", F.floor(F.log2("size") * 65536).cast("long")), "rows")
-    root = grow(rows.withColumn("tie_hash", F.col("crc")), shards, ["log_size", "n_lines", "crc"], ["tie_hash", "tie_id"])
+    rows = shared.keep(rows, "rows")
+    root = grow(rows.withColumn("tie_hash", F.col("crc")), shards, ["log_size", "log_lines", "log_high"], ["tie_hash", "tie_id"])
     placed = rows.withColumn("tie_hash", F.col("crc")).withColumn("shard", leaf_of(root, lambda n: n.first).cast("int"))
     bits = min(24, power_of_two(rows.count() / shards / slot_rows, 1).bit_length() - 1)
     placed = placed.withColumn("range", F.shiftrightunsigned(F.xxhash64("crc", "doc_id"), 64 - bits) if bits else F.lit(0).cast("long"))
