@@ -55,47 +55,54 @@ def mix_sources(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
 
     Returns doc_id, size, source, source_size, target, taken, and the columns
     of ``docs`` named in ``carry``.  Documents of a
-    source are laid out in the order of a hash of id and seed; whole epochs
+    source are laid out in the order of a hash of id (of the text for a null id) and seed; whole epochs
     are repeated while they fit the budget (the target rounded down), and the
     last epoch is cut at the exact word.  A null source is a source of its
     own; null and empty texts have size 0 and give nothing; rows repeated under
     one id follow each other, and rows equal in id and size are
-    interchangeable.  Only the columns named are read.
+    interchangeable; a text of any length is only counted; an empty table gives no rows.  Only the columns named are read.
 
-    The order within a source is by key, so the leading bits of the key split
-    each source into ranges of about ``bucket_rows`` rows: sums of the ranges,
-    their prefix sums, and prefix sums inside each range give every
-    document's place without bringing a source into one task.
+    The leading bits of the key split each source into ranges of about
+    ``bucket_rows`` rows.  Sums of the ranges and their prefix sums name the
+    one range of each source in which its last epoch ends.  Only that range is
+    sorted and summed row by row; all other rows learn from one row a
+    source whether they lie before or behind it, in a narrow pass.  Sources are taken to be few:
+    their targets come from one task.
     """
     shared = Shared(spark, "mixing")
-    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+    name = F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col).cast("string").cast("binary")), F.lit(""))
+    key = F.md5(F.concat(name, F.lit(f":{seed}")).cast("binary"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), count_words(F.col(text_col)).alias("size"), key.alias("key"), *[F.col(c).alias(f"carried {c}") for c in carry])
     slim = shared.keep(rows.select("doc_id", "source", "size", "key"), "sizes")
     if not carry:
         rows = slim  # else texts are read again, not written
     bits = min(32, power_of_two(slim.count() / bucket_rows, 1).bit_length() - 1)
-    bucket = F.shiftrightunsigned(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits)
-    ranges = shared.keep(slim.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("range_size")), "ranges")
+    bucket = F.shiftrightunsigned(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits).alias("bucket")
+    ranges = shared.keep(slim.groupBy("source", bucket).agg(F.sum("size").alias("range_size")), "ranges")
     targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, total_share, most_epochs)
-    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.select("source", "bucket", F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("ahead"))
-    plan = offsets.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select(F.col("o.source").alias("p_source"), F.col("o.bucket").alias("p_bucket"), "ahead", "source_size", "target")
-    if ranges.count() <= broadcast_rows:  # one row for each range; beyond that the join shuffles
-        plan = F.broadcast(plan)
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("bucket", bucket).withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = placed.join(plan, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("bucket") == F.col("p_bucket")))
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest("source_size", F.lit(1)))).otherwise(0).cast("long")
-    rest = budget - epochs * F.col("source_size") - F.col("ahead") - F.col("within")
-    taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return placed.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"), *[F.col(f"carried {c}").alias(c) for c in carry])
+    targets = shared.keep(targets.select("source", "source_size", "target", epochs.alias("epochs"), (budget - epochs * F.col("source_size")).alias("rest")), "targets")
+    # the first range that isn't taken whole in the last epoch, and what lies ahead of it
+    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ranges.select("source", "bucket", "range_size", F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("ahead")).alias("e").join(targets.alias("t"), F.col("e.source").eqNullSafe(F.col("t.source")))
+    ends = ends.filter(F.col("ahead") + F.col("range_size") > F.col("rest")).groupBy(F.col("e.source").alias("e_source")).agg(F.min(F.struct("bucket", "ahead")).alias("end"))
+    plan = targets.join(ends, F.col("source").eqNullSafe(F.col("e_source")), "left").select(F.col("source").alias("p_source"), "source_size", "target", "epochs", "rest", F.coalesce("end.bucket", F.lit(1 << 32)).alias("end"), "end.ahead")
+    if targets.count() <= broadcast_rows:  # one row a source; beyond that the join shuffles
+        plan = F.broadcast(plan)
+    rows = rows.withColumn("bucket", bucket).join(plan, F.col("source").eqNullSafe(F.col("p_source")))
+    last = F.when(F.col("bucket") < F.col("end"), F.col("size")).otherwise(0)
+    inside = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.col("rest") - F.col("ahead") - F.coalesce(F.sum("size").over(inside), F.lit(0))
+    cut = F.greatest(F.lit(0), F.least(F.col("size"), within))
+    out = lambda df, taken: df.select("doc_id", "size", "source", "source_size", "target", (F.col("epochs") * F.col("size") + taken).cast("long").alias("taken"), *[F.col(f"carried {c}").alias(c) for c in carry])
+    return out(rows.filter(F.col("bucket") != F.col("end")), last).unionByName(out(rows.filter(F.col("bucket") == F.col("end")), cut))
 
 
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix') AS k
+         md5(coalesce(CAST(doc_id AS VARCHAR), md5(text), '') || ':mix') AS k
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
