@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts as good; it learns from the labelled ones among them."""
+    """Documents that the quality classifier predicts as good; it learns from the labelled ones among them.
+
+    Each row is judged by its text alone: repeated rows stay or go together, a null text counts as an empty one,
+    and without labels or rows nothing is learned and all stay.
+    """
     ranker = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
     scored = quality_classifier.score_quality(spark, docs, ranker, carry=COLUMNS[1:])
     return scored.filter("predicted = 1").select(*COLUMNS)
@@ -37,13 +40,22 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; rows that share an id stay or go together."""
-    kept = jaccard_join.jaccard_components(spark, docs).filter("component_id <=> doc_id").select(_id_key("doc_id")).distinct()
-    return docs.select("*", _id_key("doc_id")).join(kept, "id_key", "left_semi").select(*COLUMNS)
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    A row is named by id and text, so rows without an id, or of several texts under one id, are
+    decided one by one; rows equal in both stay or go together.  Null and empty texts have no duplicates and stay.
+    """
+    groups = jaccard_join.jaccard_components(spark, docs)
+    gone = groups.filter(~F.col("representative")).select(_id_key("doc_id"), F.col("text_hash").alias("hash")).distinct()
+    return docs.select("*", _id_key("doc_id"), F.xxhash64("text").alias("hash")).join(gone, ["id_key", "hash"], "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix's words: each document once for every whole epoch, and cut where its source's budget ends."""
+    """The mix's words: each document once for every whole epoch, and cut where its source's budget ends.
+
+    A document without words gives nothing, a null source is one of its own; no text is shuffled but those of the
+    range of each source in which its budget ends.
+    """
     taken = mixing.mix_sources(spark, docs, carry=("text", "lang", "n_chars"))
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     rest = F.when(F.col("size") > 0, F.col("taken") - whole * F.col("size")).otherwise(0).cast("int")
@@ -54,7 +66,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens, as pieces of documents."""
+    """Sequences of at most 4096 tokens, as pieces of documents; repeated rows are documents of their own."""
+    import public_tokenizers
+
     return packing.pack_documents(spark, docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
