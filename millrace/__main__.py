@@ -27,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--backend", default="postgres")
     p.add_argument("--save", action="store_true")
     p.add_argument("--pretty", action="store_true")
+    p.add_argument("--allow-insecure", action="store_true", help="don't check certificates")
     p = sub.add_parser("ids", help="different valid ids of a csv file's first column")
     p.add_argument("path")
     p.add_argument("out")
@@ -57,7 +58,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     from .operators import dedup, profile, sets
     from .plans import probe as probes
     from .plans import runner, spec
-    from .sources import http, text
+    from .sources import csv, http, text
 
     if args.command == "run":
         p = spec.Pipeline.load(args.config)
@@ -75,13 +76,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.v:
             profile.error_buckets(done.rejected, "reason", ("raw",)).show(50, truncate=False)
     elif args.command == "probe":
-        found = probes.probe(spark, args.url, args.name, args.bytes, job=args.job, backend=args.backend)
+        sample = probes.sample_of(spark, args.url, args.bytes, verify=not args.allow_insecure)
+        found = probes.probe_sample(spark, sample, args.name, job=args.job, backend=args.backend)
         if args.save:
-            probes.save_sample(text.first_bytes(spark, args.url, args.bytes), args.name)
+            probes.save_sample(sample, args.name)
         print(json.dumps(found, ensure_ascii=False, indent=2 if args.pretty else None))
     elif args.command == "ids":
-        cells = F.split("value", ",")
-        rows = spark.read.text(args.path).select(F.get(cells, F.lit(0)).alias("id"), F.get(cells, F.lit(4)).alias("check"), F.monotonically_increasing_id().alias("line"))
+        fields = [f"f{i}" for i in range(5)]
+        rows = csv.read_csv(spark, args.path, csv.CsvOptions(has_header=False, lazy_quotes=True), fields).select(F.col("f0").alias("id"), F.col("f4").alias("check"), F.monotonically_increasing_id().alias("line"))
         dedup.distinct_first(rows, "id", "check", ["line"], args.max_id).select("text").write.text(args.out)
     elif args.command == "keep":
         ids = sets.id_set(sets.parse_ids(spark.read.text(args.ids)), "id", args.max_id)
@@ -90,7 +92,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         new = spark.read.text(args.new)
         head = new.head()
         if head is not None:
-            sets.snapshot_diff_files(new, spark.read.text(args.old), head["value"].rstrip("\r")).orderBy(F.desc("is_header")).select("value").write.text(args.out)
+            # the header is the first part of the union and so of the output
+            sets.snapshot_diff_files(new, spark.read.text(args.old), head["value"].rstrip("\r")).select("value").write.text(args.out)
     elif args.command == "strip-html":
         pages = spark.read.text(args.path, wholetext=True).withColumn("file", F.monotonically_increasing_id())
         profile.html_window(pages, "file", "value", args.start, args.end).orderBy("file", "pos").select("line").write.text(args.out)

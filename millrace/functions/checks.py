@@ -53,13 +53,17 @@ def is_bool_word(c: Column, words: Sequence[str] = PROBE_WORDS) -> Column:
 
 
 def is_date(c: Column) -> Column:
+    """By any of the date layouts, which all begin with a digit and have 8 to 11 characters."""
     t = trim_unicode(c)
-    return F.coalesce(*[parse_date(t, x) for x in DATE_LAYOUTS]).isNotNull()
+    fits = F.length(t).between(8, 11) & F.left(t, F.lit(1)).between("0", "9")
+    return F.coalesce(F.when(fits, F.coalesce(*[parse_date(t, x) for x in DATE_LAYOUTS]).isNotNull()), F.lit(False))
 
 
 def is_timestamp(c: Column) -> Column:
+    """By any of the timestamp layouts, which all begin with a digit and have 19 characters or more."""
     t = trim_unicode(c)
-    return F.coalesce(*[parse(t, x) for x in TIMESTAMP_LAYOUTS]).isNotNull()
+    fits = (F.length(t) >= 19) & F.left(t, F.lit(1)).between("0", "9")
+    return F.coalesce(F.when(fits, F.coalesce(*[parse(t, x) for x in TIMESTAMP_LAYOUTS]).isNotNull()), F.lit(False))
 
 
 def int_like(c: Column, kind: T.DataType) -> Column:

@@ -16,9 +16,13 @@ def has_edge_space(c: Column) -> Column:
     return F.rlike(c, F.lit(r"\A[ \t\n\r]|[ \t\n\r]\z"))
 
 
+#: Unicode's white space; fixed values.
+WHITE = "\t\n\x0b\x0c\r \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim_unicode(c: Column) -> Column:
     """Strips every Unicode white space character from both ends."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.trim(c, F.lit(WHITE))
 
 
 def trim_edges(c: Column) -> Column:

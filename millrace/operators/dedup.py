@@ -26,14 +26,23 @@ def completeness(df: DataFrame, prefer: Sequence[str] = (), ignore: Sequence[str
     return reduce(lambda a, b: a + b, [*all_, *more], F.lit(0))
 
 
-def dedup(df: DataFrame, keys: Sequence[str], policy: str = KEEP_LAST, order_by: Sequence[str] = ("_line",), prefer: Sequence[str] = ()) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str], policy: str = KEEP_LAST, order_by: Sequence[str] = ("_line",), prefer: Sequence[str] = (), missing: Column | None = None, ordered: bool = False) -> DataFrame:
     """One row for each key.
 
     Keys compare as text and nulls equal each other.  ``order_by`` is the
     rows' order (make it total); the policies take the first or last row, or
     the most complete, of which the later.  An unknown policy means the last;
     without keys, or with one that isn't a column, nothing is dropped.
+
+    ``missing`` tells rows whose record lacks a key altogether (a null is a
+    key like others); they pass through.  ``ordered`` gives the winners in the
+    rows' order, then what passed through in that order; it sorts, so leave it off where order doesn't matter.
     """
+    if missing is not None or ordered:
+        flagged = df.withColumn("_passed", F.coalesce(missing, F.lit(False)) if missing is not None else F.lit(False))
+        won = dedup(flagged.filter(~F.col("_passed")).drop("_passed"), keys, policy, order_by, prefer)
+        out = won.withColumn("_passed", F.lit(False)).unionByName(flagged.filter("_passed"))
+        return (out.orderBy("_passed", *order_by) if ordered else out).drop("_passed")
     if not keys or any(k not in df.columns for k in keys):
         return df
     policy = policy.strip().lower()
@@ -58,9 +67,11 @@ def distinct_first(df: DataFrame, id_col: str, check_col: str, order_by: Sequenc
     text = trim_unicode(F.col(f"`{id_col}`").cast("string"))
     rows = df.filter(is_int(F.col(f"`{id_col}`").cast("string")) & is_int(F.col(f"`{check_col}`").cast("string")))
     rows = rows.select(text.try_cast("bigint").alias("id"), text.alias("text"), F.struct(*[F.col(f"`{c}`") for c in order_by]).alias("at"))
-    known = F.col("id") >= 0 if max_id is None else F.col("id").between(0, max_id)
-    first = rows.filter(known).groupBy("id").agg(F.min_by("text", "at").alias("text"))
-    return first if max_id is None else first.unionByName(rows.filter(~known).select("id", "text"))
+    if max_id is None:
+        return rows.filter("id >= 0").groupBy("id").agg(F.min_by("text", "at").alias("text"))
+    # a row that isn't remembered is a group of its own, so one scan serves both
+    own = F.when(~F.col("id").between(0, max_id), F.struct("at", F.monotonically_increasing_id()))
+    return rows.withColumn("own", own).groupBy("id", "own").agg(F.min_by("text", "at").alias("text")).drop("own")
 
 
 def distinct_counts(df: DataFrame, id_col: str, check_col: str) -> DataFrame:

@@ -38,15 +38,15 @@ def id_bitmaps(ids: DataFrame) -> DataFrame:
     return grouped.agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap")).withColumn("n", F.bitmap_count("bitmap"))
 
 
-def keep_known(lines: DataFrame, ids: DataFrame, col: str = "value", id_col: str = "id", small: bool = False) -> DataFrame:
+def keep_known(lines: DataFrame, ids: DataFrame, col: str = "value", id_col: str = "id") -> DataFrame:
     """Lines with an integer of the id set in them, each once for each time it stands in ``lines``.
 
     The integers are joined by equality, so a line's cost is its digits, not
-    the set.  ``small`` says that the ids fit a broadcast; otherwise Spark decides by size.
+    the set; Spark broadcasts the ids if their size allows.
     """
     found = lines.select(F.monotonically_increasing_id().alias("_row"), F.col(col)).withColumn("_int", F.explode(F.array_distinct(extract_ints(F.col(col)))))
     ids = ids.select(F.col(id_col).cast("bigint").alias("_int")).distinct()
-    kept = found.join(F.broadcast(ids) if small else ids, "_int", "left_semi")
+    kept = found.join(ids, "_int", "left_semi")
     return kept.groupBy("_row").agg(F.first(col).alias(col)).select(col)
 
 
@@ -106,6 +106,6 @@ def flatten(df: DataFrame) -> DataFrame:
             if isinstance(f.dataType, T.StructType):
                 yield from walk(f.dataType, here)
             else:
-                yield F.col(".".join(f"`{p}`" for p in here)).alias(".".join(here))
+                yield here
 
-    return df.select(*sorted(walk(df.schema, ()), key=str))
+    return df.select(*[F.col(".".join(f"`{p}`" for p in here)).alias(".".join(here)) for here in sorted(walk(df.schema, ()))])

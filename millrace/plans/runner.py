@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -28,10 +29,11 @@ LINE = "_line"
 
 @dataclass
 class Run:
-    """What a pipeline gives.  ``rejected``: columns as text, stage, reason."""
+    """What a pipeline gives.  ``rows``: all, with stage and reason; ``rejected``: columns as text, stage, reason."""
 
     accepted: DataFrame
     rejected: DataFrame
+    rows: DataFrame
     counts: dict[str, int] = field(default_factory=dict)
     metrics: Metrics = field(default_factory=Metrics)
 
@@ -141,24 +143,45 @@ def plan(spark: SparkSession, p: Pipeline) -> Run:
     done = transform(p, read(spark, p))
     accepted = project(where(done, F.col("_reason").isNull()), p.storage.columns)
     rejected = where(done, F.col("_reason").isNotNull()).select(F.col("_raw").alias("raw"), F.col("_stage").alias("stage"), F.col("_reason").alias("reason"))
-    return Run(accepted, rejected)
+    return Run(accepted, rejected, done)
+
+
+@contextmanager
+def _reading(spark: SparkSession, p: Pipeline) -> Iterator[None]:
+    """Reads in as many parts at least as the readers and transformers that the specification or the environment asks for."""
+    parts, name = max(p.given("reader_workers"), p.given("transform_workers")), "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    if parts:
+        spark.conf.set(name, str(parts))
+    try:
+        yield
+    finally:
+        if parts and before is None:
+            spark.conf.unset(name)
+        elif parts:
+            spark.conf.set(name, before)
 
 
 def run(spark: SparkSession, p: Pipeline, gateway: str = "") -> Run:
-    """Plans, writes and counts.  Errors are raised; counts come from an observation of the run that writes."""
+    """Plans, writes and counts.  Errors are raised; counts come from an observation of the run that writes.
+
+    Of the runtime settings, readers and transformers give the least number of
+    parts to read in, loaders (if given) the tasks that write at once, and the batch size that of inserts; Spark has no
+    channel to set a buffer for.
+    """
     metrics = Metrics(p.job)
     with metrics.step("plan"):
-        out = plan(spark, p)
-        done = transform(p, read(spark, p))
+        with _reading(spark, p):
+            out = plan(spark, p)
     seen = Observation("rows")
     count = lambda cond: F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0))
     of = lambda stage: count(F.col("_stage") == stage)
-    observed = done.observe(seen, F.count(F.lit(1)).alias("seen"), of("parse").alias("parse_errors"), of("coerce").alias("transform_rejected"), (of("validate") + of("require")).alias("validate_dropped"), count(F.col("_reason").isNull()).alias("inserted"))
+    observed = out.rows.observe(seen, F.count(F.lit(1)).alias("seen"), of("parse").alias("parse_errors"), of("coerce").alias("transform_rejected"), (of("validate") + of("require")).alias("validate_dropped"), count(F.col("_reason").isNull()).alias("inserted"))
     accepted = project(where(observed, F.col("_reason").isNull()), p.storage.columns)
     s = p.storage
     ddl = infer_table(s.table, s.columns, s.kind if s.kind in ("postgres", "mssql", "sqlite", "mysql") else "generic", p.contract(), p.types()) if s.auto_create_table else None
-    with metrics.step("load"):
-        batches = writer(s.kind)(accepted, s.dsn, s.table, p.setting("batch_size"), ddl)
+    with metrics.step("load"), _reading(spark, p):
+        batches = writer(s.kind)(accepted.coalesce(p.given("loader_workers")) if p.given("loader_workers") else accepted, s.dsn, s.table, p.setting("batch_size"), ddl)
     got = dict(seen.get)
     counts = {"processed": got.pop("seen"), **got}
     counts["transform_dropped"] = counts["processed"] - counts["parse_errors"] - counts["validate_dropped"] - counts["inserted"]
@@ -169,7 +192,7 @@ def run(spark: SparkSession, p: Pipeline, gateway: str = "") -> Run:
     metrics.batches(counts["batches"])
     if gateway:
         metrics.push(gateway)
-    return Run(out.accepted, out.rejected, counts, metrics)
+    return Run(out.accepted, out.rejected, out.rows, counts, metrics)
 
 
 def stream_verdict(df: DataFrame, required: list[str], kinds: dict[str, str]) -> DataFrame:

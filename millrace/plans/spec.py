@@ -98,15 +98,18 @@ class Pipeline:
         with open(path, encoding="utf-8") as f:
             return Pipeline.of(json.load(f))
 
-    def setting(self, name: str) -> int:
-        """The specification's value if positive, else the environment's, else the default."""
-        env, default = RUNTIME[name]
+    def given(self, name: str) -> int:
+        """The specification's value if positive, else the environment's, else 0."""
         if self.runtime.get(name, 0) > 0:
             return self.runtime[name]
         try:
-            return int(os.environ[env]) if int(os.environ[env]) > 0 else default
+            return max(0, int(os.environ[RUNTIME[name][0]]))
         except (KeyError, ValueError):
-            return default
+            return 0
+
+    def setting(self, name: str) -> int:
+        """The given value, else the default."""
+        return self.given(name) or RUNTIME[name][1]
 
     def contract(self) -> list[Field]:
         """Fields of the first contract in the chain."""

@@ -56,38 +56,45 @@ def _open_end(comma: str) -> str:
     return rf'\A(?:(?:"(?:[^"]|"")*+"|[^"{sep}]*+){sep})*+"(?:[^"]|"")*+\z'
 
 
+def _lines(spark: SparkSession, path: str, has_header: bool) -> DataFrame:
+    """Lines that aren't blank, without the first of each file if that is a header: a csv read of one column that has no separator or quote."""
+    whole = {"header": has_header, "enforceSchema": True, "sep": "\uffff", "quote": "", "escape": "", "comment": "", "emptyValue": "", "maxCharsPerColumn": -1}
+    return spark.read.options(**whole).schema("value string").csv(path)
+
+
 def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(), columns: Sequence[str] | None = None) -> DataFrame:
     """Declared columns (or all) as text, nulls for '' and for what a file lacks, and ``_parse_error``.
 
     The error is null for good rows.  Rows of another width than asked for
     have one, and, unless quotes are lazy, rows with a quote inside an
     unquoted value.  Without a required width short rows are padded and long ones cut.
+    Blank lines don't count; of each file the first other line is the header.
+    A header without any of the declared columns is an error, as then every value would be null.
     """
-    head = spark.read.text(path).select(strip_bom(scrub(F.col("value"), options.scrub_pairs) if options.scrub else F.col("value")).alias("value")).head()
+    mend = lambda c: strip_bom(scrub(c, options.scrub_pairs) if options.scrub else c)
+    head = spark.read.text(path).select(F.regexp_replace(mend(F.col("value")), r"\r\z", "").alias("value")).filter("value <> ''").head()
     if head is None:
         names = list(columns or [])
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*names, ERROR]]))
     first = next(csv.reader([head["value"]], delimiter=options.comma), [])
     names = [header_name(h, options.header_map) for h in first] if options.has_header else list(columns or [f"col_{i}" for i in range(max(len(first), options.expected_fields))])
+    if columns and options.has_header and not set(columns) & set(names):
+        raise ValueError(f"{path}: the header has none of the columns {', '.join(columns)}")
     width = options.fields_per_record or options.expected_fields
     # the corrupt-record column marks rows of another width than the schema's
     fields = [f"f{i}" for i in range(width if width > 0 else max(1, len(names)))]
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_bad"]])
     parse = {"sep": options.comma, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE", "emptyValue": "", "nullValue": None}
-    lines = spark.read.text(path).select(F.col("value"))
+    lines = _lines(spark, path, options.has_header)
     multi = options.multi_line
     if multi is None and not options.scrub:
-        multi = not lines.filter(F.rlike("value", F.lit(_open_end(options.comma)))).isEmpty()
+        multi = not spark.read.text(path).filter(F.rlike("value", F.lit(_open_end(options.comma)))).isEmpty()
     strict_quotes = not options.lazy_quotes and not options.scrub
     if multi:
         rows = spark.read.options(**{k: v for k, v in parse.items() if v is not None}, header=options.has_header, multiLine=True, enforceSchema=True, columnPruning=False).schema(schema).csv(path)
         rows = rows.withColumn("_ok", F.lit(True))
     else:
-        value = scrub(F.col("value"), options.scrub_pairs) if options.scrub else F.col("value")
-        value = strip_bom(F.regexp_replace(value, r"\r\z", ""))
-        rows = lines.select(value.alias("value")).filter("value <> ''")
-        if options.has_header:
-            rows = rows.filter(F.col("value") != strip_bom(F.lit(head["value"])))
+        rows = lines.select(mend(F.col("value")).alias("value"))
         parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {k: v for k, v in parse.items() if v is not None})
         rows = rows.select(parsed.alias("p"), (F.rlike("value", F.lit(_guard(options.comma))) if strict_quotes else F.lit(True)).alias("_ok")).select("p.*", "_ok")
     error = F.when(~F.col("_ok"), F.lit("bare quote in a value"))

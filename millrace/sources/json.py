@@ -44,14 +44,32 @@ def text_of(value: object) -> str | None:
     return json.dumps(value, ensure_ascii=False) if isinstance(value, (dict, list)) else str(value)
 
 
-def read_json(spark: SparkSession, path: str, columns: Sequence[str], header_map: dict[str, str] | None = None, strict: bool = False) -> DataFrame:
-    """Declared columns as text and ``_line``, the record's number in its file; keys are renamed by the map.
-
-    A file that doesn't begin with a record, or with ``strict`` any element
-    that isn't an object, is an error.  Files are read whole, one task each; for newline-delimited
-    files that should be split use ``read_ndjson``.
+def _one_a_line(spark: SparkSession, path: str, lines: int = 200) -> bool:
+    """Whether the first lines are objects each, no envelope, so files can be split at line ends."""
+    first = [r["value"] for r in spark.read.text(path).filter(F.trim("value") != "").limit(lines).collect()]
+    try:
+        decoded = [json.loads(x.lstrip("\ufeff")) for x in first]
+    except ValueError:
+        return False
+    return len(decoded) > 1 and all(isinstance(x, dict) and expand(x) == [x] for x in decoded)
+
+
+def read_json(spark: SparkSession, path: str, columns: Sequence[str], header_map: dict[str, str] | None = None, strict: bool = False, by_line: bool | None = None) -> DataFrame:
+    """Declared columns as text and ``_line``, which orders a file's records; keys are renamed by the map.
+
+    ``by_line``: whether records stand one a line (None: whether the first 200
+    lines do).  Such files are split and each line is read on its own; a line
+    that isn't JSON is then an error.  Other files are read whole, one task
+    each: their shape shows only at their end.  There a file that doesn't begin with a record, or with ``strict`` any element
+    that isn't an object, is an error.
     """
     names, rename = list(columns), dict(header_map or {})
+    if by_line is None:
+        by_line = _one_a_line(spark, path)
+
+    def row(r: dict, number: int) -> tuple:
+        r = {rename.get(x, x): v for x, v in r.items()}
+        return (*(text_of(r.get(n)) for n in names), number)
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -63,11 +81,17 @@ def read_json(spark: SparkSession, path: str, columns: Sequence[str], header_map
                         raise ValueError("the JSON input holds no records")
                     for r in found:
                         number += 1
-                        r = {rename.get(x, x): v for x, v in r.items()}
-                        out.append((*(text_of(r.get(n)) for n in names), number))
+                        out.append(row(r, number))
                 yield pd.DataFrame(out, columns=[*names, "_line"])
 
+    def line_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [row(r, at) for text, at in zip(batch["value"], batch["at"]) for value in values_of(text) for r in expand(value)]
+            yield pd.DataFrame(out, columns=[*names, "_line"])
+
     schema = ", ".join([f"`{n}` string" for n in names] + ["_line bigint"])
+    if by_line:
+        return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at")).mapInPandas(line_records, schema)
     return spark.read.text(path, wholetext=True).mapInPandas(records, schema)
 
 

@@ -88,30 +88,61 @@ def extract(record: ElementTree.Element, fields: dict[str, Path], lists: dict[st
     return found
 
 
-def read_xml(spark: SparkSession, path: str, options: XmlOptions, columns: Sequence[str] | None = None) -> DataFrame:
-    """Declared columns (texts; lists as arrays) and ``_line``, the record's number in its file.
+def record_parts(spark: SparkSession, path: str, tag: str) -> DataFrame | None:
+    """(value, _line): what ends with each ``</tag>``, by Spark's line reader, which splits large files over many tasks; None where that isn't safe.
 
-    Files are read whole, one task each; records are parsed one by one.
+    It isn't when elements of the name nest, or a comment or CDATA section
+    holds an end tag; one scan, which brings back a row a file, tells.  What
+    follows a file's last end tag is left as it is, so a truncated element has no end.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    parts = spark.read.text(path, lineSep=f"</{tag}>").select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    count = lambda pattern: F.size(F.regexp_extract_all("value", F.lit(pattern), F.lit(0)))
+    opened = count(rf"<{re.escape(tag)}(?:\s[^<>]*)?(?<!/)>")
+    unsafe = (opened > 1) | (count(r"<!\[CDATA\[") != count(r"\]\]>")) | (count("<!--") != count("-->"))
+    files = parts.groupBy("file").agg(F.max("place").alias("last"), F.max(unsafe).alias("unsafe"))
+    if not files.filter("unsafe").isEmpty():
+        return None
+    ended = F.when(F.col("place") == F.col("last"), F.col("value")).otherwise(F.concat("value", F.lit(f"</{tag}>")))
+    return parts.join(files, "file").select(ended.alias("value"), F.col("place.at").alias("_line"))
+
+
+def read_xml(spark: SparkSession, path: str, options: XmlOptions, columns: Sequence[str] | None = None, split: bool | None = None) -> DataFrame:
+    """Declared columns (texts; lists as arrays) and ``_line``, which orders a file's records.
+
+    ``split``: whether files may be split at end tags (None: looked for, see
+    ``record_parts``); else they are read whole, one task each.  Only UTF-8 files are split.  Records are parsed one by one;
+    one that isn't well-formed is dropped.
     Suffix paths over mixed content are beyond the built-in XPath functions, so this runs in Python.
     """
     columns = list(columns or [*options.fields, *options.lists])
     fields = {k: compile_path(p) for k, p in options.fields.items()}
     lists = {k: compile_path(p) for k, p in options.lists.items()}
+    schema = ", ".join([f"`{c}` {'array<string>' if c in lists else 'string'}" for c in columns] + ["_line bigint"])
+
+    def rows(text: str, first: int) -> Iterator[tuple]:
+        for number, shard in enumerate(shards(text, options.record_tag), first):
+            try:
+                found = extract(ElementTree.fromstring(shard), fields, lists)
+            except ElementTree.ParseError:
+                continue
+            yield (*(found.get(c) for c in columns), number)
 
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                out = []
-                for number, shard in enumerate(shards(bytes(content).decode(options.encoding), options.record_tag), 1):
-                    try:
-                        found = extract(ElementTree.fromstring(shard), fields, lists)
-                    except ElementTree.ParseError:
-                        continue
-                    out.append((*(found.get(c) for c in columns), number))
-                yield pd.DataFrame(out, columns=[*columns, "_line"])
+                yield pd.DataFrame(list(rows(bytes(content).decode(options.encoding), 1)), columns=[*columns, "_line"])
 
-    schema = ", ".join([f"`{c}` {'array<string>' if c in lists else 'string'}" for c in columns] + ["_line bigint"])
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(records, schema)
+    def of_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([r for text, at in zip(batch["value"], batch["_line"]) for r in rows(text, at)], columns=[*columns, "_line"])
+
+    parts = None
+    if split is not False and options.encoding.upper().replace("-", "") in ("UTF8", "ASCII", "USASCII"):
+        parts = record_parts(spark, path, options.record_tag)
+    if parts is not None:
+        return parts.mapInPandas(of_parts, schema)
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(of_files, schema)
 
 
 #: Tags of one public bibliography's articles and the columns they give; fixed values.

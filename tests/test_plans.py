@@ -38,7 +38,7 @@ def test_distinct_first(spark):
 
 def test_sets(spark):
     lines = lambda *x: spark.createDataFrame([(v,) for v in x], "value string")
-    assert sorted(r["value"] for r in sets.keep_known(lines("a12b34", "a12b34", "99", "12 99999999999999999999", "none"), sets.parse_ids(lines("12", " 99", "x", "7")), small=True).collect()) == ["a12b34", "a12b34"]
+    assert sorted(r["value"] for r in sets.keep_known(lines("a12b34", "a12b34", "99", "12 99999999999999999999", "none"), sets.parse_ids(lines("12", " 99", "x", "7"))).collect()) == ["a12b34", "a12b34"]
     assert rows(sets.snapshot_diff_files(lines("h", "1", "3", "3", ""), lines("h", "1\r", "2"), "h"), F.desc("is_header")) == [("h", True), ("3", False), ("3", False)]
     ids = spark.createDataFrame([(0,), (63,), (64,), (-1,), (5,), (5,)], "id bigint")
     assert rows(sets.id_set(ids, "id", 64), "id") == [(0,), (5,), (63,)]
@@ -150,7 +150,7 @@ def test_http_retries(monkeypatch, spark, tmp_path):
     class Answer(io.BytesIO):
         status = 200
 
-    def open_(request, timeout):
+    def open_(request, timeout, context=None):
         a = answers.pop(0)
         if isinstance(a, Exception):
             raise a

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from millrace.plans import catalog
+from millrace.plans import catalog, readback  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
