@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Shared, power_of_two
@@ -97,38 +97,43 @@ def _suspects(owner_bits: int):
     return read
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_rows: int = 1_000_000, broadcast_rows: int = 1_000_000) -> DataFrame:
+def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_rows: int = 16_000_000, sender_rows: int = 4_000_000, broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row for each document with the copy that stays.
 
     Returns doc_id, keep_id, group_size, kept, text_sha256.  Equal means the
     same bytes; a null text equals the empty one.  Of equal texts the largest
     id stays (nulls count as smallest), and of rows that repeat that id too, one.
     Other columns of ``docs`` are not read, so their names can't clash.  An
-    empty table gives no rows.
+    empty table gives no rows, and a text of any length is hashed whole.
 
-    ``owner_rows``: fingerprints an owner decodes at once.  The suspects'
-    fingerprints are broadcast only when a count shows at most
-    ``broadcast_rows`` (8 bytes each); else the join shuffles.
+    ``owner_rows``: fingerprints an owner decodes at once; ``sender_rows``:
+    about as many are sent from one task once there are more than 256 tasks' worth, so messages hold hundreds of
+    fingerprints at any size.  The suspects' fingerprints and the groups are broadcast only when a count shows at most
+    ``broadcast_rows`` of them; else the join shuffles.  Nothing is ordered or gathered by group: minima combine before they are sent.
     """
     shared = Shared(spark, "exact_dedup")
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    slim = shared.keep(own.select("doc_id", digest.alias("sha")), "slim")
-    bits = power_of_two(slim.count() / owner_rows, 16).bit_length() - 1
-    sent = shared.keep(slim.select(F.xxhash64("sha").alias("print")).mapInArrow(_sender(bits), "owner long, sender long, n long, k int, code binary, twice binary"), "sent")
+    slim = shared.keep(own.select("doc_id", digest.alias("sha"), F.monotonically_increasing_id().alias("row")), "slim")
+    total = slim.count()
+    bits = power_of_two(total / owner_rows, 16).bit_length() - 1
+    sent = shared.keep(slim.select(F.xxhash64("sha").alias("print")).coalesce(max(256, total // sender_rows)).mapInArrow(_sender(bits), "owner long, sender long, n long, k int, code binary, twice binary"), "sent")
     bitmaps = sent.groupBy("owner").applyInPandas(_own, "owner long, sender long, bitmap binary")
     suspects = shared.keep(sent.join(bitmaps, ["owner", "sender"]).mapInArrow(_suspects(bits), "print long").distinct(), "suspects")
     if suspects.count() <= broadcast_rows:
         suspects = F.broadcast(suspects)
     texts = own.withColumn("sha", digest).withColumn("print", F.xxhash64("sha")).join(suspects, "print")
-    groups = texts.groupBy("sha", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.count("doc_id").alias("ids"))
+    groups = texts.groupBy("sha", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     groups = shared.keep(groups.filter("group_size > 1").select("sha", "keep_id", "group_size"), "groups")
-    both = slim.join(groups, "sha", "left")
-    top = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    plain = both.filter(F.col("group_size").isNull() | ~top).select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), F.col("group_size").isNull().alias("kept"), "sha")
-    first = F.row_number().over(Window.partitionBy("sha").orderBy("doc_id")) == 1
-    tops = both.filter(F.col("group_size").isNotNull() & top).select("doc_id", "keep_id", "group_size", first.alias("kept"), "sha")
-    return plain.unionByName(tops).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+    small = groups.count() <= broadcast_rows
+    sized = lambda df: F.broadcast(df) if small else df
+    # of the rows with the id that stays, which may repeat, the first written one
+    first = slim.join(sized(groups), "sha").filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("sha").agg(F.min("row").alias("first"))
+    groups = shared.keep(groups.join(first, "sha"), "firsts")
+    shared.drop("sent", "suspects", "groups")
+    both = slim.join(sized(groups), "sha", "left")
+    alone = F.col("group_size").isNull()
+    return both.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), (alone | (F.col("row") == F.col("first"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 ORACLE_SQL = """
