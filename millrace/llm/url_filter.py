@@ -38,7 +38,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 12, keep_every: int = 4, tolerance: float | None = None) -> DataFrame:
+def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 12, keep_every: int = 4, tolerance: float | None = None, hub_rows: int = 1_000_000) -> DataFrame:
     """Personalised PageRank of trust along edges and of distrust against them.
 
     ``hosts``: host, trust_seed, distrust_seed (weights of at least 0);
@@ -47,17 +47,23 @@ def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float
     changes no comparison of two hosts.  Tables are written every few rounds,
     which bounds the plan and the work that a lost executor costs.  With a
     ``tolerance`` the rounds end once no mass changes by more between two such tables.
+    A host of more than ``hub_rows`` edges is dealt over several tasks; such hosts, of which there are at most
+    edges / hub_rows, are broadcast.
     """
     both = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("src").alias("at"), F.col("dst").alias("to")), F.struct(F.lit("distrust").alias("kind"), F.col("dst").alias("at"), F.col("src").alias("to"))))
     steps = edges.select(both.alias("e"), "weight").select("e.*", "weight")
-    out = steps.groupBy("kind", "at").agg(F.sum("weight").alias("out"))
-    steps = shared.keep(steps.join(out, ["kind", "at"]).select("kind", "at", "to", (F.col("weight") / F.col("out")).alias("share")), "steps")
+    out = shared.keep(steps.groupBy("kind", "at").agg(F.sum("weight").alias("out"), F.ceil(F.count("*") / hub_rows).cast("int").alias("parts")), "out")
+    hubs = F.broadcast(out.filter("parts > 1").select("kind", "at", "parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("to"), F.col("parts")).cast("int"), F.lit(0)).alias("part")
+    split = lambda df: df.join(hubs, ["kind", "at"], "left").select(*df.columns, F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    dealt = steps.join(hubs, ["kind", "at"], "left").select("kind", "at", "to", "weight", part)
+    steps = shared.keep(dealt.join(split(out.select("kind", "at", "out")), ["kind", "at", "part"]).select("kind", "at", "part", "to", (F.col("weight") / F.col("out")).alias("share")), "steps")
     seeds = hosts.select(F.col("host").alias("at"), F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("trust_seed").alias("seed")), F.struct(F.lit("distrust").alias("kind"), F.col("distrust_seed").alias("seed")))).alias("s")).select("at", "s.*").filter("seed > 0")
     totals = seeds.groupBy("kind").agg(F.sum("seed").alias("total"))
     seeds = shared.keep(seeds.join(totals, "kind").select("kind", "at", (F.col("seed") / F.col("total")).alias("mass")), "seeds")
     rank = last = seeds
     for k in range(1, rounds + 1):
-        sent = rank.join(steps, ["kind", "at"]).select("kind", F.col("to").alias("at"), (F.col("mass") * F.col("share") * damping).alias("mass"))
+        sent = split(rank).join(steps, ["kind", "at", "part"]).select("kind", F.col("to").alias("at"), (F.col("mass") * F.col("share") * damping).alias("mass"))
         rank = sent.unionByName(seeds.withColumn("mass", F.col("mass") * (1 - damping))).groupBy("kind", "at").agg(F.sum("mass").alias("mass"))
         if k % keep_every == 0:
             rank = shared.keep(rank, f"rank{k}")
@@ -79,7 +85,9 @@ def judge_urls(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", u
     trust unless any of its pages is blocked; hosts with at least half their
     pages blocked have distrust.  Links that name a host count once for each
     pair of page and host; relative links stay in their host and carry nothing.  A null
-    url, or one without ``://``, has empty host and path and is allowed.
+    url, or one without ``://``, has empty host and path and is allowed.  Rows
+    repeat as given (each counts as a page) whatever their id, null too; an empty table gives no rows; a null html has no
+    links, one of any length is searched whole; other columns are not read.
     """
     shared = Shared(spark, "urls")
     url = F.col(url_col).cast("string")
