@@ -111,15 +111,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The sample is drawn by a hash of the id at the rate that gives that many
     of all labelled rows, so its size doesn't grow with the input; only
-    feature vectors come to the driver.  Null labels aren't used; labels that
-    contradict each other for one id are all used.
+    feature vectors come to the driver, and should ids repeat, of four times as many rows at most.  Null labels aren't used; labels that
+    contradict each other for one id are all used, as are rows that repeat.  Without labelled rows every score is 0.5.
     """
     known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("label")).filter(F.col("label").isin(0, 1) & in_training(F.col("l_id")))
     rate = min(1.0, sample_rows / max(1, known.count()))
     known = known.filter(draw(F.col("l_id"), "quality") < rate)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     own = own.filter(in_training(F.col("doc_id")) & (draw(F.col("doc_id"), "quality") < rate))
-    sample = own.join(known, F.col("doc_id") == F.col("l_id")).select("text", "label").mapInArrow(_vectors, "label int, x array<double>").collect()
+    sample = own.join(known, F.col("doc_id") == F.col("l_id")).select("text", "label").limit(4 * sample_rows).mapInArrow(_vectors, "label int, x array<double>").collect()
     sample.sort(key=lambda r: (r["label"], r["x"]))  # the same sample whatever order it comes in
     x = np.array([r["x"] for r in sample]).reshape(len(sample), len(FEATURES))
     return fit(x, np.array([r["label"] for r in sample]), cut=cut)
@@ -128,8 +128,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score_quality(spark: SparkSession, docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Returns doc_id, held_out, score, predicted for each document, and its columns named in ``carry``.
 
-    The score of a text depends on its bytes only.  Null and empty texts have
-    the score of a text without words.  A narrow pass: no shuffle.
+    The score of a text depends on its bytes only, all of them.  Null and empty texts have
+    the score of a text without words.  Rows repeat as given, an empty table gives no rows, and other columns
+    are not read unless carried, under their own names.  A narrow pass: no shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,8 +57,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, and the ratios the rules use.  A null
     text has no words, fails the least length and isn't kept.  Rows repeat as
-    given; other columns are not read.  Everything is a narrow projection: no
-    shuffle, no user function, and memory for one row's words.
+    given; an empty table gives no rows; other columns are not read.  Everything is a narrow projection: no
+    shuffle, no user function, and memory for one row's words, however long its text.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
