@@ -44,6 +44,8 @@ class Shared:
 
     A written table cuts the lineage: a lost executor costs the recomputation
     of at most one stage, and what a table was made from is not run again.
+    Operators drop the tables that their result doesn't read; the others stay,
+    since results are lazy, until the folder is cleared.
     """
 
     def __init__(self, spark: SparkSession, name: str):

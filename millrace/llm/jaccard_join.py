@@ -331,6 +331,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows"), F.min("row").alias("first"))
     # only sets with company need a name of their own
     names = shared.keep(rooted.select("sig", "root").join(named.filter("rows > 1"), "root").select("sig", "component_id", "first"), "names")
+    shared.drop("sets", "members", "open", "parts", "star_parts", *(f"{step}_{x}" for step in ("star", "gap") for x in ("pairs", "wanted", "links")))
     out = survey.filter("n is not null").select("doc_id", "text_hash", "n", "sig").join(names, "sig", "left")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", (F.col("first").isNull() | own).alias("representative"))
