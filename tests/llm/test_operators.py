@@ -285,6 +285,8 @@ def test_quality_rules_on_odd_rows(odd_docs, no_docs, rows):
         r = got[d][0]
         assert (r["n_words"], r["word_chars"], r["n_repeat_words"]) == (len(w), sum(map(len, w)), len(covered))
         assert r["n_symbols"] == sum(c in "#*$%&|<>" for c in t or "")
+        lines = [x for x in (t or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+        assert r["n_dup_lines"] == len(lines) - len(set(lines))
         assert r["base_failed"] == (len(w) < 50 or 100 * len(covered) > 50 * len(w)) and not (r["kept"] and r["base_failed"])
     assert collect(quality_rules.quality_rules(no_docs)) == []
 
@@ -378,6 +380,28 @@ def test_quality_classifier(spark, odd_docs, no_docs):
     assert {r["score"] for r in collect(quality_classifier.score_quality(spark, odd_docs, empty))} == {0.5}
 
 
+def test_ranker_equals_plain_descent(spark):
+    """Weights by gradient descent on the same pairs, the threshold by counting, scores one by one."""
+    docs = {r["doc_id"]: r["text"] for r in collect(table(spark, "/root/testdata/sf0.01", "documents"))}
+    known = sorted((r["doc_id"], r["quality"]) for r in collect(table(spark, "/root/testdata/sf0.01", "labels")) if r["quality"] is not None)[:150]
+    x, label = np.array([quality_classifier.features((docs[d] or "").encode()) for d, _ in known]), np.array([q for _, q in known])
+    pairs, ridge, cut, seed = 400, 0.05, 0.3, 3
+    ranker = quality_classifier.fit(x, label, pairs, ridge, cut, seed)
+    z = np.array([[min(8.0, max(-8.0, (v - m) / (s if s > 1e-9 else 1.0))) for v, m, s in zip(row, x.mean(0), x.std(0))] for row in x])
+    rng, good, bad = np.random.default_rng(seed), np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    diff = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)]
+    w = np.zeros(z.shape[1])
+    for _ in range(60_000):
+        w -= 0.02 * (diff.T @ (1 / (1 + np.exp(-diff @ w)) - 1) / pairs + ridge * w)
+    assert ranker.weights == pytest.approx(w, abs=1e-3)
+    s = z @ ranker.weights
+    share = lambda t: (np.mean([v >= t for v in s[good]]) + np.mean([v < t for v in s[bad]])) / 2
+    assert share(ranker.threshold) >= max(share(t) for t in s) - 0.02
+    for d, _ in known[:20]:
+        v = sum(min(8.0, max(-8.0, (f - m) / c)) * k for f, m, c, k in zip(quality_classifier.features((docs[d] or "").encode()), ranker.mean, ranker.scale, ranker.weights)) - ranker.threshold
+        assert ranker.score(x[[i for i, (e, _) in enumerate(known) if e == d]])[0] == pytest.approx(1 / (1 + np.exp(-(v + np.log(cut / (1 - cut))))))
+
+
 # ---- 6 ----------------------------------------------------------------------
 
 
@@ -573,6 +597,7 @@ def test_cached_ids_equal_the_tokenizer_s(rows, fast):
     from tokenizers import Tokenizer
 
     tok, own = Tokenizer.from_file(TOKENIZER), tokens.WordTokenizer(TOKENIZER, table_size=3)
+    assert own.dtype == "<u2" and own.final.sum() > 20_000
     own.fast = own.fast if fast else None
     rnd = random.Random(0)
     noise = ["".join(rnd.choice("aB1é ,.'\x1c\x1f\x85\u00a0\u0301\u2028İßΣ\t\x0b<|>\x01") for _ in range(60)) for _ in range(300)]
@@ -621,14 +646,15 @@ def brute_rank(seeds, edges, rounds=12, damping=0.85):
     return mass
 
 
-def test_propagation_equals_brute_force(spark):
+@pytest.mark.parametrize("hub_rows", [2, 1_000_000])
+def test_propagation_equals_brute_force(spark, hub_rows):
     rnd = random.Random(4)
     hosts = [f"h{i}" for i in range(12)]
     edges = sorted({(rnd.choice(hosts), rnd.choice(hosts)) for _ in range(40)})
     edges = [(a, b, float(1 + (len(a + b) + i) % 3)) for i, (a, b) in enumerate(edges)]
     trust, distrust = {"h1": 2.0, "h2": 1.0}, {"h3": 1.0}
     hd = spark.createDataFrame([(h, trust.get(h, 0.0), distrust.get(h, 0.0)) for h in hosts], "host string, trust_seed double, distrust_seed double")
-    got = {r["host"]: r for r in collect(url_filter.propagate(Shared(spark, "test"), hd, spark.createDataFrame(edges, "src string, dst string, weight double")))}
+    got = {r["host"]: r for r in collect(url_filter.propagate(Shared(spark, "test"), hd, spark.createDataFrame(edges, "src string, dst string, weight double"), hub_rows=hub_rows))}
     good, bad = brute_rank(trust, edges), brute_rank(distrust, [(b, a, w) for a, b, w in edges])
     for h in hosts:
         if h in got:
@@ -637,6 +663,41 @@ def test_propagation_equals_brute_force(spark):
             assert not good.get(h) and not bad.get(h)
 
 
+def brute_judge(pages, least=1e-9):
+    """Every page's verdict by plain rules and masses propagated until they stand still."""
+    links, seen = Counter(), defaultdict(list)
+    for host, path, out in pages:
+        fits = [(len(h + p), v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        seen[host].append(max(fits)[1] if fits else None)
+        links.update((host, to) for to in set(out) - {host})
+    edges = [(a, b, float(n)) for (a, b), n in sorted(links.items())]
+    trust = {h: float(v.count("allow")) for h, v in seen.items() if "block" not in v}
+    distrust = {h: float(v.count("block")) for h, v in seen.items() if 2 * v.count("block") >= len(v)}
+    rank = lambda seeds, e: brute_rank(seeds, e, 400) if sum(seeds.values()) else {}
+    good, bad = rank(trust, edges), rank(distrust, [(b, a, w) for a, b, w in edges])
+    blocked = {h for h in seen if bad.get(h, 0) > least / len(seen) and bad.get(h, 0) >= good.get(h, 0)}
+    done = Counter()
+    out = []
+    for host, _, _ in pages:
+        out.append(seen[host][done[host]] or ("block" if host in blocked else "allow"))
+        done[host] += 1
+    return out
+
+
+def test_whole_judgement_equals_brute_force(spark):
+    """A graph of sites with hosts under rules, pages without ids, repeated pages and one very long page."""
+    rnd = random.Random(12)
+    hosts = [f"h{i}.test" for i in range(14)] + ["a.net", "b.net", "www.example.net", "x.example.com", "s.org"]
+    pages = []
+    for i in range(90):
+        host = rnd.choice(hosts)
+        pages.append((host, rnd.choice(["/en/", "/de/1", "/fr/", "/"]), rnd.sample(hosts, rnd.choice([0, 1, 1, 3]))))
+    pages.append((hosts[0], "/", hosts[1:4] * 20_000))
+    rows = [(None if i % 7 == 0 else i % 50, f"http://{h}{p}", "".join(f"<a href='http://{x}/'>x</a>" for x in out)) for i, (h, p, out) in enumerate(pages)]
+    got = Counter((r["page_id"], r["host"], r["path"], r["verdict"]) for r in collect(url_filter.judge_urls(spark, spark.createDataFrame(rows, "page_id long, url string, html string"))))
+    assert got == Counter((r[0], h, p, v) for r, (h, p, _), v in zip(rows, pages, brute_judge(pages)))
+
+
 def test_distrust_reaches_past_twelve_links(spark):
     rows = [(i, f"http://h{i}.test/", f"<a href='http://h{i + 1}.test/'>" if i < 19 else "<a href='http://bad.net/'>") for i in range(20)]
     pages = spark.createDataFrame([*rows, (20, "http://bad.net/", ""), (21, "http://h99.test/", "")], "page_id long, url string, html string")

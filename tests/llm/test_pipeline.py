@@ -83,6 +83,39 @@ def test_packing(stages):
     assert got == want
 
 
+LONG = " ".join(f"w{i}" for i in range(60_000))
+ODD = [
+    (None, "one two three four five six seven eight nine ten eleven twelve", "en", "s", 60, "x", "x"),
+    (None, "one two three four five six seven eight nine ten eleven twelve thirteen", "en", "s", 69, "x", "x"),
+    (7, "one two three four five six seven eight nine ten eleven twelve fourteen", "en", "s", 69, "x", "x"),
+    (7, "quite another text under the same id", "en", None, 36, "x", "x"),
+    (7, "quite another text under the same id", "en", None, 36, "x", "x"),
+    (8, None, None, None, None, "x", "x"),
+    (9, "", "de", "t", 0, "x", "x"),
+    (10, LONG, "en", "t", len(LONG), "x", "x"),
+    (11, LONG + " end", "en", "t", len(LONG) + 4, "x", "x"),
+]
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_stages_on_odd_rows(spark, rows):
+    """Rows without ids, ids of several texts, long texts, extra columns with names used inside, and no rows at all."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key string, size string")
+    stage = dict(corpus_pipeline.STAGES)
+    text = lambda df: Counter((r["doc_id"], r["text"]) for r in df.collect())
+    kept = stage["quality classifier"](spark, docs, SF)
+    assert kept.columns == list(corpus_pipeline.COLUMNS) and set(text(kept)) <= {r[:2] for r in rows}
+    unique = stage["exact dedup"](spark, docs, SF)
+    # a null text equals the empty one, and of these the larger id stays
+    assert text(unique) == Counter({r[:2]: 1 for r in rows if r[0] != 8})
+    assert text(stage["n-gram Jaccard join"](spark, unique, SF)) == Counter({r[:2]: 1 for r in rows if r[0] in (7, 9, 10)})
+    mixed = stage["mixing sources to target weights"](spark, docs, SF)
+    assert mixed.columns == list(corpus_pipeline.COLUMNS) and all(r["text"] for r in mixed.collect())
+    pieces = stage["packing"](spark, docs, SF).collect()
+    assert len({(r["doc_id"], r["doc_tokens"]) for r in pieces}) == len({r[:2] for r in rows})
+    assert sum(r["start"] == 0 for r in pieces) == len(rows)
+
+
 def test_run_gives_the_last_stage(spark, stages):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
