@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 def has_edge_space(c: Column) -> Column:
     """True when the first or last character is a blank, tab or line end."""
-    return F.rlike(c, F.lit(r"\A[ \t\n\r]|[ \t\n\r]\z"))
+    return F.left(c, F.lit(1)).isin(" ", "\t", "\n", "\r") | F.right(c, F.lit(1)).isin(" ", "\t", "\n", "\r")
 
 
 #: Unicode's white space; fixed values.

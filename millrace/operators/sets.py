@@ -69,20 +69,21 @@ def union_streams(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def realign(df: DataFrame, field: str, value: str) -> DataFrame:
+def realign(df: DataFrame, field: str, value: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Shifts the tail of a row left when ``value`` stands right of ``field`` instead of in it.
 
     From ``field`` on, columns are those from the value's first place on, then
-    nulls.  Rows where it is in place, to the left or missing stay as they are.  All columns are text.
+    nulls.  Rows where it is in place, to the left or missing stay as they are.  The ``columns`` (all by default) are
+    taken as text; others are carried behind them.
     """
-    names, k = df.columns, df.columns.index(field)
-    a = F.array(*[F.col(f"`{c}`").cast("string") for c in names])
-    rows = df.select(a.alias("a"))
-    at = F.array_position("a", F.lit(value))
-    tail = F.concat(F.slice("a", 1, k) if k else F.array().cast("array<string>"), F.slice("a", at.cast("int"), len(names)), F.array_repeat(F.lit(None).cast("string"), (at - k - 1).cast("int")))
-    moved = F.when((at > k + 1) & ~F.coalesce(F.get("a", F.lit(k)) == value, F.lit(False)), tail).otherwise(F.col("a"))
-    rows = rows.select(moved.alias("a"))
-    return rows.select(*[F.get("a", F.lit(i)).alias(c) for i, c in enumerate(names)])
+    names = list(columns or df.columns)
+    rest, k, n = [c for c in df.columns if c not in names], names.index(field), len(names)
+    # a projection for each step, so no expression is repeated for each column
+    rows = df.select(F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in rest]).alias("rest"), F.array(*[F.col(f"`{c}`").cast("string") for c in names]).alias("a"))
+    rows = rows.withColumn("at", F.coalesce(F.array_position("a", F.lit(value)), F.lit(0)).cast("int"))
+    tail = F.concat(F.slice("a", 1, k) if k else F.array().cast("array<string>"), F.slice("a", F.greatest("at", F.lit(1)), n), F.array_repeat(F.lit(None).cast("string"), F.greatest(F.col("at") - k - 1, F.lit(0))))
+    moved = F.when((F.col("at") > k + 1) & ~F.coalesce(F.get("a", F.lit(k)) == value, F.lit(False)), tail).otherwise(F.col("a"))
+    return rows.select("rest", moved.alias("a")).select(*[F.get("a", F.lit(i)).alias(c) for i, c in enumerate(names)], *[F.col(f"rest.`{c}`") for c in rest])
 
 
 def fit_width(a: Column, width: int) -> Column:

@@ -14,7 +14,7 @@ from ..functions.checks import contract_kind, contract_reason, require, stream_r
 from ..functions.coerce import CZ, KINDS, Coercion, prepared, quoted, where
 from ..functions.text import normalize
 from ..operators.dedup import KEEP_LAST, dedup
-from ..operators.sets import project
+from ..operators.sets import project, realign
 from ..sinks.ddl import infer_table
 from ..sinks.metrics import Metrics
 from ..sinks.writers import writer
@@ -91,7 +91,7 @@ def transform(p: Pipeline, df: DataFrame) -> DataFrame:
         elif s.kind == "coerce":
             anchor = o.get("realign") or o.get("anchor")
             if isinstance(anchor, dict) and anchor.get("field") in columns:
-                df = _realigned(df, columns, anchor["field"], anchor.get("value", ""))
+                df = realign(df, anchor["field"], anchor.get("value", ""), columns)
             df = _coerced(df, columns, _plan(p, s), reject)
         elif s.kind == "validate":
             fields = p.contract()
@@ -124,17 +124,6 @@ def _coerced(df: DataFrame, columns: list[str], plan: dict[str, Coercion], rejec
     return df.withColumns({c: F.col(f"`_typed {c}`") for c in typed}).drop(*[f"_typed {c}" for c in typed])
 
 
-def _realigned(df: DataFrame, columns: list[str], field_: str, value: str) -> DataFrame:
-    rest = [c for c in df.columns if c not in columns]
-    k, n = columns.index(field_), len(columns)
-    # a projection for each step, so no expression is repeated for each column
-    rows = df.select(F.struct(*rest).alias("rest"), F.array(*[F.col(f"`{c}`") for c in columns]).alias("a"))
-    rows = rows.withColumn("at", F.coalesce(F.array_position("a", F.lit(value)), F.lit(0)).cast("int"))
-    tail = F.concat(F.slice("a", 1, k) if k else F.array().cast("array<string>"), F.slice("a", F.greatest("at", F.lit(1)), n), F.array_repeat(F.lit(None).cast("string"), F.greatest(F.col("at") - k - 1, F.lit(0))))
-    moved = F.when((F.col("at") > k + 1) & ~F.coalesce(F.get("a", F.lit(k)) == value, F.lit(False)), tail).otherwise(F.col("a"))
-    return rows.select("rest", moved.alias("a")).select(*[F.get("a", F.lit(i)).alias(c) for i, c in enumerate(columns)], "rest.*")
-
-
 def plan(spark: SparkSession, p: Pipeline) -> Run:
     """The accepted and rejected rows, lazily."""
     issues = [i for i in lint(p) if i.severity == SEVERE]
