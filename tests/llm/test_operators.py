@@ -86,23 +86,30 @@ def test_jaccard_on_odd_rows(spark, odd_docs, no_docs, rows):
     assert collect(jaccard_join.jaccard_components(spark, no_docs)) == []
 
 
-def numbered(n, changes=(), extra=()):
-    """A text of n words, some replaced by words of the same length."""
-    return " ".join([f"w{i:03d}" if i not in changes else f"x{i:03d}" for i in range(n)] + list(extra))
-
-
-@pytest.mark.parametrize("rows", [
-    [(1, numbered(60)), (None, numbered(60, extra=["a"])), (3, numbered(60, extra=["a", "b"]))],
-    # the chain from 1 to 9 passes through rows without ids
-    [(9, numbered(60, extra=[f"y{i}" for i in range(14)])), (None, numbered(60, extra=[f"y{i}" for i in range(7)])), (1, numbered(60))],
-    [(None, numbered(60)), (None, numbered(60, extra=["a"]))],
-    # two texts of one length under one id
-    [(5, numbered(60)), (5, numbered(60, changes=range(60))), (7, numbered(60, extra=["zzz"]))],
-    [(5, numbered(60, changes=range(60))), (5, numbered(60)), (7, numbered(60, extra=["zzz"]))],
-    [(7, numbered(60, extra=["zzz"])), (5, numbered(60, changes=range(60))), (5, numbered(60)), (2, numbered(60, changes=range(60), extra=["q"]))],
-])
+def numbered(case, n, changes=(), extra=()):
+    """A text of n words that no other case has, some replaced by words of the same length."""
+    return " ".join([f"{case}{'x' if i in changes else 'w'}{i:03d}" for i in range(n)] + list(extra))
+
+
+def odd_links():
+    """Cases whose rows don't meet, one after the other; ids of a case lie in a hundred of their own."""
+    long = [f"y{i}" for i in range(14)]
+    cases = [
+        lambda t: [(1, t()), (None, t(extra=["a"])), (3, t(extra=["a", "b"]))],
+        # the chain from 1 to 9 passes through a row without an id
+        lambda t: [(9, t(extra=long)), (None, t(extra=long[:7])), (1, t())],
+        lambda t: [(None, t()), (None, t(extra=["a"]))],
+        # two texts of one length under one id, in either order
+        lambda t: [(5, t()), (5, t(changes=range(60))), (7, t(extra=["zzz"]))],
+        lambda t: [(5, t(changes=range(60))), (5, t()), (7, t(extra=["zzz"]))],
+        lambda t: [(7, t(extra=["zzz"])), (5, t(changes=range(60))), (5, t()), (2, t(changes=range(60), extra=["q"]))],
+    ]
+    return [(None if d is None else 100 * k + d, t) for k, case in enumerate(cases) for d, t in case(lambda k=k, **more: numbered(k, 60, **more))]
+
+
 @pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_links_of_rows_without_ids_or_under_one_id(spark, rows, broadcast_rows):
+def test_links_of_rows_without_ids_or_under_one_id(spark, broadcast_rows):
+    rows = odd_links()
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in collect(jaccard_join.jaccard_components(spark, docs, broadcast_rows=broadcast_rows)))
     assert got == Counter(brute_components(rows))
@@ -568,7 +575,7 @@ def test_shards_hold_a_seed_s_neighbours(spark):
     shard = {r["doc_id"]: r["sequence_id"] >> 32 for r in got}
     assert len(set(shard.values())) >= 3
     docs, found = [t.split() for _, t in rows], []
-    for seed in range(0, len(docs), 40):
+    for seed in range(0, len(docs), 80):
         score = brute_bm25(docs, docs[seed])
         best = sorted((i for i in range(len(docs)) if i != seed), key=lambda i: -score[i])[:10]
         found.append(np.mean([shard[i] == shard[seed] for i in best]))
