@@ -133,6 +133,58 @@ def test_xml(spark, tmp_path):
     assert (r["pmid"], r["article_title"], r["doi"], r["authors"], r["country"]) == ("7", "T", "10/x", ["A", "B"], None)
 
 
+def test_csv_headers(spark, tmp_path):
+    """The first line that isn't blank is the header, of each file; lines equal to it are data."""
+    read = lambda text, **more: rows(csv.read_csv(spark, put(tmp_path, "h.csv", text), csv.CsvOptions(**more), ["id", "name"]).select("id", "name"))
+    assert read("\nid,name\n1,x\n2,y") == [("1", "x"), ("2", "y")]
+    assert read("id,name\n1,x\nid,name\n2,y\n") == [("1", "x"), ("id", "name"), ("2", "y")]
+    assert read('\ufeffid,name\n1,"a\nb"\nid,name\n') == [("1", "a\nb"), ("id", "name")]
+    with pytest.raises(ValueError, match="none of the columns"):
+        read("a,b\n1,x\n")
+    (tmp_path / "many").mkdir()
+    put(tmp_path / "many", "a.csv", "\n\nid,name\n1,x\n")
+    put(tmp_path / "many", "b.csv", "id,name\n2,y\nid,name\n")
+    assert sorted(rows(csv.read_csv(spark, str(tmp_path / "many"), csv.CsvOptions(), ["id", "name"]).select("id", "name"))) == [("1", "x"), ("2", "y"), ("id", "name")]
+
+
+def test_large_files_are_split(spark, tmp_path):
+    """XML and JSON lines of a few hundred parts' size give all records, in order, from many tasks."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        path = put(tmp_path, "big.xml", "<R>" + "".join(f"<I><id>{i}</id><n>{'z' * 40}</n></I>\n" for i in range(8000)) + "</R>")
+        got = xml.read_xml(spark, path, xml.XmlOptions("I", {"id": "id"}))
+        assert got.rdd.getNumPartitions() > 4
+        assert [r["id"] for r in got.orderBy("_line").collect()] == [str(i) for i in range(8000)]
+        path = put(tmp_path, "big.json", "".join(f'{{"id": {i}, "n": "{"z" * 40}"}}\n' for i in range(8000)))
+        got = js.read_json(spark, path, ["id"])
+        assert got.rdd.getNumPartitions() > 4
+        assert [r["id"] for r in got.orderBy("_line").collect()] == [str(i) for i in range(8000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("content, whole, expected", [
+    ("<R><I><a>1</a></I><I/><I k='x'><a>2</a></I></R>", False, ["1", None, "2"]),
+    ("<R><I><a>1</a></I><I><a>2</a>", False, ["1"]),
+    ("<R><I><a>1</a><I><a>3</a></I></I></R>", True, ["1"]),
+    ("<R><I><a><![CDATA[</I>]]>z</a></I><I><a>2</a></I></R>", True, ["</I>z", "2"]),
+    ("<R><!-- </I> --><I><a>2</a></I></R>", True, ["2"]),
+    ("<R><I><a>1</a></I ><I><a>2</a></I></R>", True, ["1", "2"]),
+])
+def test_xml_is_split_only_where_it_is_safe(spark, tmp_path, content, whole, expected):
+    path = put(tmp_path, "a.xml", content)
+    assert (xml.record_parts(spark, path, "I") is None) == whole
+    assert [r["a"] for r in xml.read_xml(spark, path, xml.XmlOptions("I", {"a": "I/a"})).orderBy("_line").collect()] == expected
+
+
+def test_dedup_passes_rows_without_a_key(spark):
+    df = spark.createDataFrame([(1, "a", 0), (2, None, 1), (3, "a", 0), (4, "b", 1), (5, "b", 0)], "_line long, k string, lacks int")
+    got = dedup.dedup(df, ["k"], "keep-first", missing=F.col("lacks") == 1, ordered=True)
+    assert [r["_line"] for r in got.collect()] == [1, 5, 2, 4]
+    assert got.columns == df.columns
+
+
 def test_lists_and_bytes(spark, tmp_path):
     path = put(tmp_path, "l.txt", " a \n\n# c\nb\n")
     assert rows(text.read_list(spark, path)) == [("a",), ("b",)]
