@@ -31,7 +31,7 @@ END_ID = 2
 #: BM25's constants.
 K1, B = 1.2, 0.75
 #: Counters of words are 2**SLOT_BITS; reference vectors have 2**FEATURE_BITS entries.
-SLOT_BITS, FEATURE_BITS = 22, 13
+SLOT_BITS, FEATURE_BITS = 22, 12
 #: References, how many of the nearest make up a key, and bits of the key for each, for the least word hash and for the row.
 REFERENCES, NEAREST, REFERENCE_BITS, LEAST_BITS, ROW_BITS = 32, 4, 5, 24, 19
 
@@ -53,7 +53,7 @@ def halves(x: np.ndarray, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
 
 
 def references(docs: list[np.ndarray]) -> np.ndarray:
-    """Reference vectors (entries, references), weighted for a sum over a document's ids.
+    """Reference vectors (entries, references), weighted for a sum over a document's ids; ``docs`` are the entries of sampled documents.
 
     They are the means of groups of a sample that is halved again and again,
     so references of near numbers are alike.
@@ -61,7 +61,7 @@ def references(docs: list[np.ndarray]) -> np.ndarray:
     n, depth = 1 << FEATURE_BITS, REFERENCE_BITS
     x = np.zeros((max(1, len(docs)), n), dtype=np.float32)
     for i, d in enumerate(docs):
-        x[i] = np.bincount(features(d), minlength=n)
+        x[i] = np.bincount(d, minlength=n)
     weight = np.log1p(len(x) / (1.0 + (x > 0).sum(0))).astype(np.float32)
     x *= weight
     x /= np.maximum(1e-9, np.linalg.norm(x, axis=1, keepdims=True))
@@ -89,7 +89,7 @@ def lexical_keys(ids: np.ndarray, long: np.ndarray, least: np.ndarray, vectors:
     return (key << LEAST_BITS | (least >> np.uint64(64 - LEAST_BITS)).astype(np.int64)) << ROW_BITS | (mix(row.astype(np.uint64)) >> np.uint64(64 - ROW_BITS)).astype(np.int64)
 
 
-def _tokenised(path: str, texts: pa.Array, step: int = 1 << 24) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _tokenised(path: str, texts: pa.Array, step: int = 1 << 23) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ids and their numbers of texts [i, j), about ``step`` bytes at a time."""
     size = np.append(0, np.cumsum(pa.compute.binary_length(texts).to_numpy().astype(np.int64)))
     i = 0
@@ -99,11 +99,13 @@ def _tokenised(path: str, texts: pa.Array, step: int = 1 << 24) -> Iterator[tupl
         i = j
 
 
-def _ids(path: str):
+def _entries(path: str):
+    """Of each document, the entries of its ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, ids, long in _tokenised(path, b.column("text")):
-                yield pa.RecordBatch.from_arrays([binary_of(ids, long).cast(pa.binary())], names=["ids"])
+                yield pa.RecordBatch.from_arrays([binary_of(features(ids).astype("<u2"), long).cast(pa.binary())], names=["entries"])
 
     return run
 
@@ -119,7 +121,7 @@ def _survey(path: str, shared_vectors):
                 terms, words = word_terms(ids, long, final)
                 doc = np.repeat(np.arange(j - i), words)
                 slots = np.unique(doc << SLOT_BITS | (terms >> np.uint64(64 - SLOT_BITS)).astype(np.int64)) & ((1 << SLOT_BITS) - 1)
-                counts += np.bincount(slots, minlength=len(counts)).astype(np.uint32)
+                np.add.at(counts, slots, np.uint32(1))
                 least = np.zeros(j - i, dtype=np.uint64)
                 if len(terms):
                     least[words > 0] = np.minimum.reduceat(terms, (np.cumsum(words) - words)[words > 0])
@@ -136,8 +138,9 @@ def _survey(path: str, shared_vectors):
 
 def postings(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Document, term (numbered), and frequency of each distinct pair, by document; and each term's hash.  Terms are the leading 40 bits of their hashes."""
-    doc = np.repeat(np.arange(len(words)), words)
-    pair, tf = np.unique(doc << 40 | (terms >> np.uint64(24)).astype(np.int64), return_counts=True)
+    pair = np.repeat(np.arange(len(words)) << 40, words)
+    pair |= (terms >> np.uint64(24)).view(np.int64)
+    pair, tf = np.unique(pair, return_counts=True)
     names, term = np.unique(pair & ((1 << 40) - 1), return_inverse=True)
     return (pair >> 40).astype(np.int32), term.astype(np.int32), tf.astype(np.float32), names.astype(np.uint64) << np.uint64(24)
 
@@ -297,9 +300,8 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     total = rows.count()
     sample = rows.filter(draw(F.col("doc_id"), "packing") < sample_rows / max(1, total)).limit(2 * sample_rows)
-    dtype = tokenizer_at(tokenizer_path).dtype
-    found = sample.mapInArrow(released(_ids(tokenizer_path)), "ids binary").toLocalIterator()
-    vectors = spark.sparkContext.broadcast(references([np.frombuffer(r["ids"], dtype) for r in found]))
+    found = sample.mapInArrow(released(_entries(tokenizer_path)), "entries binary").toLocalIterator()
+    vectors = spark.sparkContext.broadcast(references([np.frombuffer(r["entries"], "<u2") for r in found]))
     survey, schema = _survey(tokenizer_path, vectors)
     surveyed = shared.keep(rows.mapInArrow(released(survey), schema), "survey")
     tokens = surveyed.filter("block is null")

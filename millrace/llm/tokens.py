@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from functools import cached_property
 from itertools import compress, repeat
 
 import numpy as np
@@ -20,13 +21,12 @@ _ALL_PLAIN = re.compile(r"[\n\x21-\x3b\x3d-\x7eÀ-ÿ]*")
 _CUT = re.compile(r"(?:'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+)\n?|\n")
 
 
-def _fast_bpe(tokenizer):
+def _fast_bpe(model: dict):
     """The same merges in a faster encoder of words that end with \\x01, and the id of each of its ranks; None unless byte-level BPE with word ends.
 
     It merges what forms a known token where the tokenizer asks for the listed
     pair, which comes to the same where every token has one pair of its own; tests compare both on many words.
     """
-    model = json.loads(tokenizer.to_str())["model"]
     if model["type"] != "BPE" or model.get("end_of_word_suffix") != "</w>" or model.get("continuing_subword_prefix"):
         return None
     import tiktoken
@@ -68,20 +68,29 @@ class WordTokenizer:
     Latin-1 are words of their own.  A full table starts anew.
     """
 
-    def __init__(self, path: str, table_size: int = 400_000):
+    def __init__(self, path: str, table_size: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has its core
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.table_size = Tokenizer.from_file(path), table_size
-        names = self.tokenizer.get_vocab()
-        self.dtype = np.dtype("<u2" if max(names.values(), default=0) < 1 << 16 else "<u4")
-        self.fast = _fast_bpe(self.tokenizer)
-        self.final = np.zeros(max(names.values(), default=0) + 1, dtype=bool)
+        with open(path, encoding="utf-8") as f:
+            whole = json.load(f)
+        names = whole["model"]["vocab"]
+        names = names if isinstance(names, dict) else {name: i for i, (name, _) in enumerate(names)}
+        names |= {t["content"]: t["id"] for t in whole.get("added_tokens") or ()}
+        most = max(names.values(), default=0)
+        self.path, self.table_size, self.dtype = path, table_size, np.dtype("<u2" if most < 1 << 16 else "<u4")
+        self.fast = _fast_bpe(whole["model"])
+        self.final = np.zeros(most + 1, dtype=bool)
         self.final[[i for name, i in names.items() if name.endswith("</w>")]] = True
         if not self.final.any():  # no mark of word ends: every id is a word
             self.final[:] = True
         self._start()
 
+    @cached_property
+    def tokenizer(self):
+        """The library's tokenizer, loaded when a word needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _start(self) -> None:
         self.place, self.begin, self.long, self.ends = {"\n": 0}, np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.ones(1 << 12, bool)
         self.store, self.stored = np.zeros(1 << 14, self.dtype), 0
