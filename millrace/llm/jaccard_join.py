@@ -299,6 +299,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     posted = docs.mapInArrow(released(_post(width, percent, bits, hot_rows, shared_table)), "owner long, key binary, sig binary, n binary, hub binary, at binary")
     members = posted.groupBy("owner").applyInPandas(_bucket(percent, hot_rows), "key long, sig long, n int, hub int, at int, leader long, leader_n int, leader_at int")
     members = shared.keep(members, "members")
+    shared_table.unpersist()
 
     # leaders of one key in several tasks: each is paired with the first of about its size, or of the next sizes
     heads = members.filter(F.col("sig") == F.col("leader")).filter(F.shiftrightunsigned("key", 56) > SCALE * float(np.log2(hot_rows)))

@@ -67,7 +67,8 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     template's words, and any run of as many words as the template has, over line ends.  ``score`` is the largest containment of
     a template, 1 where a phrase stands, else 0.  A null text is empty: no
     words, empty label strings, null places.  Repeated rows are kept apart;
-    other columns are not read; an empty table gives no rows.
+    other columns are not read; an empty table gives no rows.  A very long text is one row's array of words.
+    The templates' prefixes are broadcast (a few dozen rows for the fixed ones, 100 000 at most).
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     sets = [(sorted(set(t.split())), label, len(t.split())) for t, label in templates]
@@ -80,7 +81,8 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         index += [(tokens[i], i, k, tokens, need, label, long) for i in range(len(tokens) - need + 1)]
     least = min(x[4] for x in index)
     prefix = sorted({x[0] for x in index})
-    # the index holds the prefixes of the fixed templates: a few dozen rows
+    if len(index) > 100_000:
+        raise ValueError("the templates' prefixes are broadcast: 100 000 of their tokens at most")
     templates_by_token = F.broadcast(spark.createDataFrame(index, "t_token string, t_at int, t_id int, t_tokens array<string>, t_need int, t_label string, t_words int"))
 
     rows = rows.withColumn("row", F.monotonically_increasing_id())
