@@ -54,10 +54,11 @@ def to_bool(c: Column, truthy: Sequence[str] = (), falsy: Sequence[str] = ()) ->
 
 def to_date_cz(c: Column) -> Column:
     """``dd.mm.yyyy`` at the start; days past the month's end roll over and text behind is ignored."""
-    part = lambda at, n: F.substring(c, at, n).try_cast("int")
+    # only digits are cast: a cast that fails, even a tolerant one, costs an exception
+    shaped = F.when(F.rlike(c, F.lit(r"\A[0-9]{2}\.[0-9]{2}\.[0-9]{4}")), c)
+    part = lambda at, n: F.substring(shaped, at, n).cast("int")
     day, month, year = part(1, 2), part(4, 2), part(7, 4)
-    fits = F.rlike(c, F.lit(r"\A[0-9]{2}\.[0-9]{2}\.[0-9]{4}")) & month.between(1, 12) & day.between(1, 31) & (year > 0)
-    return F.when(fits, F.date_add(F.make_date(year, month, F.lit(1)), day - 1))
+    return F.when(month.between(1, 12) & day.between(1, 31) & (year > 0), F.date_add(F.make_date(year, month, F.lit(1)), day - 1))
 
 
 def to_date(c: Column, layout: str = CZ) -> Column:
