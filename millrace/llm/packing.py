@@ -192,15 +192,15 @@ def best_first(score: np.ndarray, few: int = 64) -> Iterator[int]:
             break
 
 
-def chain(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, long: np.ndarray, window: int, together: int = 16) -> np.ndarray:
-    """The order in which a shard's documents, of ``long`` tokens with their ends, are laid out.
+def chain(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, long: np.ndarray, window: int, filled: int = 0, together: int = 16) -> np.ndarray:
+    """The order in which a shard's documents, of ``long`` tokens with their ends, are laid out in windows of which the first holds ``filled`` already.
 
     The first unused document seeds; its unused neighbours follow by falling
     score until the window that holds its end is full or none shares a term,
     then the next seed comes.  The index is made anew each time half of its documents are used.
     """
     n = len(long)
-    order, used, filled = [], np.zeros(n, dtype=bool), 0
+    order, used = [], np.zeros(n, dtype=bool)
     while len(order) < n:
         live = np.flatnonzero(~used)
         place = np.full(n, -1)
@@ -241,15 +241,14 @@ def bm25_weights(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, names: np.nd
     return (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words[doc] / max(1e-9, mean)))).astype(np.float32)
 
 
-def _pack(path: str, window: int, shared_table, documents: int, mean: float, rows: int = 50_000):
+def _pack(path: str, window: int, shard_tokens: int, shared_table, documents: int, mean: float, rows: int = 50_000):
+    """Lays out a range of keys as one shard, or as several in turn where it holds twice the tokens of a shard."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, held = tokenizer_at(path), [b for b in batches if b.num_rows]
-        if not held:
-            return
+    def lay(held: list[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+        tok = tokenizer_at(path)
         shard = pa.Table.from_batches(held)
-        del held
+        held.clear()
         shard = shard.take(np.argsort(shard.column("key").to_numpy(), kind="stable")).combine_chunks()
         doc_ids, column = shard.column("doc_id").to_pylist(), shard.column("ids").combine_chunks()
         long = pa.compute.binary_length(column).to_numpy().astype(np.int64) // tok.dtype.itemsize
@@ -258,9 +257,9 @@ def _pack(path: str, window: int, shared_table, documents: int, mean: float, row
         doc, term, tf, terms = postings(*(found := word_terms(ids, long, tok.final)))
         weight = bm25_weights(doc, term, tf, terms, found[1], np.frombuffer(zlib.decompress(shared_table.value), np.uint8), documents, mean)
         del found, tf, terms
-        order = chain(doc, term, weight, long + 1, window)
+        order = chain(doc, term, weight, long + 1, window, at % window)
         del doc, term, weight
-        edge, at, out, base = np.append(0, np.cumsum(long)), 0, [], TaskContext.get().partitionId() << 32
+        edge, out, base = np.append(0, np.cumsum(long)), [], TaskContext.get().partitionId() << 32
         for i in order.tolist():
             whole, start = np.append(ids[edge[i] : edge[i + 1]].astype("<u4"), np.uint32(END_ID)).astype("<u4"), 0
             while start < len(whole):
@@ -273,10 +272,21 @@ def _pack(path: str, window: int, shared_table, documents: int, mean: float, row
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tokens, at = [], 0, 0
+        for b in batches:
+            held.append(b)
+            tokens += pa.compute.sum(b.column("tokens")).as_py() or 0
+            if tokens >= 2 * shard_tokens:
+                yield from lay(held, at)
+                at, tokens = at + tokens, 0
+        if held and sum(b.num_rows for b in held):
+            yield from lay(held, at)
+
     return run, ", ".join(f"{n} long" for n in names)
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_tokens: int = 8_000_000, sample_rows: int = 2_000) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_tokens: int = 6_000_000, sample_rows: int = 2_000) -> DataFrame:
     """One row for each piece of a document in a sequence.
 
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
@@ -308,5 +318,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id
     size = tokens.agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).collect()[0]
     table = spark.sparkContext.broadcast(zlib.compress(count_table(shared, surveyed.filter("block is not null").select("block", "part", "counts"), SLOT_BITS).tobytes(), 1))
     shards = max(1, -(-((size["tokens"] or 0) + total) // shard_tokens))
-    pack, schema = _pack(tokenizer_path, window, table, total, (size["words"] or 0) / max(1, total))
-    return tokens.select("doc_id", "ids", "key").repartitionByRange(shards, "key").mapInArrow(released(pack), schema)
+    pack, schema = _pack(tokenizer_path, window, shard_tokens, table, total, (size["words"] or 0) / max(1, total))
+    # ranges hold as many rows each, so one of long documents may be cut again in its task
+    tokens = tokens.select("doc_id", "ids", (F.col("tokens") + 1).alias("tokens"), "key")
+    return tokens.repartitionByRange(shards, "key").mapInArrow(released(pack), schema)

@@ -466,7 +466,7 @@ def test_sharding_splits_a_group_larger_than_a_shard(spark, odd_docs, no_docs):
 # ---- 7 ----------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("shard_tokens", [4_000_000, 9_000])
+@pytest.mark.parametrize("shard_tokens", [4_000_000, 9_000, 1_500])
 def test_packing_is_a_round_trip(spark, odd_docs, no_docs, rows, shard_tokens):
     from tokenizers import Tokenizer
 
