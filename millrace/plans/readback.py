@@ -18,7 +18,7 @@ from ..functions.checks import Field
 from ..functions.layouts import TIMESTAMP_LAYOUTS, best_layout, parse, preference
 from ..operators import dedup, profile
 from ..sinks import ddl
-from ..sinks.writers import writer
+from ..sinks.writers import execute, writer
 from ..sources import csv, http, json, text, xml
 from . import probe, runner, spec
 from .catalog import _REASONS, dirty_date, dirty_int, query, table
@@ -330,6 +330,20 @@ def sqlite_round_trip(spark, sf_dir):
     return values(spark, rows, "c_custkey bigint, c_name string, c_acctbal double")
 
 
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def jdbc_round_trip(spark, sf_dir):
+    """Two loads in batches over JDBC append to a table that a statement made; into the database that comes with Spark, which lives in one process."""
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("this query's database lives in the driver: run it in local mode")
+    url = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true"
+    t = ddl.TableDef("people", (ddl.ColumnDef("c_custkey", "BIGINT", nullable=False), ddl.ColumnDef("c_name", "VARCHAR(200)"), ddl.ColumnDef("c_acctbal", "DOUBLE")))
+    execute(spark, url, {}, ddl.create_table(t, "generic"))
+    parts = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), table(spark, sf_dir, "supplier").toDF("c_custkey", "c_name", "n", "c_acctbal").drop("n")
+    for df in parts:
+        writer("postgres")(df, url, "people", 64)
+    return spark.read.jdbc(url, "people").toDF("c_custkey", "c_name", "c_acctbal")
+
+
 @query("SELECT 'json' AS sink, s_suppkey, s_name FROM supplier UNION ALL SELECT 'parquet', s_suppkey, s_name FROM supplier UNION ALL SELECT 'text', CAST(NULL AS BIGINT), s_name FROM supplier")
 def file_sinks(spark, sf_dir):
     folder, rows = scratch(spark), table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
