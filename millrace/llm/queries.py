@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, sharding, url_filter
+from . import exact_dedup, fill_in_middle, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, sharding, spelling, url_filter
 from .common import table
 
 
@@ -52,11 +52,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op6_sharding, op7_packing, op8_url_filter, op9_quality_classifier, op10_exact_dedup)}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op6_sharding, op7_packing, op8_url_filter, op9_quality_classifier, op10_exact_dedup, op11_fill_in_middle, op13_spelling_variants)}
 ORACLE_SQL = {
     "op1_jaccard_join": jaccard_join.ORACLE_SQL,
     "op2_mixing": mixing.ORACLE_SQL,
     "op3_license_scan": license_scan.ORACLE_SQL,
     "op4_quality_rules": quality_rules.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_fill_in_middle": fill_in_middle.ORACLE_SQL,
+    "op13_spelling_variants": spelling.ORACLE_SQL,
 }
