@@ -115,7 +115,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def restored(output: Column, form: Column, marks: tuple[str, str, str] = MARKS) -> Column:
-    """The text that an output was made from: its pieces stand between the marks, which no piece holds."""
+    """The text that an output was made from: its pieces stand between the marks, which no piece holds. (Splitting is the JVM's, so texts must be UTF-8.)"""
     piece = F.split(output, "|".join(re.escape(m) for m in marks), -1)
     psm = F.concat(piece[1], piece[3], piece[2])
     spm = F.concat(piece[2], piece[3], piece[1])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fill_in_middle, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, sharding, spelling, url_filter
+from . import exact_dedup, fill_in_middle, fingerprints, jaccard_join, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, sharding, spelling, url_filter
 from .common import table
 
 
@@ -56,11 +56,15 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op6_sharding, op7_packing, op8_url_filter, op9_quality_classifier, op10_exact_dedup, op11_fill_in_middle, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_license_scan, op4_quality_rules, op5_language_id, op6_sharding, op7_packing, op8_url_filter, op9_quality_classifier, op10_exact_dedup, op11_fill_in_middle, op12_fingerprints, op13_spelling_variants)}
 ORACLE_SQL = {
     "op1_jaccard_join": jaccard_join.ORACLE_SQL,
     "op2_mixing": mixing.ORACLE_SQL,
