@@ -226,7 +226,7 @@ def _split(posted: DataFrame) -> DataFrame:
     return posted.select("n", "half", (F.col("half") + more).alias("long"), F.explode(both).alias("x")).select("n", "half", "x.kind", "x.written", F.substring("x.written", F.lit(1), F.col("long")).alias("shared"))
 
 
-def near_words(spark: SparkSession, words: DataFrame, least_letters: int = 7, group_words: int = 100_000, cells: int = 2_000_000, broadcast_rows: int = 100_000) -> DataFrame:
+def near_words(spark: SparkSession, words: DataFrame, least_letters: int = 7, group_words: int = 100_000, cells: int = 500_000, broadcast_rows: int = 100_000) -> DataFrame:
     """(word, n_near, form_n, form): parts of each word's neighbours, to be combined: a number, and the most frequent one of them.
 
     A group of more than ``group_words`` words that share a half is dealt out anew by half as many letters more, so that no
