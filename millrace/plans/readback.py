@@ -98,6 +98,19 @@ def csv_line_ends(spark, sf_dir):
     return csv.read_csv(spark, path, csv.CsvOptions(), ["key", "name"]).select("key", "name")
 
 
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS a, CASE WHEN r = 190 THEN 'open' WHEN r % 10 = 3 THEN p_name || chr(10) || p_brand WHEN r % 10 = 5 THEN 'b"x' WHEN r % 10 = 7 THEN 'a' || chr(13) || 'b' WHEN r % 10 = 8 THEN p_brand || ' (v likvidaci)' ELSE p_name END AS b,
+  CASE WHEN r = 190 THEN 'a quote is never closed' WHEN r % 10 = 5 THEN 'bare quote in a value' END AS error FROM (SELECT *, p_partkey % 200 AS r FROM part) WHERE r <= 190""")
+def csv_broken_quotes(spark, sf_dir):
+    """Files with quoted line ends, bare quotes, lone carriage returns and a broken sequence; in each a quote that nothing closes takes what follows, no more."""
+    k, r = F.col("p_partkey"), F.col("p_partkey") % 200
+    text = F.when(r == 190, '"open').when(r > 190, F.col("p_name")).when(r % 10 == 3, F.concat(F.lit('"'), "p_name", F.lit("\n"), "p_brand", F.lit('"')))
+    text = text.when(r % 10 == 5, 'b"x').when(r % 10 == 7, "a\rb").when(r % 10 == 8, F.concat(F.lit('"'), "p_brand", F.lit(' "v likvidaci""'))).otherwise(F.col("p_name"))
+    lines = table(spark, sf_dir, "part").select(F.floor(k / 200).alias("file"), k, F.concat(k.cast("string"), F.lit(","), text, F.lit("\r")).alias("value"))
+    path = scratch(spark)
+    lines.repartition("file").sortWithinPartitions("file", "p_partkey").select("file", "value").write.partitionBy("file").text(path)
+    return csv.read_csv(spark, path, csv.CsvOptions(has_header=False, scrub=True), ["a", "b"]).withColumnRenamed(csv.ERROR, "error")
+
+
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS a, s_name || CASE WHEN s_suppkey % 2 = 0 THEN ' (v likvidaci)' ELSE '' END AS b FROM supplier")
 def csv_scrub(spark, sf_dir):
     """The broken sequence of one register's files is mended before lines are cut."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import trim_edges
+from . import quotes
 from .text import BROKEN_NOTES, scrub, strip_bom
 
 ERROR = "_parse_error"
@@ -20,8 +21,7 @@ ERROR = "_parse_error"
 class CsvOptions:
     """``fields_per_record`` (else ``expected_fields``), if positive, is the width each row must have; 0 takes any.
 
-    ``multi_line``: whether quoted values hold line ends; None looks for a
-    line that ends inside a quoted value first, since files without such can be split.
+    ``multi_line``: False promises that no quoted value holds a line end, which saves the scan that looks for them.
     """
 
     has_header: bool = True
@@ -43,22 +43,9 @@ def header_name(header: str, header_map: dict[str, str]) -> str:
     return known.get(trimmed, trimmed.lower().replace(" ", "_"))
 
 
-def _guard(comma: str) -> str:
-    """A line whose quotes all enclose whole values."""
-    sep = "\\" + comma if not comma.isalnum() else comma
-    value = rf'(?:"(?:[^"]|"")*+"|[^"{sep}]*+)'
-    return rf"\A{value}(?:{sep}{value})*+\z"
-
-
-def _open_end(comma: str) -> str:
-    """A line that ends inside a quoted value."""
-    sep = "\\" + comma if not comma.isalnum() else comma
-    return rf'\A(?:(?:"(?:[^"]|"")*+"|[^"{sep}]*+){sep})*+"(?:[^"]|"")*+\z'
-
-
 def _lines(spark: SparkSession, path: str, has_header: bool) -> DataFrame:
     """Lines that aren't blank, without the first of each file if that is a header: a csv read of one column that has no separator or quote."""
-    whole = {"header": has_header, "enforceSchema": True, "sep": "\uffff", "quote": "", "escape": "", "comment": "", "emptyValue": "", "maxCharsPerColumn": -1}
+    whole = {"header": has_header, "enforceSchema": True, "sep": "\uffff", "quote": "", "escape": "", "comment": "", "emptyValue": "", "maxCharsPerColumn": -1, "lineSep": "\n"}
     return spark.read.options(**whole).schema("value string").csv(path)
 
 
@@ -67,12 +54,18 @@ def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(),
 
     The error is null for good rows.  Rows of another width than asked for
     have one, and, unless quotes are lazy, rows with a quote inside an
-    unquoted value.  Without a required width short rows are padded and long ones cut.
-    Blank lines don't count; of each file the first other line is the header.
+    unquoted value or with text behind a closing one: such an error ends its row at the line's end.
+    A quoted value may hold line ends; one that nothing closes makes one row with an error, of its first line, and takes
+    the rest of its file, but no other file.  Lines end with a line feed, before which a carriage return doesn't count.
+    Without a required width short rows are padded and long ones cut.
+    Blank lines don't count; of each file the first other record is the header.
     A header without any of the declared columns is an error, as then every value would be null.
+
+    Files are split, also where values span lines: then one scan finds at which parts' edges a value is open (see ``quotes``).
     """
-    mend = lambda c: strip_bom(scrub(c, options.scrub_pairs) if options.scrub else c)
-    head = spark.read.text(path).select(F.regexp_replace(mend(F.col("value")), r"\r\z", "").alias("value")).filter("value <> ''").head()
+    value = F.when(F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    mended = strip_bom(scrub(value, options.scrub_pairs) if options.scrub else value)
+    head = spark.read.option("lineSep", "\n").text(path).select(mended.alias("value")).filter(F.trim("value") != "").head()
     if head is None:
         names = list(columns or [])
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*names, ERROR]]))
@@ -84,20 +77,19 @@ def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(),
     # the corrupt-record column marks rows of another width than the schema's
     fields = [f"f{i}" for i in range(width if width > 0 else max(1, len(names)))]
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_bad"]])
-    parse = {"sep": options.comma, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE", "emptyValue": "", "nullValue": None}
-    lines = _lines(spark, path, options.has_header)
-    multi = options.multi_line
-    if multi is None and not options.scrub:
-        multi = not spark.read.text(path).filter(F.rlike("value", F.lit(_open_end(options.comma)))).isEmpty()
-    strict_quotes = not options.lazy_quotes and not options.scrub
-    if multi:
-        rows = spark.read.options(**{k: v for k, v in parse.items() if v is not None}, header=options.has_header, multiLine=True, enforceSchema=True, columnPruning=False).schema(schema).csv(path)
-        rows = rows.withColumn("_ok", F.lit(True))
+    parse = {"sep": options.comma, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE", "emptyValue": "", "nullValue": None, "maxCharsPerColumn": "-1"}
+    edges, lazy = None, options.lazy_quotes
+    if options.multi_line is not False:
+        lines = quotes.quoted_lines(spark, path, mended, options.comma, lazy)
+        edges = quotes.find_edges(lines, lazy)
+    if edges:
+        records = quotes.spanning_records(lines, edges, options.has_header)
     else:
-        rows = lines.select(mend(F.col("value")).alias("value"))
-        parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {k: v for k, v in parse.items() if v is not None})
-        rows = rows.select(parsed.alias("p"), (F.rlike("value", F.lit(_guard(options.comma))) if strict_quotes else F.lit(True)).alias("_ok")).select("p.*", "_ok")
-    error = F.when(~F.col("_ok"), F.lit("bare quote in a value"))
+        records = _lines(spark, path, options.has_header).select(mended.alias("value"), F.lit(False).alias("unclosed"))
+    parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {k: v for k, v in parse.items() if v is not None})
+    ok = F.lit(True) if lazy else ~F.contains("value", F.lit('"')) | F.rlike("value", F.lit(quotes.whole(options.comma)))
+    rows = records.select(parsed.alias("p"), ok.alias("_ok"), "unclosed").select("p.*", "_ok", "unclosed")
+    error = F.when(F.col("unclosed"), F.lit("a quote is never closed")).when(~F.col("_ok"), F.lit("bare quote in a value"))
     if width > 0:
         error = error.when(F.col("_bad").isNotNull(), f"expected {width} fields")
     place = {n: f"f{i}" for i, n in enumerate(names) if i < len(fields)}  # the last of several equal names wins
