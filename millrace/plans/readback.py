@@ -11,7 +11,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.checks import Field
@@ -142,7 +142,26 @@ def json_shapes(spark, sf_dir):
     body = F.when(shape == 0, F.to_json("all")).when(shape == 1, F.to_json(F.struct(F.struct(F.lit(1).alias("v")).alias("meta"), F.col("all").alias("items")))).when(shape == 2, F.array_join(each, " ")).otherwise(F.array_join(each, "\n"))
     path = scratch(spark)
     table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(all_.alias("all")).select("n_regionkey", body.alias("value")).write.partitionBy("n_regionkey").text(path)
-    return json.read_json(spark, path, ["key", "name", "absent"], {"The Name": "name"}, by_line=False).drop("_line")
+    return json.read_json(spark, path, ["key", "name", "absent"], {"The Name": "name"}).drop("_line")
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, 'a}"[' || o_orderkey AS note, '{"k": [{}, ' || o_custkey || ']}' AS inner_, row_number() OVER (PARTITION BY o_orderkey // 20000 ORDER BY o_orderkey) AS place FROM orders""")
+def json_files(spark, sf_dir):
+    """Files of four shapes in one folder, each over many lines: an array, an envelope beside other arrays, objects a line, objects over lines; in their order."""
+    k = F.col("o_orderkey")
+    file = F.floor(k / 20000)
+    shape = F.col("file") % 4
+    record = F.concat(F.expr("left(r, length(r) - 1)"), F.lit(', "inner_": {"k": [{}, '), F.col("o_custkey").cast("string"), F.lit("]}}"))
+    rows = table(spark, sf_dir, "orders").select(file.alias("file"), k, "o_custkey", F.to_json(F.struct(k.cast("string").alias("id"), F.concat(F.lit('a}"['), k.cast("string")).alias("note"))).alias("r"))
+    body = rows.select("file", k.alias("at"), F.when(shape < 2, F.concat(record, F.lit(","))).when(shape == 2, record).otherwise(F.concat(F.replace(record, F.lit(", "), F.lit("\n,\n")), F.lit(" "))).alias("value"))
+    files = rows.select("file").distinct()
+    heads = files.filter(shape < 2).select("file", F.lit(-1).cast("long").alias("at"), F.when(shape == 0, "[").otherwise('{"meta": {"n": [1, 2]}, "few": [{"id": "x"}], "rows": [').alias("value"))
+    tails = files.filter(shape < 2).select("file", F.lit(1 << 60).alias("at"), F.when(shape == 0, "]").otherwise(']\n, "odd": [{}, 1]}').alias("value"))
+    path = scratch(spark)
+    body.unionByName(heads).unionByName(tails).repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    got = json.read_json(spark, path, ["id", "note", "inner_"])
+    place = F.row_number().over(Window.partitionBy(F.floor(F.col("id").cast("long") / 20000)).orderBy("_line"))
+    return got.select("id", "note", "inner_", place.cast("long").alias("place"))
 
 
 @query("""SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS kind, '{"id": ' || user_id || '}' AS who FROM events""")

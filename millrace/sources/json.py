@@ -6,15 +6,18 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import elements
+
 
 def values_of(text: str) -> Iterator[object]:
     """Top-level values that follow each other."""
     decoder, at, end = json.JSONDecoder(parse_float=str), 0, len(text)
     while True:
-        while at < end and text[at] in " \t\r\n,\ufeff":
+        while at < end and text[at] in elements.SEPARATORS:
             at += 1
         if at >= end:
             return
@@ -44,55 +47,51 @@ def text_of(value: object) -> str | None:
     return json.dumps(value, ensure_ascii=False) if isinstance(value, (dict, list)) else str(value)
 
 
-def _one_a_line(spark: SparkSession, path: str, lines: int = 200) -> bool:
-    """Whether the first lines are objects each, no envelope, so files can be split at line ends."""
-    first = [r["value"] for r in spark.read.text(path).filter(F.trim("value") != "").limit(lines).collect()]
-    try:
-        decoded = [json.loads(x.lstrip("\ufeff")) for x in first]
-    except ValueError:
-        return False
-    return len(decoded) > 1 and all(isinstance(x, dict) and expand(x) == [x] for x in decoded)
-
-
-def read_json(spark: SparkSession, path: str, columns: Sequence[str], header_map: dict[str, str] | None = None, strict: bool = False, by_line: bool | None = None) -> DataFrame:
+def read_json(spark: SparkSession, path: str, columns: Sequence[str], header_map: dict[str, str] | None = None, strict: bool = False, whole_bytes: int = 1 << 26) -> DataFrame:
     """Declared columns as text and ``_line``, which orders a file's records; keys are renamed by the map.
 
-    ``by_line``: whether records stand one a line (None: whether the first 200
-    lines do).  Such files are split and each line is read on its own; a line
-    that isn't JSON is then an error.  Other files are read whole, one task
-    each: their shape shows only at their end.  There a file that doesn't begin with a record, or with ``strict`` any element
-    that isn't an object, is an error.
+    Each file's own shape counts: an array of records, one or many objects that follow each other, with or without line
+    ends, where one that holds arrays of objects is an envelope of the largest.  Files of any shape are split (see
+    ``elements``): a task holds one record or small envelope at a time.  A file with an object that fills parts of more than
+    ``whole_bytes`` together is taken for one envelope, whose records are read one by one.  A file that
+    doesn't begin with a record, that isn't JSON, or with ``strict`` an array's element that isn't an object, is an error.
     """
     names, rename = list(columns), dict(header_map or {})
-    if by_line is None:
-        by_line = _one_a_line(spark, path)
-
-    def row(r: dict, number: int) -> tuple:
-        r = {rename.get(x, x): v for x, v in r.items()}
-        return (*(text_of(r.get(n)) for n in names), number)
-
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for text in batch["value"]:
-                out, number = [], 0
-                for k, value in enumerate(values_of(text)):
-                    found = expand(value)
-                    if k == 0 and not found and value not in ([], {}) or strict and isinstance(value, list) and len(found) < len(value):
-                        raise ValueError("the JSON input holds no records")
-                    for r in found:
-                        number += 1
-                        out.append(row(r, number))
-                yield pd.DataFrame(out, columns=[*names, "_line"])
-
-    def line_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [row(r, at) for text, at in zip(batch["value"], batch["at"]) for value in values_of(text) for r in expand(value)]
-            yield pd.DataFrame(out, columns=[*names, "_line"])
-
-    schema = ", ".join([f"`{n}` string" for n in names] + ["_line bigint"])
-    if by_line:
-        return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at")).mapInPandas(line_records, schema)
-    return spark.read.text(path, wholetext=True).mapInPandas(records, schema)
+
+    def rows(text: str, expands: bool, line: int) -> Iterator[tuple]:
+        value = json.loads(text, parse_float=str)
+        for k, r in enumerate(expand(value) if expands else [value]):
+            r = {rename.get(x, x): v for x, v in r.items()}
+            yield (*(text_of(r.get(n)) for n in names), line, k)
+
+    def frame(found: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(found, columns=[*names, "_line", "_k"], dtype=object)
+
+    def of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for records in elements.Cutter(edges, strict).run(batches):
+            yield pa.RecordBatch.from_pandas(frame([r for text, expands, line, *_ in records for r in rows(text, expands, line)]), arrow, preserve_index=False)
+
+    def of_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        for records in elements.Cutter(edges, strict, pieces=True).run(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*records), kinds)], names=["value", "expands", "line", "file", "origin", "block"])
+
+    def of_joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:  # the rest is no object
+            yield frame([r for text, expands, line in zip(b["value"], b["expands"], b["line"]) if text.startswith("{") for r in rows(text, expands, line)])
+
+    schema = ", ".join([f"`{n}` string" for n in names] + ["_line bigint, _k bigint"])
+    arrow = pa.schema([*((n, pa.string()) for n in names), ("_line", pa.int64()), ("_k", pa.int64())])
+    parts = elements.parts_of(spark, path)
+    edges = elements.find_edges(parts, whole_bytes)
+    got = parts.mapInArrow(of_parts, schema)
+    if files := elements.crossed(edges):
+        some = parts.filter("NOT single")
+        pieces = (some.filter(F.col("file").isin(files)) if len(files) <= 1000 else some).mapInArrow(of_pieces, "value string, expands boolean, line long, file long, origin long, block long")
+        joined = pieces.groupBy("file", "origin").agg(F.sort_array(F.collect_list(F.struct("block", "value"))).alias("all"), F.max("expands").alias("expands"), F.max("line").alias("line"))
+        got = got.unionByName(joined.select(F.array_join("all.value", "").alias("value"), "expands", "line").mapInPandas(of_joined, schema))
+    # an envelope has more bytes than records, so numbers don't meet
+    return got.select(*[F.col(f"`{n}`") for n in names], (F.col("_line") + F.col("_k")).alias("_line"))
 
 
 def read_ndjson(spark: SparkSession, path: str, columns: Sequence[str], header_map: dict[str, str] | None = None) -> DataFrame:
