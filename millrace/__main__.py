@@ -16,8 +16,9 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("run", help="run a pipeline specification")
     p.add_argument("--config", required=True)
     p.add_argument("--validate", action="store_true", help="lint only")
-    p.add_argument("--metrics-backend", choices=("none", "pushgateway"), default="none")
+    p.add_argument("--metrics-backend", choices=("none", "pushgateway", "statsd"), default="none")
     p.add_argument("--pushgateway-url", default="")
+    p.add_argument("--statsd-address", default="", help="host:port")
     p.add_argument("-v", action="store_true", help="print error buckets")
     p = sub.add_parser("probe", help="infer a specification")
     p.add_argument("--url", required=True)
@@ -71,7 +72,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             return 0
     spark = spark or SparkSession.builder.appName("millrace").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "run":
-        done = runner.run(spark, p, args.pushgateway_url if args.metrics_backend == "pushgateway" else "")
+        done = runner.run(spark, p, args.pushgateway_url if args.metrics_backend == "pushgateway" else "", args.statsd_address if args.metrics_backend == "statsd" else "")
         print(json.dumps(done.counts))
         if args.v:
             profile.error_buckets(done.rejected, "reason", ("raw",)).show(50, truncate=False)
@@ -98,8 +99,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         pages = spark.read.text(args.path, wholetext=True).withColumn("file", F.monotonically_increasing_id())
         profile.html_window(pages, "file", "value", args.start, args.end).orderBy("file", "pos").select("line").write.text(args.out)
     elif args.command == "download":
-        urls = [r["value"] for r in text.read_list(spark, args.list).toLocalIterator()]
-        for r in http.download(spark, urls, args.folder, workers=args.workers).toLocalIterator():
+        for r in http.download(spark, text.read_list(spark, args.list), args.folder, workers=args.workers).toLocalIterator():
             print(json.dumps(r.asDict()))
     return 0
 

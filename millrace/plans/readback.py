@@ -6,7 +6,7 @@ Files are written from whole test tables to the folder of ``spark.checkpoint.dir
 
 from __future__ import annotations
 
-import sqlite3
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.checks import Field
 from ..functions.layouts import TIMESTAMP_LAYOUTS, best_layout, parse, preference
 from ..operators import dedup, profile
-from ..sinks import ddl
+from ..sinks import bulk, ddl
 from ..sinks.writers import execute, writer
 from ..sources import csv, http, json, text, xml
 from . import probe, runner, spec
@@ -235,34 +235,38 @@ def first_bytes(spark, sf_dir):
     return values(spark, [(probe.sample_of(spark, file, 25).decode(),)], "start string")
 
 
-@query("""SELECT 'name_' || r_regionkey AS file, CAST(length(r_name) AS BIGINT) AS download_size, 200 AS code, substr(r_name, 1, 3) AS start FROM region""")
+@query("""SELECT 'name_' || s_suppkey AS file, CAST(8 + length(CAST(s_suppkey AS VARCHAR)) AS BIGINT) AS download_size, 200 AS code, 'of name=' || s_suppkey AS body, 'of ' AS start FROM supplier""")
 def downloads(spark, sf_dir):
-    """A list of urls from a server on this machine, with the log and the first bytes of each."""
+    """Urls of a table, fetched by tasks from a server on this machine: the log, the files and the first bytes of each."""
     import threading
-    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
-    names = {f"name={r['r_regionkey']}": r["r_name"] for r in table(spark, sf_dir, "region").collect()}
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("this query's server runs beside the driver: run it on one machine")
 
     class Names(BaseHTTPRequestHandler):
         def do_GET(self):  # noqa: N802
-            body = names[self.path.split("?")[1]].encode()
             self.send_response(200)
             self.end_headers()
-            self.wfile.write(body)
+            self.wfile.write(f"of {self.path.split('?')[1]}".encode())
 
         def log_message(self, *args):
             pass
 
-    server = HTTPServer(("127.0.0.1", 0), Names)
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Names)
     threading.Thread(target=server.serve_forever, daemon=True).start()
+    folder = scratch(spark)
     try:
-        urls = [f"http://127.0.0.1:{server.server_port}/x?{q}" for q in names]
-        log = http.download(spark, urls, tempfile.mkdtemp(prefix="millrace-")).collect()
-        starts = {u: http.Client().first_bytes(u, 3).decode() for u in urls}
+        urls = table(spark, sf_dir, "supplier").select(F.concat(F.lit(f"http://127.0.0.1:{server.server_port}/x?name="), F.col("s_suppkey").cast("string")).alias("url"))
+        log = http.download(spark, urls, folder)
+        path = f"{folder}-starts"
+        http.first_bytes(spark, urls, 3).write.parquet(path)
     finally:
         server.shutdown()
         server.server_close()
-    return values(spark, [(Path(r["file"]).name, r["download_size"], r["http_response_code"], starts[r["url"]]) for r in log], "file string, download_size bigint, code int, start string")
+    files = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("body"))
+    log = log.select("url", F.element_at(F.split("file", "/"), -1).alias("file"), "download_size", F.col("http_response_code").alias("code"))
+    return log.join(files, "file").join(spark.read.parquet(path), "url").select("file", "download_size", "code", "body", F.col("start").cast("string").alias("start"))
 
 
 # ---- layouts, types, dedup order --------------------------------------------
@@ -360,20 +364,37 @@ def probe_csv(spark, sf_dir):
     return values(spark, [*fields, ("*", found["storage"]["db"]["table"], found["transform"][0]["options"]["layout"], 0)], "name string, kind string, layout string, required int")
 
 
+def _database(spark: SparkSession) -> str:
+    """A path for a database file that all workers see."""
+    folder = re.sub(r"^file:/+", "/", scratch(spark))
+    if not folder.startswith("/"):
+        raise ValueError(f"a database file needs a shared folder that is mounted, not {folder}")
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    return f"{folder}/a.db"
+
+
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def sqlite_round_trip(spark, sf_dir):
-    """Two loads in batches append to one table, whose statement is made once."""
-    folder = tempfile.mkdtemp(prefix="millrace-")
+    """Two bulk loads append to one table, whose statement is made once; read back by ranges of its rows."""
+    path = _database(spark)
     t = ddl.TableDef("people", (ddl.ColumnDef("c_custkey", "INTEGER"), ddl.ColumnDef("c_name", "TEXT"), ddl.ColumnDef("c_acctbal", "REAL")))
     parts = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), table(spark, sf_dir, "supplier").toDF("c_custkey", "c_name", "n", "c_acctbal").drop("n")
     for df in parts:
-        writer("sqlite")(df, f"file:{folder}/a.db", "people", 64, t)
-    connection = sqlite3.connect(f"{folder}/a.db")
-    try:
-        rows = connection.execute("select * from people").fetchall()
-    finally:
-        connection.close()
-    return values(spark, rows, "c_custkey bigint, c_name string, c_acctbal double")
+        writer("sqlite")(df, f"file:{path}", "people", 64, t)
+    return bulk.read_sqlite(spark, path, "people", "c_custkey bigint, c_name string, c_acctbal double")
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'N' ELSE o_orderstatus END AS status FROM orders UNION ALL SELECT -o_orderkey, 'new' FROM orders WHERE o_orderkey % 5 = 0""")
+def sqlite_upsert(spark, sf_dir):
+    """Rows put in place of those with equal keys, twice with the same result; a column id is left to the table."""
+    path, o = _database(spark), table(spark, sf_dir, "orders")
+    t = ddl.TableDef("o", (ddl.ColumnDef("id", "INTEGER", primary_key=True), ddl.ColumnDef("k", "INTEGER"), ddl.ColumnDef("status", "TEXT")))
+    write = lambda df, keys: writer("sqlite")(df.withColumn("id", F.lit(7)), path, "o", 5000, t, keys)
+    writer("sqlite")(o.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status")), path, "o", 5000, t)
+    changed = o.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("k"), F.lit("N").alias("status"))
+    for _ in range(2):
+        write(changed.unionByName(o.filter("o_orderkey % 5 = 0").select((-F.col("o_orderkey")).alias("k"), F.lit("new").alias("status"))), ["k"])
+    return bulk.read_sqlite(spark, path, "o", "id bigint, k bigint, status string").select("k", "status")
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier")

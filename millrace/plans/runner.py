@@ -17,6 +17,7 @@ from ..operators.dedup import KEEP_LAST, dedup
 from ..operators.sets import project, realign
 from ..sinks.ddl import infer_table
 from ..sinks.metrics import Metrics
+from ..sinks.statsd import Statsd
 from ..sinks.writers import writer
 from ..sources.csv import ERROR, CsvOptions, read_csv
 from ..sources.json import read_json
@@ -151,12 +152,12 @@ def _reading(spark: SparkSession, p: Pipeline) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def run(spark: SparkSession, p: Pipeline, gateway: str = "") -> Run:
+def run(spark: SparkSession, p: Pipeline, gateway: str = "", statsd: str = "") -> Run:
     """Plans, writes and counts.  Errors are raised; counts come from an observation of the run that writes.
 
     Of the runtime settings, readers and transformers give the least number of
     parts to read in, loaders (if given) the tasks that write at once, and the batch size that of inserts; Spark has no
-    channel to set a buffer for.
+    channel to set a buffer for.  Metrics go to a push gateway and, as datagrams, to a statsd agent (host:port), where given.
     """
     metrics = Metrics(p.job)
     with metrics.step("plan"):
@@ -170,7 +171,7 @@ def run(spark: SparkSession, p: Pipeline, gateway: str = "") -> Run:
     s = p.storage
     ddl = infer_table(s.table, s.columns, s.kind if s.kind in ("postgres", "mssql", "sqlite", "mysql") else "generic", p.contract(), p.types()) if s.auto_create_table else None
     with metrics.step("load"), _reading(spark, p):
-        batches = writer(s.kind)(accepted.coalesce(p.given("loader_workers")) if p.given("loader_workers") else accepted, s.dsn, s.table, p.setting("batch_size"), ddl)
+        batches = writer(s.kind)(accepted.coalesce(p.given("loader_workers")) if p.given("loader_workers") else accepted, s.dsn, s.table, p.setting("batch_size"), ddl, **({"keys": s.key_columns} if s.upsert else {}))
     got = dict(seen.get)
     counts = {"processed": got.pop("seen"), **got}
     counts["transform_dropped"] = counts["processed"] - counts["parse_errors"] - counts["validate_dropped"] - counts["inserted"]
@@ -181,6 +182,8 @@ def run(spark: SparkSession, p: Pipeline, gateway: str = "") -> Run:
     metrics.batches(counts["batches"])
     if gateway:
         metrics.push(gateway)
+    if statsd:
+        Statsd(statsd).push(metrics)
     return Run(out.accepted, out.rejected, out.rows, counts, metrics)
 
 

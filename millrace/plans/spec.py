@@ -55,6 +55,7 @@ class Storage:
     key_columns: tuple[str, ...] = ()
     date_column: str = ""
     auto_create_table: bool = False
+    upsert: bool = False
 
 
 #: Runtime settings: environment variable and default of each; fixed values.
@@ -89,7 +90,7 @@ class Pipeline:
             part("source", "file").get("path") or "",
             step(part("parser")),
             tuple(step(x) for x in d.get("transform") or ()),
-            Storage(part("storage").get("kind") or "", db.get("dsn") or "", db.get("table") or "", tuple(db.get("columns") or ()), tuple(db.get("key_columns") or ()), db.get("date_column") or "", bool(db.get("auto_create_table"))),
+            Storage(part("storage").get("kind") or "", db.get("dsn") or "", db.get("table") or "", tuple(db.get("columns") or ()), tuple(db.get("key_columns") or ()), db.get("date_column") or "", bool(db.get("auto_create_table")), bool(db.get("upsert"))),
             {k: int(v) for k, v in part("runtime").items() if isinstance(v, (int, float))},
         )
 

@@ -1,18 +1,22 @@
-"""Downloads for the driver: requests with retries, first bytes, lists of urls."""
+"""Downloads by tasks: requests with retries, first bytes, lists of urls."""
 
 from __future__ import annotations
 
+import os
 import shutil
 import ssl
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from pathlib import Path
+from typing import BinaryIO
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LOG_SCHEMA = "url string, duration_ms bigint, download_size bigint, http_response_code int, file string"
 
@@ -43,14 +47,14 @@ class Client:
             context.check_hostname, context.verify_mode = False, ssl.CERT_NONE
         return context
 
-    def fetch(self, url: str, method: str = "GET", data: bytes | None = None, headers: dict[str, str] | None = None, limit: int | None = None, to: Path | None = None) -> tuple[int, bytes]:
-        """Status and body; with ``to`` a good answer's body goes to that file piece by piece instead."""
+    def fetch(self, url: str, method: str = "GET", data: bytes | None = None, headers: dict[str, str] | None = None, limit: int | None = None, to: Callable[[], BinaryIO] | None = None) -> tuple[int, bytes]:
+        """Status and body; with ``to`` a good answer's body goes to the file that it opens, piece by piece, instead."""
         for attempt in range(self.retries + 1):
             try:
                 request = urllib.request.Request(url, data=data, method=method, headers=headers or {})
                 with urllib.request.urlopen(request, timeout=self.timeout, context=self._context()) as answer:
                     if to is not None and 200 <= answer.status <= 299:
-                        with to.open("wb") as f:
+                        with to() as f:
                             shutil.copyfileobj(answer, f)
                         return answer.status, b""
                     return answer.status, answer.read() if limit is None else answer.read(limit)
@@ -83,25 +87,52 @@ def file_name(url: str) -> str:
     return clean or hashlib.sha1(url.encode()).hexdigest()
 
 
-def download(spark: SparkSession, urls: Iterable[str], folder: str, client: Client | None = None, workers: int = 4) -> DataFrame:
-    """Fetches all urls into a folder of the driver and returns the log; the first failure stops what hasn't begun."""
+def _urls(spark: SparkSession, urls: DataFrame | Iterable[str], tasks: int) -> DataFrame:
+    """One text column ``url``, dealt to the tasks."""
+    if not isinstance(urls, DataFrame):
+        urls = spark.createDataFrame([(u,) for u in urls], "url string")
+    return urls.select(F.col(urls.columns[0]).cast("string").alias("url")).filter("url IS NOT NULL").repartition(tasks)
+
+
+def download(spark: SparkSession, urls: DataFrame | Iterable[str], folder: str, client: Client | None = None, workers: int = 4) -> DataFrame:
+    """Fetches all urls (the first column) by ``workers`` tasks into a folder that all of them see, and returns the log.
+
+    Each file is written beside its place and then renamed, so one that stands there is whole, and a task that runs again
+    writes the same files.  The first failure fails the job, which stops what hasn't begun.  The log is written to the
+    folder too, as an object a line, and read from there: nothing passes through the driver.  Folders may be local
+    paths or uris of any file system that Arrow knows.
+    """
     client = client or Client()
 
-    def one(url: str) -> tuple:
-        began = time.monotonic()
-        to = Path(folder) / file_name(url)
-        status, _ = client.fetch(url, to=to)
-        took = int(1000 * (time.monotonic() - began))
-        if not 200 <= status <= 299:
-            raise OSError(f"{url}: status {status}")
-        return url, took, to.stat().st_size, status, str(to)
-
-    with ThreadPoolExecutor(workers) as pool:
-        jobs = [pool.submit(one, u) for u in urls]
-        try:
-            rows = [j.result() for j in jobs]
-        except BaseException:
-            for j in jobs:
-                j.cancel()
-            raise
-    return spark.createDataFrame(rows, LOG_SCHEMA)
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, root = (fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder))
+        files.create_dir(root, recursive=True)
+        for batch in batches:
+            for url in batch["url"]:
+                began, name = time.monotonic(), file_name(url)
+                place, part = f"{root.rstrip('/')}/{name}", f"{root.rstrip('/')}/.{name}.{uuid.uuid4().hex}"
+                try:
+                    status, _ = client.fetch(url, to=lambda: files.open_output_stream(part))
+                    if not 200 <= status <= 299:
+                        raise OSError(f"{url}: status {status}")
+                    files.move(part, place)
+                finally:
+                    if files.get_file_info(part).type != fs.FileType.NotFound:
+                        files.delete_file(part)
+                yield pd.DataFrame([(url, int(1000 * (time.monotonic() - began)), files.get_file_info(place).size, status, place)], columns=["url", "duration_ms", "download_size", "http_response_code", "file"])
+
+    log = f"{folder.rstrip('/')}/_log-{uuid.uuid4().hex}"
+    log = log if "://" in log else f"file://{os.path.abspath(log)}"
+    _urls(spark, urls, workers).mapInPandas(fetch, LOG_SCHEMA).write.json(log)
+    return spark.read.schema(LOG_SCHEMA).json(log)
+
+
+def first_bytes(spark: SparkSession, urls: DataFrame | Iterable[str], n: int, client: Client | None = None, workers: int = 4) -> DataFrame:
+    """(url, start): at most n bytes of each url's body, fetched by tasks."""
+    client = client or Client()
+
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(u, client.first_bytes(u, n)) for u in batch["url"]], columns=["url", "start"])
+
+    return _urls(spark, urls, workers).mapInPandas(fetch, "url string, start binary")

@@ -196,8 +196,8 @@ def test_http_retries(monkeypatch, spark, tmp_path):
 
     waits = []
     monkeypatch.setattr(http.urllib.request, "urlopen", open_)
-    log = http.download(spark, ["http://h/?q=1"], str(tmp_path), http.Client(sleep=waits.append)).collect()
-    assert waits == [0.2, 0.4] and (log[0]["http_response_code"], log[0]["download_size"]) == (200, 4) and (tmp_path / "q_1").read_bytes() == b"body"
+    assert http.Client(sleep=waits.append).fetch("http://h/?q=1", to=lambda: (tmp_path / "q_1").open("wb")) == (200, b"")
+    assert waits == [0.2, 0.4] and (tmp_path / "q_1").read_bytes() == b"body"
     assert http.backoff(10) == 5.0 and http.retriable(429) and not http.retriable(404)
 
 
