@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.checks import Field
 from ..functions.layouts import TIMESTAMP_LAYOUTS, best_layout, parse, preference
-from ..operators import dedup, profile
+from ..operators import dedup, order, profile
 from ..sinks import bulk, ddl
 from ..sinks.writers import execute, writer
 from ..sources import csv, http, json, text, xml
@@ -156,7 +156,7 @@ def json_files(spark, sf_dir):
     body = rows.select("file", k.alias("at"), F.when(shape < 2, F.concat(record, F.lit(","))).when(shape == 2, record).otherwise(F.concat(F.replace(record, F.lit(", "), F.lit("\n,\n")), F.lit(" "))).alias("value"))
     files = rows.select("file").distinct()
     heads = files.filter(shape < 2).select("file", F.lit(-1).cast("long").alias("at"), F.when(shape == 0, "[").otherwise('{"meta": {"n": [1, 2]}, "few": [{"id": "x"}], "rows": [').alias("value"))
-    tails = files.filter(shape < 2).select("file", F.lit(1 << 60).alias("at"), F.when(shape == 0, "]").otherwise(']\n, "odd": [{}, 1]}').alias("value"))
+    tails = files.filter(shape < 2).select("file", F.lit(1 << 60).alias("at"), F.when(shape == 0, "null]").otherwise('null]\n, "odd": [{}, 1]}').alias("value"))
     path = scratch(spark)
     body.unionByName(heads).unionByName(tails).repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
     got = json.read_json(spark, path, ["id", "note", "inner_"])
@@ -221,6 +221,17 @@ def xml_articles(spark, sf_dir):
     return got.select("pmid", "article_title", "journal_title", "country", "doi", F.array_join("authors", ",").alias("authors"))
 
 
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS line, CAST(o_orderkey AS VARCHAR) AS value FROM orders")
+def ordered_write(spark, sf_dir):
+    """Lines of several files, numbered, shuffled, and written in their order: the files read one after the other are as before."""
+    k = F.col("o_orderkey")
+    path, again = scratch(spark), scratch(spark)
+    order.in_order(table(spark, sf_dir, "orders").select(k), ["o_orderkey"], 3).select(k.cast("string")).write.text(path)
+    shuffled = order.numbered_lines(spark, path).repartition(8, F.xxhash64("value"))
+    order.in_order(shuffled, ["line"], 5).select("value").write.text(again)
+    return order.numbered_lines(spark, again)
+
+
 @query("SELECT s_name AS value FROM supplier WHERE s_suppkey % 3 = 1")
 def list_file(spark, sf_dir):
     k = F.col("s_suppkey")

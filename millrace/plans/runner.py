@@ -51,7 +51,7 @@ def read(spark: SparkSession, p: Pipeline) -> DataFrame:
     o, columns = p.parser.options, list(p.storage.columns)
     if p.parser.kind == "csv":
         options = CsvOptions(o.boolean("has_header", True), o.character("comma"), o.boolean("trim_space", True), o.integer("expected_fields"), max(0, o.integer("fields_per_record")), o.string_map("header_map"), o.boolean("lazy_quotes"), o.boolean("stream_scrub_likvidaci"))
-        return read_csv(spark, p.path, options, columns).withColumn(LINE, F.monotonically_increasing_id())
+        return read_csv(spark, p.path, options, columns, line=True)
     if p.parser.kind == "json":
         df = read_json(spark, p.path, columns, o.string_map("header_map"))
     elif p.parser.kind == "xml":

@@ -14,7 +14,7 @@ from ..functions.text import trim_edges
 from . import quotes
 from .text import BROKEN_NOTES, scrub, strip_bom
 
-ERROR = "_parse_error"
+LINE, ERROR = "_line", "_parse_error"
 
 
 @dataclass(frozen=True)
@@ -46,10 +46,11 @@ def header_name(header: str, header_map: dict[str, str]) -> str:
 def _lines(spark: SparkSession, path: str, has_header: bool) -> DataFrame:
     """Lines that aren't blank, without the first of each file if that is a header: a csv read of one column that has no separator or quote."""
     whole = {"header": has_header, "enforceSchema": True, "sep": "\uffff", "quote": "", "escape": "", "comment": "", "emptyValue": "", "maxCharsPerColumn": -1, "lineSep": "\n"}
-    return spark.read.options(**whole).schema("value string").csv(path)
+    line = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    return spark.read.options(**whole).schema("value string").csv(path).select("value", line.alias("line"))
 
 
-def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(), columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(), columns: Sequence[str] | None = None, line: bool = False) -> DataFrame:
     """Declared columns (or all) as text, nulls for '' and for what a file lacks, and ``_parse_error``.
 
     The error is null for good rows.  Rows of another width than asked for
@@ -61,14 +62,16 @@ def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(),
     Blank lines don't count; of each file the first other record is the header.
     A header without any of the declared columns is an error, as then every value would be null.
 
+    With ``line`` there is a column ``_line`` too, by which rows sort as they stand in their files.
     Files are split, also where values span lines: then one scan finds at which parts' edges a value is open (see ``quotes``).
     """
     value = F.when(F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
     mended = strip_bom(scrub(value, options.scrub_pairs) if options.scrub else value)
     head = spark.read.option("lineSep", "\n").text(path).select(mended.alias("value")).filter(F.trim("value") != "").head()
     if head is None:
-        names = list(columns or [])
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*names, ERROR]]))
+        names = [*(columns or []), ERROR]
+        schema = ", ".join([f"`{c}` string" for c in names] + [f"{LINE} struct<file: bigint, block: bigint, place: bigint>"] * line)
+        return spark.createDataFrame([], schema)
     first = next(csv.reader([head["value"]], delimiter=options.comma), [])
     names = [header_name(h, options.header_map) for h in first] if options.has_header else list(columns or [f"col_{i}" for i in range(max(len(first), options.expected_fields))])
     if columns and options.has_header and not set(columns) & set(names):
@@ -85,10 +88,10 @@ def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(),
     if edges:
         records = quotes.spanning_records(lines, edges, options.has_header)
     else:
-        records = _lines(spark, path, options.has_header).select(mended.alias("value"), F.lit(False).alias("unclosed"))
+        records = _lines(spark, path, options.has_header).select(mended.alias("value"), F.lit(False).alias("unclosed"), "line")
     parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {k: v for k, v in parse.items() if v is not None})
     ok = F.lit(True) if lazy else ~F.contains("value", F.lit('"')) | F.rlike("value", F.lit(quotes.whole(options.comma)))
-    rows = records.select(parsed.alias("p"), ok.alias("_ok"), "unclosed").select("p.*", "_ok", "unclosed")
+    rows = records.select(parsed.alias("p"), ok.alias("_ok"), "unclosed", "line").select("p.*", "_ok", "unclosed", "line")
     error = F.when(F.col("unclosed"), F.lit("a quote is never closed")).when(~F.col("_ok"), F.lit("bare quote in a value"))
     if width > 0:
         error = error.when(F.col("_bad").isNotNull(), f"expected {width} fields")
@@ -100,4 +103,4 @@ def read_csv(spark: SparkSession, path: str, options: CsvOptions = CsvOptions(),
         c = F.col(place[name])
         return F.nullif(trim_edges(c) if options.trim_space else c, F.lit("")).alias(name)
 
-    return rows.select(*[value_of(c) for c in (columns or list(dict.fromkeys(names)))], error.alias(ERROR))
+    return rows.select(*[value_of(c) for c in (columns or list(dict.fromkeys(names)))], error.alias(ERROR), *([F.col("line").alias(LINE)] if line else []))

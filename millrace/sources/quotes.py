@@ -132,14 +132,16 @@ def _cut(edges: Edges, has_header: bool, pieces: bool):
         at, state, skip = None, False, False
         held: list[str] = []  # lines of an open record
         origin: int | None = None  # the part it began in, if another one
-        out: list[tuple[str, bool, int | None, int | None, int | None]] = []
+        out: list[tuple] = []
+        place = 0  # of a record among those of its part
 
         def put(text: str, unclosed: bool = False, of: int | None = None) -> None:
-            nonlocal skip
+            nonlocal skip, place
+            place += of is None or of == at[1]
             if skip:
                 skip = False
             elif pieces == (of is not None):
-                out.append((text, unclosed, None if of is None else at[0], of, None if of is None else at[1]))
+                out.append((text, unclosed, at[0], at[1] if of is None else of, at[1], place if of is None or of == at[1] else 0))
 
         def leave() -> None:
             """At a part's end an open record is a piece, unless none closes it: then its first line stands for it."""
@@ -154,7 +156,7 @@ def _cut(edges: Edges, has_header: bool, pieces: bool):
             held, origin = [], None
 
         def batch() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()))], names=["value", "unclosed", "file", "origin", "block"])
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.bool_(), *[pa.int64()] * 4))], names=["value", "unclosed", "file", "origin", "block", "place"])
             out.clear()
             return made
 
@@ -166,7 +168,7 @@ def _cut(edges: Edges, has_header: bool, pieces: bool):
                 if at != here:
                     if at is not None:
                         leave()
-                    at, skip = here, has_header and here[1] == 0
+                    at, skip, place = here, has_header and here[1] == 0, 0
                     state, origin = edges.before(*here)
                 if not edges.knows(*here) and (after_out[x:y] | ~after_in[x:y]).any():
                     raise ValueError("a csv file is split in other places than when it was scanned; read it again with unchanged settings")
@@ -193,19 +195,20 @@ def _cut(edges: Edges, has_header: bool, pieces: bool):
 
 
 def spanning_records(lines: DataFrame, edges: Edges, has_header: bool) -> DataFrame:
-    """(value, unclosed): records without each file's first if that is a header; blank lines between records don't count.
+    """(value, unclosed, line): records without each file's first if that is a header; blank lines between records don't count.
 
     Where a record is open at the edge of a part, its file is read once more for the pieces, which are grouped.
     """
-    schema = "value string, unclosed boolean, file long, origin long, block long"
+    schema = "value string, unclosed boolean, file long, origin long, block long, place long"
     cut = lambda rows, pieces: rows.select("file", "block", "out", "in", "value").mapInArrow(_cut(edges, has_header, pieces), schema)
-    records = cut(lines, False).select("value", "unclosed")
+    line = F.struct("file", F.col("origin").alias("block"), "place").alias("line")
+    records = cut(lines, False).select("value", "unclosed", line)
     crossed = edges.crossed()
     if not crossed:
         return records
     pieces = cut(lines.filter(F.col("file").isin(crossed)) if len(crossed) <= 1000 else lines, True)
-    joined = pieces.groupBy("file", "origin").agg(F.sort_array(F.collect_list(F.struct("block", "value"))).alias("all"))
-    return records.unionByName(joined.select(F.array_join("all.value", "\n").alias("value"), F.lit(False).alias("unclosed")))
+    joined = pieces.groupBy("file", "origin").agg(F.sort_array(F.collect_list(F.struct("block", "value"))).alias("all"), F.max("place").alias("place"))
+    return records.unionByName(joined.select(F.array_join("all.value", "\n").alias("value"), F.lit(False).alias("unclosed"), line))
 
 
 def quoted_lines(spark: SparkSession, path: str, mend: Column, comma: str, lazy: bool) -> DataFrame:
