@@ -14,6 +14,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..functions.checks import Field
 from ..functions.layouts import TIMESTAMP_LAYOUTS, best_layout, parse, preference
 from ..operators import dedup, order, profile
@@ -214,6 +215,21 @@ def xml_lenient_records(spark, sf_dir):
     return got.select("id", "brand", F.col(csv.ERROR).alias("error"))
 
 
+@query("""SELECT CAST(p_partkey AS BIGINT) AS id, p_brand AS brand, make_date(2020, 1 + CAST(p_partkey % 12 AS INT), 5) AS day, p_partkey % 2 = 0 AS ok FROM part WHERE p_partkey % 7 <> 3""")
+def sql_views(spark, sf_dir):
+    """Views by SQL alone: records of XML texts by a table function, typed and checked by SQL functions, all under the package's prefix."""
+    sql.register(spark)
+    k = F.col("p_partkey")
+    day = F.concat(F.lit("05."), F.lpad((1 + k % 12).cast("string"), 2, "0"), F.lit(".2020"))
+    line = F.concat(F.lit("<P><Id> "), F.when(k % 7 == 3, "none").otherwise(k.cast("string")), F.lit(" </Id><n:B>"), "p_brand", F.lit("</n:B><D>"), day, F.lit("</D><Ok>"), F.when(k % 2 == 0, "ano").otherwise("ne"), F.lit("</Ok></P>"))
+    name = f"raw_{uuid.uuid4().hex}"
+    spark.read.text(put(table(spark, sf_dir, "part").select(line), spark)).createOrReplaceTempView(name)
+    return spark.sql(f"""
+        SELECT millrace_to_int(r.fields['id']) AS id, millrace_normalize(r.fields['brand']) AS brand, millrace_to_date(r.fields['day']) AS day, millrace_to_bool(r.fields['ok']) AS ok
+        FROM {name}, LATERAL millrace_xml_records(value, 'P', map('id', 'Id', 'brand', 'B', 'day', 'D', 'ok', 'Ok')) r
+        WHERE r.error IS NULL AND millrace_is_int(r.fields['id'])""")
+
+
 @query("SELECT CAST(p_partkey AS VARCHAR) AS pmid, p_name AS article_title, p_brand AS journal_title, CAST(NULL AS VARCHAR) AS country, '10/' || p_partkey AS doi, p_type || ',' || p_brand AS authors FROM part")
 def xml_articles(spark, sf_dir):
     line = F.concat(F.lit("<A><PMID V='1'>"), "p_partkey", F.lit("</PMID><Title>"), "p_brand", F.lit("</Title><ArticleTitle> "), "p_name", F.lit("</ArticleTitle><LastName>"), "p_type", F.lit("</LastName><LastName>"), "p_brand", F.lit('</LastName><ArticleId IdType="doi">10/'), "p_partkey", F.lit("</ArticleId></A>"))
