@@ -35,10 +35,20 @@ def is_filled(c: Column) -> Column:
     return c.isNotNull() & (c.cast("string") != "")
 
 
+def plain_int(c: Column) -> Column:
+    """Whether a text is nothing but the digits of an integer that surely fits: most are, and need neither trimming nor a cast that can fail."""
+    return F.rlike(c, F.lit(r"\A[+-]?[0-9]{1,18}\z"))
+
+
+def as_int(c: Column) -> Column:
+    """The value of a trimmed base-10 integer of 64 bits, else null."""
+    t = trim_unicode(c)
+    return F.when(plain_int(c), c.try_cast("bigint")).when(F.rlike(t, F.lit(r"\A[+-]?[0-9]+\z")), t.try_cast("bigint"))
+
+
 def is_int(c: Column) -> Column:
     """A trimmed base-10 integer of 64 bits."""
-    t = trim_unicode(c)
-    return F.coalesce(F.rlike(t, F.lit(r"\A[+-]?[0-9]+\z")) & t.try_cast("bigint").isNotNull(), F.lit(False))
+    return as_int(c).isNotNull()
 
 
 def is_real(c: Column) -> Column:

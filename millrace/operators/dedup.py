@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.checks import is_filled, is_int
+from ..functions.checks import as_int, is_filled, is_int, plain_int
+from ..functions.coerce import where
 from ..functions.text import trim_unicode
 
 KEEP_FIRST, KEEP_LAST, MOST_COMPLETE = "keep-first", "keep-last", "most-complete"
@@ -64,9 +65,11 @@ def distinct_first(df: DataFrame, id_col: str, check_col: str, order_by: Sequenc
     Rows count when both columns are trimmed integers.  Ids outside 0 to
     ``max_id`` aren't remembered, so each of their rows stays.
     """
-    text = trim_unicode(F.col(f"`{id_col}`").cast("string"))
-    rows = df.filter(is_int(F.col(f"`{id_col}`").cast("string")) & is_int(F.col(f"`{check_col}`").cast("string")))
-    rows = rows.select(text.try_cast("bigint").alias("id"), text.alias("text"), F.struct(*[F.col(f"`{c}`") for c in order_by]).alias("at"))
+    c = F.col(f"`{id_col}`").cast("string")
+    text = F.when(plain_int(c), c).otherwise(trim_unicode(c))
+    ok = is_int(F.col(f"`{check_col}`").cast("string"))
+    rows = df.select(F.when(ok, as_int(c)).alias("id"), text.alias("text"), F.struct(*[F.col(f"`{x}`") for x in order_by]).alias("at"))
+    rows = where(rows, F.col("id").isNotNull())
     if max_id is None:
         return rows.filter("id >= 0").groupBy("id").agg(F.min_by("text", "at").alias("text"))
     # a row that isn't remembered is a group of its own, so one scan serves both
