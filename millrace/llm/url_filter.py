@@ -46,7 +46,7 @@ def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float
     to 1 at most; mass that reaches a host without edges out is lost, which
     changes no comparison of two hosts.  Tables are written every few rounds,
     which bounds the plan and the work that a lost executor costs.  With a
-    ``tolerance`` the rounds end once no mass changes by more between two such tables.
+    ``tolerance`` the rounds end once no mass changes by more between two such tables; if it does after all ``rounds``, that is an error.
     A host of more than ``hub_rows`` edges is dealt over several tasks; such hosts, of which there are at most
     edges / hub_rows, are broadcast.
     """
@@ -72,6 +72,9 @@ def propagate(shared: Shared, hosts: DataFrame, edges: DataFrame, damping: float
                 if (moved.collect()[0]["most"] or 0.0) <= tolerance:
                     break
                 last = rank
+    else:
+        if tolerance is not None:
+            raise ValueError(f"masses still move after {rounds} rounds")
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)).alias(kind)
     return rank.groupBy(F.col("at").alias("host")).agg(of("trust"), of("distrust"))
 

@@ -661,6 +661,15 @@ def test_words_of_ids():
 # ---- 8 ----------------------------------------------------------------------
 
 
+def test_propagation_that_does_not_converge_is_an_error(spark):
+    hosts = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1.0)], "host string, trust_seed double, distrust_seed double")
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, weight double")
+    for rounds, tolerance in ((8, None), (400, 1e-6)):
+        assert url_filter.propagate(Shared(spark, "rank"), hosts, edges, rounds=rounds, tolerance=tolerance).count() == 2
+    with pytest.raises(ValueError, match="still move after 8 rounds"):
+        url_filter.propagate(Shared(spark, "rank"), hosts, edges, rounds=8, tolerance=1e-12)
+
+
 def brute_rank(seeds, edges, rounds=12, damping=0.85):
     total = sum(seeds.values())
     mass = {h: s / total for h, s in seeds.items() if s}
