@@ -2,9 +2,11 @@
 
 A node of the tree holds a number of shards.  It is cut along its widest
 dimension (its range over the whole corpus's range) at the weighted quantile
-that leaves half its shards, rounded down, on the left.  Quantiles are found
-exactly by refining histograms: one aggregation serves all nodes of a level,
-and at most ``BINS`` sums a node come to the driver.  Built-in functions only.
+that leaves half its shards, rounded down, on the left.  One aggregation serves
+all nodes of a level and all dimensions: histograms with the least and greatest
+value of each bin, which give weights, ranges, and most cuts.  A cut that they
+leave open is refined inside its bin, again for all nodes at once, until it is exact
+enough; at most about ``SUMS`` sums come to the driver each time.  Built-in functions only.
 
 Dimensions are metadata of the text (its size, lines, and bytes beyond ASCII),
 so equal texts have equal coordinates.  Where one value weighs too much for a
@@ -23,10 +25,11 @@ from pyspark.sql import functions as F
 
 from .common import Shared, power_of_two
 
-BINS = 2048
 #: Range of the ties, which are hashes.
 HASHES = (0, 2**32 - 1)
-#: Histograms of so many nodes are taken in one aggregation.
+#: Sums of an aggregation, shared by its searches, each of which has at least ``BINS``.
+SUMS, BINS = 1 << 16, 256
+#: Nodes searched in one aggregation.
 NODES = 256
 
 
@@ -45,37 +48,63 @@ class Cut:
         return out
 
 
+@dataclass
+class Search:
+    """For the quantile of one node along one dimension: the values [low, high] of a key that it lies in."""
+
+    keys: list[str]
+    low: int
+    high: int
+    fixed: list[int] = field(default_factory=list)  # values of the keys before
+    below: int = 0
+    held: int | None = None  # rows in [low, high], where known
+    found: tuple[float, Cut] | None = None  # what the cut misses the quantile by
+
+    def width(self, bins: int) -> int:
+        """Of a bin; one value each when no more rows than bins are left."""
+        return 1 if self.held is not None and self.held <= bins else (self.high - self.low) // bins + 1
+
+    def narrow(self, bins: list[tuple], goal: float, share: float, tolerance: float, ties: list[str]) -> None:
+        """Goes into the bin of the quantile, or settles. ``bins``: weight, rows, least and greatest value, in order of values."""
+        under = self.below
+        for w, held, lo, hi in bins:
+            if under + w >= goal:
+                break
+            under += w
+        over, near = under + w, min(goal - under, under + w - goal)
+        self.below, self.held = under, held
+        if near > tolerance * share and lo < hi:
+            self.low, self.high = lo, hi
+            return
+        key = self.keys[len(self.fixed)]
+        if near > tolerance * share and (key not in ties or (key == ties[0] and w > share)) and len(self.fixed) + 1 < len(self.keys):
+            self.fixed, (self.low, self.high) = [*self.fixed, lo], HASHES  # on inside the value
+            return
+        self.found = near, Cut(self.keys[: len(self.fixed) + 1], [*self.fixed, hi if over - goal <= goal - under else lo - 1])
+
+
 @dataclass
 class Node:
     first: int
     shards: int
+    ranges: dict[str, tuple[int, int]]
     cut: Cut | None = None
     left: "Node | None" = None
     right: "Node | None" = None
-    ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
     weight: int = 0
     rows: int = 0
-    # state of the search for the cut
-    keys: list[str] = field(default_factory=list)
-    fixed: list[int] = field(default_factory=list)
-    low: int = 0
-    high: int = 0
-    below: int = 0
-    held: int = 0  # rows in [low, high]
-    # dimensions not tried yet, by width, and the best cut so far with what it misses by
-    untried: list[str] = field(default_factory=list)
-    best: tuple[float, Cut] | None = None
-
-    def search(self, ties: list[str]) -> None:
-        """Begins with the widest dimension not tried yet."""
-        key = self.untried.pop(0)
-        self.keys = [key, *[t for t in ties if t != key]]
-        self.fixed, self.below, self.held = [], 0, self.rows
-        self.low, self.high = self.ranges.get(key, HASHES)
-
-    def width(self) -> int:
-        """Of a bin; one value each when no more rows than bins are left."""
-        return 1 if self.held <= BINS else (self.high - self.low) // BINS + 1
+    searches: list[Search] = field(default_factory=list)
+
+    def choose(self, miss: float) -> None:
+        """Takes the cut of the first search that misses by no more, or the nearest when none does; searches behind the first such are dropped."""
+        for i, s in enumerate(self.searches):
+            if s.found and s.found[0] <= miss * self.weight / self.shards:
+                del self.searches[i + 1 :]
+                if all(t.found for t in self.searches):
+                    self.cut = s.found[1]
+                return
+        if all(s.found for s in self.searches):
+            self.cut = min((s.found for s in self.searches), key=lambda f: f[0])[1]
 
 
 def leaf_of(node: Node, value) -> Column:
@@ -85,33 +114,33 @@ def leaf_of(node: Node, value) -> Column:
     return F.when(node.cut.left(), leaf_of(node.left, value)).otherwise(leaf_of(node.right, value))
 
 
-def _measure(rows: DataFrame, root: Node, nodes: list[Node], dims: list[str]) -> None:
-    """Weight and ranges of each open node."""
-    number = {id(n): i for i, n in enumerate(nodes)}
-    aggs = [F.sum("size").alias("w"), F.count("*").alias("n")] + [f(d).alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]
-    for r in rows.groupBy(leaf_of(root, lambda n: number.get(id(n), -1)).alias("node")).agg(*aggs).collect():
-        if r["node"] >= 0:
-            n = nodes[r["node"]]
-            n.weight, n.rows, n.ranges = r["w"], r["n"], {d: (r[f"lo_{d}"], r[f"hi_{d}"]) for d in dims}
-
-
-def _histograms(rows: DataFrame, root: Node, nodes: list[Node]) -> dict[int, dict[int, tuple[int, int]]]:
-    """Weights and rows in bins of [low, high] of the key under search, for each node still searching."""
-    number = {id(n): i for i, n in enumerate(nodes)}
-    rows = rows.withColumn("node", leaf_of(root, lambda n: number.get(id(n), -1)).cast("int"))
-    bin_, inside = F.lit(None).cast("long"), F.lit(False)
-    for i, n in enumerate(nodes):
-        here = F.col("node") == i
-        for k, v in zip(n.keys, n.fixed):
-            here = here & (F.col(k) == v)
-        key = n.keys[len(n.fixed)]
-        here = here & F.col(key).between(n.low, n.high)
-        width = n.width()
-        bin_ = F.when(here, F.floor((F.col(key) - n.low) / width) if width > 1 else F.col(key) - n.low).otherwise(bin_)
-        inside = inside | here
-    out: dict[int, dict[int, tuple[int, int]]] = {}
-    for r in rows.filter(F.col("node") >= 0).select("node", bin_.cast("long").alias("bin"), "size").filter("bin is not null").groupBy("node", "bin").agg(F.sum("size").alias("w"), F.count("*").alias("n")).collect():
-        out.setdefault(r["node"], {})[r["bin"]] = (r["w"], r["n"])
+def _histograms(rows: DataFrame, root: Node, open_: list[tuple[Node, Search]]) -> dict[int, list[tuple]]:
+    """Weight, rows, least and greatest value of each bin in order, by the number of the search."""
+    nodes = {id(n): i for i, n in enumerate({id(n): n for n, _ in open_}.values())}
+    slots: dict[str, dict[int, int]] = {}  # searches by first key and node
+    for i, (n, s) in enumerate(open_):
+        slots.setdefault(s.keys[0], {})[nodes[id(n)]] = i
+    bins, stacked = max(BINS, SUMS // len(open_)), []
+    for slot in slots.values():
+        of = {k: open_[i][1] for k, i in slot.items()}
+        keys = next(iter(of.values())).keys
+
+        def by_node(value, none=-1):
+            return F.get(F.array(*(F.lit(value(of[k]) if k in of else none).cast("long") for k in range(len(nodes)))), F.col("node"))
+
+        depth, low = by_node(lambda s: len(s.fixed)), by_node(lambda s: s.low)
+        value = F.coalesce(*(F.when(depth == d, F.col(k).cast("long")) for d, k in enumerate(keys)))
+        inside = value.between(low, by_node(lambda s: s.high))
+        for d, k in enumerate(keys[: max(len(s.fixed) for s in of.values())]):
+            inside = inside & ((depth <= d) | (F.col(k) == by_node(lambda s: s.fixed[d] if d < len(s.fixed) else -1)))
+        number = F.get(F.array(*(F.lit(slot.get(k, -1)) for k in range(len(nodes)))), F.col("node"))
+        stacked += [F.when(inside, number), F.floor((value - low) / by_node(lambda s: s.width(bins), 1)), value]
+    rows = rows.withColumn("node", leaf_of(root, lambda n: nodes.get(id(n), -1)).cast("int")).filter("node >= 0")
+    rows = rows.select("size", F.stack(F.lit(len(slots)), *stacked).alias("search", "bin", "value")).filter("search is not null")
+    out: dict[int, list[tuple]] = {}
+    sums = F.sum("size").alias("w"), F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    for r in sorted(rows.groupBy("search", "bin").agg(*sums).collect(), key=lambda r: r["lo"]):
+        out.setdefault(r["search"], []).append((r["w"], r["n"], r["lo"], r["hi"]))
     return out
 
 
@@ -120,60 +149,34 @@ def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], toleran
 
     A cut may miss its quantile by ``tolerance`` of a shard; one that misses it by more than ``miss`` has other dimensions tried.
     """
-    root = Node(0, shards)
-    _measure(rows, root, [root], dims)
+    whole = rows.agg(F.count("*").alias("n"), *(f(d).alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max)))).collect()[0]
+    root = Node(0, shards, {d: (whole[f"lo_{d}"], whole[f"hi_{d}"]) for d in dims}, rows=whole["n"])
     spread = {d: max(1, hi - lo) for d, (lo, hi) in root.ranges.items() if lo is not None}
-    total = root.weight or 0
-    level = [root] if total and shards > 1 else []
+    level = [root] if root.rows and shards > 1 else []
     while level:
         for part in [level[i : i + NODES] for i in range(0, len(level), NODES)]:
             for n in part:
-                n.untried = [*sorted(dims, key=lambda d: ((n.ranges[d][0] - n.ranges[d][1]) / spread[d], dims.index(d))), ties[0]]
-                n.search(ties)
-            searching = list(part)
-            while searching:
-                found = _histograms(rows, root, searching)
-                open_ = []
-                for i, n in enumerate(searching):
-                    goal = n.weight * (n.shards // 2) / n.shards
-                    share = n.weight / n.shards
-                    width = n.width()
-                    under, at, w, held = n.below, -1, 0, 0
-                    for b, (w, held) in sorted(found.get(i, {}).items()):
-                        at = b
-                        if under + w >= goal:
-                            break
-                        under += w
-                    over = under + w
-                    lo = n.low + at * width
-                    hi = min(n.high, lo + width - 1)
-                    near = min(goal - under, over - goal)
-                    if near > tolerance * share and lo < hi:
-                        n.below, n.low, n.high, n.held = under, lo, hi, held
-                        open_.append(n)
-                        continue
-                    key = n.keys[len(n.fixed)]
-                    if lo == hi and near > tolerance * share and (key not in ties or (key == ties[0] and w > share)) and len(n.fixed) + 1 < len(n.keys):
-                        n.fixed, n.below, n.held = [*n.fixed, lo], under, held  # go on inside the value
-                        n.low, n.high = HASHES
-                        open_.append(n)
-                        continue
-                    value = hi if over - goal <= goal - under else lo - 1
-                    cut = Cut(n.keys[: len(n.fixed) + 1], [*n.fixed, value])
-                    if n.best is None or near < n.best[0]:
-                        n.best = near, cut
-                    if n.best[0] > miss * share and n.untried:
-                        n.search(ties)
-                        open_.append(n)
-                    else:
-                        n.cut = n.best[1]
-                searching = open_
-        for n in level:
-            n.left, n.right = Node(n.first, n.shards // 2), Node(n.first + n.shards // 2, n.shards - n.shards // 2)
-        level = [c for n in level for c in (n.left, n.right) if c.shards > 1]
-        for i in range(0, len(level), NODES):
-            _measure(rows, root, level[i : i + NODES], dims)
-        level = [n for n in level if n.weight]
+                n.searches = [Search([key, *(t for t in ties if t != key)], *n.ranges.get(key, HASHES)) for key in [*dims, ties[0]]]
+            open_ = [(n, s) for n in part for s in n.searches]
+            while open_:
+                found = _histograms(rows, root, open_)
+                for i, (n, s) in enumerate(open_):
+                    if i in found and not n.weight:  # the first histograms hold all rows of their node
+                        n.weight, n.rows = sum(b[0] for b in found[i]), sum(b[1] for b in found[i])
+                for i, (n, s) in enumerate(open_):
+                    if i in found:
+                        if s.held is None and s.keys[0] in dims:
+                            n.ranges[s.keys[0]] = found[i][0][2], found[i][-1][3]
+                        s.narrow(found[i], n.weight * (n.shards // 2) / n.shards, n.weight / n.shards, tolerance, ties)
+                searching = [n for n in part if n.weight and n.cut is None]
+                for n in searching:
+                    n.searches.sort(key=lambda s: (0, (n.ranges[s.keys[0]][0] - n.ranges[s.keys[0]][1]) / spread[s.keys[0]], dims.index(s.keys[0])) if s.keys[0] in dims else (1, 0, 0))
+                    n.choose(miss)
+                open_ = [(n, s) for n in searching if n.cut is None for s in n.searches if s.found is None]
+        cut = [n for n in level if n.cut]  # others have no rows
+        for n in cut:
+            n.left, n.right = Node(n.first, n.shards // 2, dict(n.ranges)), Node(n.first + n.shards // 2, n.shards - n.shards // 2, dict(n.ranges))
+        level = [c for n in cut for c in (n.left, n.right) if c.shards > 1]
     return root
 
 
@@ -198,7 +201,7 @@ def shard_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     rows = shared.keep(rows, "rows")
     root = grow(rows.withColumn("tie_hash", F.col("crc")), shards, ["log_size", "log_lines", "log_high"], ["tie_hash", "tie_id"])
     placed = rows.withColumn("tie_hash", F.col("crc")).withColumn("shard", leaf_of(root, lambda n: n.first).cast("int"))
-    bits = min(24, power_of_two(rows.count() / shards / slot_rows, 1).bit_length() - 1)
+    bits = min(24, power_of_two(root.rows / shards / slot_rows, 1).bit_length() - 1)
     placed = placed.withColumn("range", F.shiftrightunsigned(F.xxhash64("crc", "doc_id"), 64 - bits) if bits else F.lit(0).cast("long"))
     ranges = placed.groupBy("shard", "range").agg(F.count("*").alias("n"))
     ranges = ranges.select(F.col("shard").alias("r_shard"), F.col("range").alias("r_range"), F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))

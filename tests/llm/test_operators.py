@@ -461,6 +461,59 @@ def test_tree_cuts_at_weighted_medians(spark):
     assert root.cut.keys[0] == "x" and (len(root.cut.values) > 1 or abs(at(value) - total / 2) <= max(best, 0.002 * total / 2))
 
 
+def plain_tree(rows: list[dict], shards: int, dims: list[str], spread: dict[str, int], first: int = 0, miss: float = 0.01) -> dict[int, int]:
+    """The shard of each row, by sorting each node's rows along each dimension; cuts are exact."""
+    if shards < 2 or not rows:
+        return {r["tie_id"]: first for r in rows}
+    weight = sum(r["size"] for r in rows)
+    goal, share = weight * (shards // 2) / shards, weight / shards
+
+    def cut(keys, some, below):
+        key, by = keys[0], defaultdict(list)
+        for r in some:
+            by[r[key]].append(r)
+        left = []
+        for v in sorted(by):
+            w = sum(r["size"] for r in by[v])
+            if below + w >= goal:
+                break
+            left, below = left + by[v], below + w
+        near = min(goal - below, below + w - goal)
+        if near > 0 and len(keys) > 1 and (key in dims or w > share):
+            near, inner = cut(keys[1:], by[v], below)
+            return near, left + inner
+        return near, left + by[v] if below + w - goal <= goal - below else left
+
+    wide = sorted(dims, key=lambda d: ((min(r[d] for r in rows) - max(r[d] for r in rows)) / spread[d], dims.index(d)))
+    tried = [cut(keys, rows, 0) for keys in [*([d, "tie_hash", "tie_id"] for d in wide), ["tie_hash", "tie_id"]]]
+    near, left = next((t for t in tried if t[0] <= miss * share), min(tried, key=lambda t: t[0]))
+    ids = {r["tie_id"] for r in left}
+    return plain_tree(left, shards // 2, dims, spread, first) | plain_tree([r for r in rows if r["tie_id"] not in ids], shards - shards // 2, dims, spread, first + shards // 2)
+
+
+@pytest.mark.parametrize("sums, bins", [(1 << 16, 256), (16, 3)])
+def test_every_level_of_the_tree_is_cut_as_by_sorting(spark, monkeypatch, sums, bins):
+    """Smooth and tied dimensions, groups of equal texts lighter and heavier than a shard; a few bins force many refinements."""
+    monkeypatch.setattr(sharding, "SUMS", sums)
+    monkeypatch.setattr(sharding, "BINS", bins)
+    rnd, rows = random.Random(5), []
+    for group, n in [*((g, 1) for g in range(300)), (300, 20), (301, 60), (302, 150)]:
+        one = {"size": rnd.randrange(16, 400), "x": rnd.randrange(100_000), "y": rnd.choice([0, 0, 0, 7, rnd.randrange(50)]), "tie_hash": zlib.crc32(b"%d" % group)}
+        rows += [{**one, "tie_id": zlib.crc32(b"row %d" % (len(rows) + i))} for i in range(n)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "size long, x long, y long, tie_hash long, tie_id long")
+    root = sharding.grow(df, 13, ["x", "y"], ["tie_hash", "tie_id"], tolerance=0)
+    got = {r["tie_id"]: r["shard"] for r in collect(df.select("tie_id", sharding.leaf_of(root, lambda n: n.first).alias("shard")))}
+    spread = {d: max(r[d] for r in rows) - min(r[d] for r in rows) for d in ("x", "y")}
+    assert got == plain_tree(rows, 13, ["x", "y"], spread) and len(set(got.values())) == 13
+
+
+def test_a_level_of_the_tree_takes_few_jobs(spark, monkeypatch):
+    docs, taken, plain = table(spark, "/root/testdata/sf0.01", "documents"), [], sharding._histograms
+    monkeypatch.setattr(sharding, "_histograms", lambda *a: taken.append(1) or plain(*a))
+    collect(sharding.shard_documents(spark, docs))
+    assert len(taken) <= 3 * 6  # 40 shards have six levels
+
+
 def test_groups_that_fit_a_shard_stay_whole(spark):
     """Of the default 40 shards on sf0.01, where one group weighs a third of a shard."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
