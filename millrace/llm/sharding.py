@@ -40,11 +40,11 @@ class Cut:
     keys: list[str]
     values: list[int]
 
-    def left(self) -> Column:
+    def left(self) -> str:
         *before, (key, value) = zip(self.keys, self.values)
-        out = F.col(key) <= value
+        out = f"{key} <= {value}L"
         for key, value in reversed(before):
-            out = (F.col(key) < value) | ((F.col(key) == value) & out)
+            out = f"({key} < {value}L OR ({key} = {value}L AND {out}))"
         return out
 
 
@@ -55,24 +55,25 @@ class Search:
     keys: list[str]
     low: int
     high: int
+    held: int  # rows in [low, high]
     fixed: list[int] = field(default_factory=list)  # values of the keys before
-    below: int = 0
-    held: int | None = None  # rows in [low, high], where known
-    found: tuple[float, Cut] | None = None  # what the cut misses the quantile by
+    below: int = 0  # weight and rows below low
+    rows_below: int = 0
+    found: tuple[float, Cut, int] | None = None  # what the cut misses the quantile by, and its rows on the left
 
     def width(self, bins: int) -> int:
         """Of a bin; one value each when no more rows than bins are left."""
-        return 1 if self.held is not None and self.held <= bins else (self.high - self.low) // bins + 1
+        return 1 if self.held <= bins else (self.high - self.low) // bins + 1
 
     def narrow(self, bins: list[tuple], goal: float, share: float, tolerance: float, ties: list[str]) -> None:
         """Goes into the bin of the quantile, or settles. ``bins``: weight, rows, least and greatest value, in order of values."""
-        under = self.below
+        under, rows = self.below, self.rows_below
         for w, held, lo, hi in bins:
             if under + w >= goal:
                 break
-            under += w
+            under, rows = under + w, rows + held
         over, near = under + w, min(goal - under, under + w - goal)
-        self.below, self.held = under, held
+        self.below, self.rows_below, self.held = under, rows, held
         if near > tolerance * share and lo < hi:
             self.low, self.high = lo, hi
             return
@@ -80,19 +81,21 @@ class Search:
         if near > tolerance * share and (key not in ties or (key == ties[0] and w > share)) and len(self.fixed) + 1 < len(self.keys):
             self.fixed, (self.low, self.high) = [*self.fixed, lo], HASHES  # on inside the value
             return
-        self.found = near, Cut(self.keys[: len(self.fixed) + 1], [*self.fixed, hi if over - goal <= goal - under else lo - 1])
+        value, left = (hi, rows + held) if over - goal <= goal - under else (lo - 1, rows)
+        self.found = near, Cut(self.keys[: len(self.fixed) + 1], [*self.fixed, value]), left
 
 
 @dataclass
 class Node:
     first: int
     shards: int
+    rows: int
     ranges: dict[str, tuple[int, int]]
     cut: Cut | None = None
+    left_rows: int = 0
     left: "Node | None" = None
     right: "Node | None" = None
     weight: int = 0
-    rows: int = 0
     searches: list[Search] = field(default_factory=list)
 
     def choose(self, miss: float) -> None:
@@ -100,18 +103,18 @@ class Node:
         for i, s in enumerate(self.searches):
             if s.found and s.found[0] <= miss * self.weight / self.shards:
                 del self.searches[i + 1 :]
-                if all(t.found for t in self.searches):
-                    self.cut = s.found[1]
-                return
+                break
         if all(s.found for s in self.searches):
-            self.cut = min((s.found for s in self.searches), key=lambda f: f[0])[1]
+            _, self.cut, self.left_rows = min((s.found for s in self.searches), key=lambda f: f[0])
+
 
+def leaf_of(root: Node, value) -> Column:
+    """The value (an integer) of the leaf that a row falls in; written as SQL, since a tree has many comparisons."""
 
-def leaf_of(node: Node, value) -> Column:
-    """The value of the leaf that a row falls in."""
-    if node.left is None:
-        return F.lit(value(node))
-    return F.when(node.cut.left(), leaf_of(node.left, value)).otherwise(leaf_of(node.right, value))
+    def text(node: Node) -> str:
+        return str(value(node)) if node.left is None else f"CASE WHEN {node.cut.left()} THEN {text(node.left)} ELSE {text(node.right)} END"
+
+    return F.expr(text(root))
 
 
 def _histograms(rows: DataFrame, root: Node, open_: list[tuple[Node, Search]]) -> dict[int, list[tuple]]:
@@ -126,17 +129,18 @@ def _histograms(rows: DataFrame, root: Node, open_: list[tuple[Node, Search]]) -
         keys = next(iter(of.values())).keys
 
         def by_node(value, none=-1):
-            return F.get(F.array(*(F.lit(value(of[k]) if k in of else none).cast("long") for k in range(len(nodes)))), F.col("node"))
-
-        depth, low = by_node(lambda s: len(s.fixed)), by_node(lambda s: s.low)
-        value = F.coalesce(*(F.when(depth == d, F.col(k).cast("long")) for d, k in enumerate(keys)))
-        inside = value.between(low, by_node(lambda s: s.high))
-        for d, k in enumerate(keys[: max(len(s.fixed) for s in of.values())]):
-            inside = inside & ((depth <= d) | (F.col(k) == by_node(lambda s: s.fixed[d] if d < len(s.fixed) else -1)))
-        number = F.get(F.array(*(F.lit(slot.get(k, -1)) for k in range(len(nodes)))), F.col("node"))
-        stacked += [F.when(inside, number), F.floor((value - low) / by_node(lambda s: s.width(bins), 1)), value]
+            return f"get(array({', '.join(f'{value(of[k]) if k in of else none}L' for k in range(len(nodes)))}), node)"
+
+        deepest = max(len(s.fixed) for s in of.values())
+        depth, low, high = by_node(lambda s: len(s.fixed)), by_node(lambda s: s.low), by_node(lambda s: s.high)
+        value = f"CASE {depth} {' '.join(f'WHEN {d} THEN CAST({k} AS BIGINT)' for d, k in enumerate(keys[: deepest + 1]))} END"
+        inside = [f"{value} BETWEEN {low} AND {high}"]
+        for d, k in enumerate(keys[:deepest]):
+            inside.append(f"({depth} <= {d} OR {k} = {by_node(lambda s: s.fixed[d] if d < len(s.fixed) else -1)})")
+        number = {id(s): slot[k] for k, s in of.items()}
+        stacked += [f"CASE WHEN {' AND '.join(inside)} THEN {by_node(lambda s: number[id(s)])} END", f"({value} - {low}) DIV {by_node(lambda s: s.width(bins), 1)}", value]
     rows = rows.withColumn("node", leaf_of(root, lambda n: nodes.get(id(n), -1)).cast("int")).filter("node >= 0")
-    rows = rows.select("size", F.stack(F.lit(len(slots)), *stacked).alias("search", "bin", "value")).filter("search is not null")
+    rows = rows.select("size", F.expr(f"stack({len(slots)}, {', '.join(stacked)}) AS (search, bin, value)")).filter("search is not null")
     out: dict[int, list[tuple]] = {}
     sums = F.sum("size").alias("w"), F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
     for r in sorted(rows.groupBy("search", "bin").agg(*sums).collect(), key=lambda r: r["lo"]):
@@ -150,33 +154,32 @@ def grow(rows: DataFrame, shards: int, dims: list[str], ties: list[str], toleran
     A cut may miss its quantile by ``tolerance`` of a shard; one that misses it by more than ``miss`` has other dimensions tried.
     """
     whole = rows.agg(F.count("*").alias("n"), *(f(d).alias(f"{n}_{d}") for d in dims for n, f in (("lo", F.min), ("hi", F.max)))).collect()[0]
-    root = Node(0, shards, {d: (whole[f"lo_{d}"], whole[f"hi_{d}"]) for d in dims}, rows=whole["n"])
+    root = Node(0, shards, whole["n"], {d: (whole[f"lo_{d}"], whole[f"hi_{d}"]) for d in dims})
     spread = {d: max(1, hi - lo) for d, (lo, hi) in root.ranges.items() if lo is not None}
     level = [root] if root.rows and shards > 1 else []
     while level:
         for part in [level[i : i + NODES] for i in range(0, len(level), NODES)]:
             for n in part:
-                n.searches = [Search([key, *(t for t in ties if t != key)], *n.ranges.get(key, HASHES)) for key in [*dims, ties[0]]]
+                n.searches = [Search([key, *(t for t in ties if t != key)], *n.ranges.get(key, HASHES), n.rows) for key in [*dims, ties[0]]]
             open_ = [(n, s) for n in part for s in n.searches]
             while open_:
                 found = _histograms(rows, root, open_)
+                new = {id(n) for n, _ in open_ if not n.weight}  # the first histograms hold all rows of their node
                 for i, (n, s) in enumerate(open_):
-                    if i in found and not n.weight:  # the first histograms hold all rows of their node
-                        n.weight, n.rows = sum(b[0] for b in found[i]), sum(b[1] for b in found[i])
-                for i, (n, s) in enumerate(open_):
-                    if i in found:
-                        if s.held is None and s.keys[0] in dims:
+                    if id(n) in new:
+                        n.weight = sum(b[0] for b in found[i])
+                        if s.keys[0] in dims:
                             n.ranges[s.keys[0]] = found[i][0][2], found[i][-1][3]
-                        s.narrow(found[i], n.weight * (n.shards // 2) / n.shards, n.weight / n.shards, tolerance, ties)
-                searching = [n for n in part if n.weight and n.cut is None]
+                    s.narrow(found[i], n.weight * (n.shards // 2) / n.shards, n.weight / n.shards, tolerance, ties)
+                searching = [n for n in part if n.cut is None]
                 for n in searching:
                     n.searches.sort(key=lambda s: (0, (n.ranges[s.keys[0]][0] - n.ranges[s.keys[0]][1]) / spread[s.keys[0]], dims.index(s.keys[0])) if s.keys[0] in dims else (1, 0, 0))
                     n.choose(miss)
                 open_ = [(n, s) for n in searching if n.cut is None for s in n.searches if s.found is None]
-        cut = [n for n in level if n.cut]  # others have no rows
-        for n in cut:
-            n.left, n.right = Node(n.first, n.shards // 2, dict(n.ranges)), Node(n.first + n.shards // 2, n.shards - n.shards // 2, dict(n.ranges))
-        level = [c for n in cut for c in (n.left, n.right) if c.shards > 1]
+        for n in level:
+            half = n.shards // 2
+            n.left, n.right = Node(n.first, half, n.left_rows, dict(n.ranges)), Node(n.first + half, n.shards - half, n.rows - n.left_rows, dict(n.ranges))
+        level = [c for n in level for c in (n.left, n.right) if c.shards > 1 and c.rows]
     return root
 
 
