@@ -242,15 +242,14 @@ def bm25_weights(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, names: np.nd
 
 
 def _pack(path: str, window: int, shard_tokens: int, shared_table, documents: int, mean: float, rows: int = 50_000):
-    """Lays out a range of keys as one shard, or as several in turn where it holds twice the tokens of a shard."""
+    """Lays out a range of keys, given in order of the key, as one shard, or as several in turn where it holds twice the tokens of a shard."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def lay(held: list[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
         tok = tokenizer_at(path)
         shard = pa.Table.from_batches(held)
         held.clear()
-        shard = shard.take(np.argsort(shard.column("key").to_numpy(), kind="stable")).combine_chunks()
-        doc_ids, column = shard.column("doc_id").to_pylist(), shard.column("ids").combine_chunks()
+        doc_ids, column = shard.column("doc_id").to_pylist(), shard.column("ids")
         long = pa.compute.binary_length(column).to_numpy().astype(np.int64) // tok.dtype.itemsize
         ids = np.concatenate([np.zeros(0, tok.dtype), *(np.frombuffer(x.as_buffer(), tok.dtype) for x in column)])
         del shard, column
@@ -301,7 +300,7 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id
     proportion to the input.  Up to that many tokens there is one shard and the
     search is exact; beyond, neighbours are as good as the lexical key brings
     them together (measured in the README).  The reference vectors behind the
-    key are fitted on about ``sample_rows`` documents drawn by a hash of the id, twice as many at most;
+    key are fitted on about ``sample_rows`` documents drawn by a hash of the id (of the text where it is null), twice as many at most;
     document frequencies count all documents, with words that share one of
     2**22 counters counted together.
     """
@@ -309,7 +308,8 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     total = rows.count()
-    sample = rows.filter(draw(F.col("doc_id"), "packing") < sample_rows / max(1, total)).limit(2 * sample_rows)
+    drawn = F.coalesce(F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
+    sample = rows.filter(draw(drawn, "packing") < sample_rows / max(1, total)).limit(2 * sample_rows)
     found = sample.mapInArrow(released(_entries(tokenizer_path)), "entries binary").toLocalIterator()
     vectors = spark.sparkContext.broadcast(references([np.frombuffer(r["entries"], "<u2") for r in found]))
     survey, schema = _survey(tokenizer_path, vectors)
@@ -319,6 +319,6 @@ def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id
     table = spark.sparkContext.broadcast(zlib.compress(count_table(shared, surveyed.filter("block is not null").select("block", "part", "counts"), SLOT_BITS).tobytes(), 1))
     shards = max(1, -(-((size["tokens"] or 0) + total) // shard_tokens))
     pack, schema = _pack(tokenizer_path, window, shard_tokens, table, total, (size["words"] or 0) / max(1, total))
-    # ranges hold as many rows each, so one of long documents may be cut again in its task
+    # ranges hold as many rows each, so one of long documents is cut again in its task, at places in the order of the key
     tokens = tokens.select("doc_id", "ids", (F.col("tokens") + 1).alias("tokens"), "key")
-    return tokens.repartitionByRange(shards, "key").mapInArrow(released(pack), schema)
+    return tokens.repartitionByRange(shards, "key").sortWithinPartitions("key").mapInArrow(released(pack), schema)

@@ -643,6 +643,27 @@ def topical(n=600, kinds=12):
     return [(i, " ".join(rnd.choice(words[8 + 16 * (i % kinds) :][:16] if rnd.random() < 0.6 else words[:8]) for _ in range(80))) for i in range(n)]
 
 
+def test_a_range_of_long_documents_is_cut_in_order_of_the_key(spark):
+    """Eight times as many tokens in one topic's rows as in all others', no ids: more shards than ranges, and every piece in its place."""
+    rnd = random.Random(11)
+    words = [["%s%d" % (t, i) for i in range(60)] for t in ("left", "right", "short")]
+    texts = [" ".join(rnd.choices(words[i % 3], k=8 if i % 3 == 2 else 200)) for i in range(240)]
+    packed = packing.pack_documents(spark, spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"), TOKENIZER, window=512, shard_tokens=9_000)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [key" in plan and plan.index("MapInArrow") < plan.index("Sort [key") < plan.index("rangepartitioning")
+    pieces, ids = defaultdict(list), 0
+    for r in collect(packed):
+        pieces[r["sequence_id"]].append((r["offset"], r["length"]))
+        ids += r["length"]
+    encoder = tokens.tokenizer_at(TOKENIZER)
+    assert ids == len(encoder.encode(pa.array(texts))[0]) + len(texts)
+    for some in pieces.values():
+        at = 0
+        for offset, length in sorted(some):
+            assert offset == at
+            at += length
+
+
 def test_shards_hold_a_seed_s_neighbours(spark):
     """Recall of the ten best neighbours over all documents, in the shard of the seed, where texts have topics."""
     rows = topical()
