@@ -89,7 +89,7 @@ def lexical_keys(ids: np.ndarray, long: np.ndarray, least: np.ndarray, vectors:
     return (key << LEAST_BITS | (least >> np.uint64(64 - LEAST_BITS)).astype(np.int64)) << ROW_BITS | (mix(row.astype(np.uint64)) >> np.uint64(64 - ROW_BITS)).astype(np.int64)
 
 
-def _tokenised(path: str, texts: pa.Array, step: int = 1 << 23) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _tokenised(path: str, texts: pa.Array, step: int = 1 << 22) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Ids and their numbers of texts [i, j), about ``step`` bytes at a time."""
     size = np.append(0, np.cumsum(pa.compute.binary_length(texts).to_numpy().astype(np.int64)))
     i = 0
@@ -106,6 +106,7 @@ def _entries(path: str):
         for b in batches:
             for _, _, ids, long in _tokenised(path, b.column("text")):
                 yield pa.RecordBatch.from_arrays([binary_of(features(ids).astype("<u2"), long).cast(pa.binary())], names=["entries"])
+        tokenizer_at(path).forget()  # a worker that waits for its next task holds no words
 
     return run
 
@@ -129,6 +130,7 @@ def _survey(path: str, shared_vectors):
                 at += j - i
                 none = pa.nulls(j - i, pa.int32())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), binary_of(ids, long).cast(pa.binary()), pa.array(long), pa.array(words), pa.array(key), none, none, pa.nulls(j - i, pa.binary())], names=names)
+        tokenizer_at(path).forget()
         for k, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64())] * 3, pa.array([k], pa.int32()), pa.array([me], pa.int32()), pa.array([packed(part)], pa.binary())], names=names)
@@ -145,6 +147,22 @@ def postings(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (pair >> 40).astype(np.int32), term.astype(np.int32), tf.astype(np.float32), names.astype(np.uint64) << np.uint64(24)
 
 
+def shard_postings(ids: np.ndarray, long: np.ndarray, final: np.ndarray, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The postings of a shard's documents and each one's number of words, from about ``step`` ids at a time: all that is held of the others are their postings."""
+    edge, i, found, words = np.append(0, np.cumsum(long)), 0, [], [np.zeros(0, np.int64)]
+    while i < len(long):
+        j = max(i + 1, int(np.searchsorted(edge, edge[i] + step, side="right")) - 1)
+        terms, own = word_terms(ids[edge[i] : edge[j]], long[i:j], final)
+        doc, *more = postings(terms, own)
+        found.append((doc + np.int32(i), *more))
+        words.append(own)
+        i = j
+    names = np.unique(np.concatenate([np.zeros(0, np.uint64), *(f[3] for f in found)]))
+    doc = np.concatenate([np.zeros(0, np.int32), *(f[0] for f in found)])
+    term = np.concatenate([np.zeros(0, np.int32), *(np.searchsorted(names, f[3]).astype(np.int32)[f[1]] for f in found)])
+    return doc, term, np.concatenate([np.zeros(0, np.float32), *(f[2] for f in found)]), names, np.concatenate(words)
+
+
 class Bm25:
     """Inverted index of some documents' postings; a query has all distinct terms of an indexed document.
 
@@ -154,19 +172,21 @@ class Bm25:
 
     def __init__(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, dense: int = 16):
         self.n, df = n, np.bincount(term) if len(term) else np.zeros(1, np.int64)
-        row = np.full(len(df), -1)
+        row = np.full(len(df), -1, dtype=np.int32)
         often = np.flatnonzero(df * dense > n) if n > dense else np.zeros(0, np.int64)
         row[often] = np.arange(len(often))
         common = row[term] >= 0
         self.matrix = np.zeros((len(often), n), dtype=np.float32)
         self.matrix[row[term[common]], doc[common]] = weight[common]
-        self.common, self.common_of = row[term[common]], np.searchsorted(doc[common], np.arange(n + 1))
-        own = ~common & (df[term] > 1)  # a term of one document finds no other
+        edges = np.arange(n + 1, dtype=doc.dtype)  # of one type with what they are sought in, which else is copied
+        self.common, self.common_of = row[term[common]], np.searchsorted(doc[common], edges)
+        own = ~common & (df > 1)[term]  # a term of one document finds no other
+        del common
         doc, term, weight = doc[own], term[own], weight[own]
-        self.term, self.term_of = term, np.searchsorted(doc, np.arange(n + 1))
+        self.term, self.term_of = term, np.searchsorted(doc, edges)
+        self.of = np.append(0, np.cumsum(np.bincount(term, minlength=len(df))))
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
-        self.of = np.searchsorted(term[order], np.arange(len(df) + 1))
 
     def scores(self, seeds: list[int]) -> Iterator[np.ndarray]:
         """BM25 of all documents for each seed."""
@@ -203,10 +223,13 @@ def chain(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, long: np.ndarra
     order, used = [], np.zeros(n, dtype=bool)
     while len(order) < n:
         live = np.flatnonzero(~used)
-        place = np.full(n, -1)
+        index = None  # before the next is made
+        if order:
+            keep = ~used[doc]
+            doc, term, weight = doc[keep], term[keep], weight[keep]
+            del keep
+        place = np.full(n, -1, dtype=np.int32)
         place[live] = np.arange(len(live))
-        keep = place[doc] >= 0
-        doc, term, weight = doc[keep], term[keep], weight[keep]
         index, ready, at, left = Bm25(place[doc], term, weight, len(live)), {}, 0, len(live)
         while left and (left > len(live) // 2 or left < 64):
             while used[live[at]]:
@@ -234,15 +257,22 @@ def chain(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, long: np.ndarra
     return np.array(order, dtype=np.int64)
 
 
-def bm25_weights(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, names: np.ndarray, words: np.ndarray, table: np.ndarray, documents: int, mean: float) -> np.ndarray:
-    """Weight of each posting; document frequencies are those of the count table over all documents."""
+def bm25_weights(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, names: np.ndarray, words: np.ndarray, table: np.ndarray, documents: int, mean: float, step: int = 1 << 19) -> np.ndarray:
+    """Weight of each posting, ``step`` of them at a time; document frequencies are those of the count table over all documents."""
     df = np.exp2(table[(names >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.float64) / SCALE)
     idf = np.log1p(np.maximum(0.0, documents - df + 0.5) / (df + 0.5))
-    return (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words[doc] / max(1e-9, mean)))).astype(np.float32)
+    out = np.empty(len(tf), dtype=np.float32)
+    for i in range(0, len(tf), step):
+        d, t, f = doc[i : i + step], term[i : i + step], tf[i : i + step]
+        out[i : i + step] = idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * words[d] / max(1e-9, mean)))
+    return out
+
 
+def _pack(path: str, window: int, shard_tokens: int, shared_table, documents: int, mean: float, rows: int = 10_000):
+    """Lays out a range of keys, given in order of the key, as one shard, or as several in turn where it holds twice the tokens of a shard.
 
-def _pack(path: str, window: int, shard_tokens: int, shared_table, documents: int, mean: float, rows: int = 50_000):
-    """Lays out a range of keys, given in order of the key, as one shard, or as several in turn where it holds twice the tokens of a shard."""
+    A shard ends with the document that brings it there, wherever a batch ends, so a task holds no more than that, however many rows come at once.
+    """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def lay(held: list[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
@@ -253,11 +283,12 @@ def _pack(path: str, window: int, shard_tokens: int, shared_table, documents: in
         long = pa.compute.binary_length(column).to_numpy().astype(np.int64) // tok.dtype.itemsize
         ids = np.concatenate([np.zeros(0, tok.dtype), *(np.frombuffer(x.as_buffer(), tok.dtype) for x in column)])
         del shard, column
-        doc, term, tf, terms = postings(*(found := word_terms(ids, long, tok.final)))
-        weight = bm25_weights(doc, term, tf, terms, found[1], np.frombuffer(zlib.decompress(shared_table.value), np.uint8), documents, mean)
-        del found, tf, terms
-        order = chain(doc, term, weight, long + 1, window, at % window)
-        del doc, term, weight
+
+        def weighted() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            doc, term, tf, terms, words = shard_postings(ids, long, tok.final)
+            return doc, term, bm25_weights(doc, term, tf, terms, words, np.frombuffer(zlib.decompress(shared_table.value), np.uint8), documents, mean)
+
+        order = chain(*weighted(), long + 1, window, at % window)  # which drops postings as it goes: none is named here
         edge, out, base = np.append(0, np.cumsum(long)), [], TaskContext.get().partitionId() << 32
         for i in order.tolist():
             whole, start = np.append(ids[edge[i] : edge[i + 1]].astype("<u4"), np.uint32(END_ID)).astype("<u4"), 0
@@ -274,11 +305,14 @@ def _pack(path: str, window: int, shard_tokens: int, shared_table, documents: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, tokens, at = [], 0, 0
         for b in batches:
-            held.append(b)
-            tokens += pa.compute.sum(b.column("tokens")).as_py() or 0
-            if tokens >= 2 * shard_tokens:
-                yield from lay(held, at)
-                at, tokens = at + tokens, 0
+            i, size = 0, np.append(0, np.cumsum(b.column("tokens").to_numpy()))
+            while i < b.num_rows:
+                j = min(b.num_rows, int(np.searchsorted(size, size[i] + 2 * shard_tokens - tokens)))
+                held.append(b.slice(i, j - i))
+                tokens, i = tokens + int(size[j] - size[i]), j
+                if tokens >= 2 * shard_tokens:
+                    yield from lay(held, at)
+                    at, tokens = at + tokens, 0
         if held and sum(b.num_rows for b in held):
             yield from lay(held, at)
 

@@ -84,6 +84,10 @@ class WordTokenizer:
             self.final[:] = True
         self._start()
 
+    def forget(self) -> None:
+        """Drops the words met so far, whose room a task that encodes nothing has a use for."""
+        self._start()
+
     @cached_property
     def tokenizer(self):
         """The library's tokenizer, loaded when a word needs it."""

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import types
 import zlib
 from collections import Counter, defaultdict
 
@@ -875,3 +876,33 @@ def test_exact_dedup_on_odd_rows(spark, odd_docs, no_docs, rows, options):
     got = Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in collect(exact_dedup.exact_dedup(spark, odd_docs, **options)))
     assert got == expected
     assert collect(exact_dedup.exact_dedup(spark, no_docs)) == []
+
+
+@pytest.mark.parametrize("batch", [1, 1000])
+def test_a_shard_ends_inside_a_batch(batch):
+    texts = pa.array([f"w{i % 7} some words of a text x{i}" for i in range(200)])
+    ids, long = tokens.tokenizer_at(TOKENIZER).encode(texts)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(200)), tokens.binary_of(ids, long).cast(pa.binary()), pa.array(long + 1)], names=["doc_id", "ids", "tokens"])
+    most, chain = [], packing.chain
+    table = types.SimpleNamespace(value=zlib.compress(bytes(1 << packing.SLOT_BITS)))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(packing, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+        m.setattr(packing, "chain", lambda *a: most.append(int(a[3].sum())) or chain(*a))
+        run, _ = packing._pack(TOKENIZER, 64, 150, table, 200, 7.0)
+        got = [r for b in run(iter([rows.slice(i, batch) for i in range(0, 200, batch)])) for r in b.to_pylist()]
+    assert sum(r["length"] for r in got) == int((long + 1).sum()) and {r["doc_id"] for r in got} == set(range(200))
+    assert max(most) < 300 + int(long.max()) + 1 and len(most) > 3
+
+
+def test_postings_of_parts_are_those_of_the_whole():
+    texts = pa.array(["", "a b a c", "c d", " ".join(f"x{i % 50}" for i in range(300)), "", "b"])
+    tok = tokens.tokenizer_at(TOKENIZER)
+    ids, long = tok.encode(texts)
+    terms, words = tokens.word_terms(ids, long, tok.final)
+    whole = *packing.postings(terms, words), words
+    for step in (1, 5, 1 << 20):
+        for a, b in zip(packing.shard_postings(ids, long, tok.final, step), whole, strict=True):
+            assert a.dtype == b.dtype and a.tolist() == b.tolist()
+    assert [len(x) for x in packing.shard_postings(ids[:0], long[:0], tok.final)] == [0] * 5
+    tok.forget()
+    assert [x.tolist() for x in tok.encode(texts)] == [ids.tolist(), long.tolist()]
