@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import BinaryIO
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyarrow import fs
@@ -47,10 +48,27 @@ class Client:
             context.check_hostname, context.verify_mode = False, ssl.CERT_NONE
         return context
 
+    def _file(self, url: str, limit: int | None, to: Callable[[], BinaryIO] | None) -> tuple[int, bytes]:
+        """A file of a file system that Arrow knows, as an answer: 200, or 404 where none is; a query isn't part of its path."""
+        files, path = fs.FileSystem.from_uri(url.partition("?")[0])
+        if files.get_file_info(path).type != fs.FileType.File:
+            return 404, b""
+        with files.open_input_stream(path) as answer:
+            if to is None:
+                return 200, answer.read() if limit is None else answer.read(limit)
+            with to() as f:
+                shutil.copyfileobj(answer, f)
+            return 200, b""
+
     def fetch(self, url: str, method: str = "GET", data: bytes | None = None, headers: dict[str, str] | None = None, limit: int | None = None, to: Callable[[], BinaryIO] | None = None) -> tuple[int, bytes]:
-        """Status and body; with ``to`` a good answer's body goes to the file that it opens, piece by piece, instead."""
+        """Status and body; with ``to`` a good answer's body goes to the file that it opens, piece by piece, instead.
+
+        Urls of other schemes than http and https name files.
+        """
         for attempt in range(self.retries + 1):
             try:
+                if urlsplit(url).scheme.lower() not in ("", "http", "https"):
+                    return self._file(url, limit, to)
                 request = urllib.request.Request(url, data=data, method=method, headers=headers or {})
                 with urllib.request.urlopen(request, timeout=self.timeout, context=self._context()) as answer:
                     if to is not None and 200 <= answer.status <= 299:
@@ -81,7 +99,6 @@ def file_name(url: str) -> str:
     """The name a url's download gets: its cleaned query, else the SHA-1 of the url."""
     import hashlib
     import re
-    from urllib.parse import urlsplit
 
     clean = re.sub("[^a-zA-Z0-9]+", "_", urlsplit(url).query)
     return clean or hashlib.sha1(url.encode()).hexdigest()
