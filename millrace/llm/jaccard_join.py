@@ -253,7 +253,10 @@ def _links(shared: Shared, docs: DataFrame, sets: DataFrame, pairs: DataFrame, w
     pairs = shared.keep(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_may_share(percent), "a long, b long"), f"{name}_pairs")
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
     wanted = shared.keep(sets.join(wanted, "sig", "left_semi").select("sig", F.col("row.doc_id").alias("w_id"), F.col("row.text_hash").alias("w_hash")), f"{name}_wanted")
-    if wanted.count() <= broadcast_rows:
+    count = wanted.count()
+    if not count:
+        return pairs, pairs
+    if count <= broadcast_rows:
         wanted = F.broadcast(wanted)
     texts = docs.join(wanted, (F.col("text_hash") == F.col("w_hash")) & F.col("doc_id").eqNullSafe(F.col("w_id")))
     texts = texts.groupBy("sig").agg(F.first("text").alias("text"))  # rows may repeat; each task sends one
@@ -299,7 +302,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     posted = docs.mapInArrow(released(_post(width, percent, bits, hot_rows, shared_table)), "owner long, key binary, sig binary, n binary, hub binary, at binary")
     members = posted.groupBy("owner").applyInPandas(_bucket(percent, hot_rows), "key long, sig long, n int, hub int, at int, leader long, leader_n int, leader_at int")
     members = shared.keep(members, "members")
-    shared_table.unpersist()
+    shared_table.destroy()
 
     # leaders of one key in several tasks: each is paired with the first of about its size, or of the next sizes
     heads = members.filter(F.col("sig") == F.col("leader")).filter(F.shiftrightunsigned("key", 56) > SCALE * float(np.log2(hot_rows)))
@@ -316,17 +319,19 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     blocks = F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")
     open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), blocks).filter("lo <> hi").select("key", "blocks")
     placed = shared.keep(placed.join(open_keys, "key"), "open")
-    # the smaller of two sets shares a key within its shorter prefix; it meets every block of its bucket
-    first = placed.filter(F.col("at") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
-    first = first.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    a = first.select("key", "block", *(F.col(c).alias(f"a_{c}") for c in ("sig", "n", "at", "root")))
-    b = placed.select("key", F.pmod("sig", "blocks").cast("int").alias("block"), *(F.col(c).alias(f"b_{c}") for c in ("sig", "n", "at", "root")))
-    smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_sig") < F.col("b_sig")))
-    gaps = a.join(b, (a["key"] == b["key"]) & (a["block"] == b["block"]) & (F.col("a_root") != F.col("b_root")) & smaller & may_link("a_n", "a_at", "b_n", "b_at", percent))
-    gaps = gaps.select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more, _ = _links(shared, docs, sets, gaps, width, percent, broadcast_rows, "gap")
-    edges = parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-    parts = shared.keep(connected_components(shared, edges, "cc"), "parts")
+    if not placed.isEmpty():
+        # the smaller of two sets shares a key within its shorter prefix; it meets every block of its bucket
+        first = placed.filter(F.col("at") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
+        first = first.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        a = first.select("key", "block", *(F.col(c).alias(f"a_{c}") for c in ("sig", "n", "at", "root")))
+        b = placed.select("key", F.pmod("sig", "blocks").cast("int").alias("block"), *(F.col(c).alias(f"b_{c}") for c in ("sig", "n", "at", "root")))
+        smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_sig") < F.col("b_sig")))
+        gaps = a.join(b, (a["key"] == b["key"]) & (a["block"] == b["block"]) & (F.col("a_root") != F.col("b_root")) & smaller & may_link("a_n", "a_at", "b_n", "b_at", percent))
+        gaps = gaps.select(F.least("a_sig", "b_sig").alias("a"), F.greatest("a_sig", "b_sig").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+        more, _ = _links(shared, docs, sets, gaps, width, percent, broadcast_rows, "gap")
+        if not more.isEmpty():
+            edges = parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+            parts = shared.keep(connected_components(shared, edges, "cc"), "parts")
 
     rooted = sets.select("sig", F.col("row.doc_id").alias("least"), "rows", "row").join(parts.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("rows").alias("rows"), F.min("row").alias("first"))

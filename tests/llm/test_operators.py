@@ -162,6 +162,35 @@ def test_components_of_a_long_path_and_a_hub(spark, hub_rows):
     assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(80)}
 
 
+def jobs_of(spark, name, run):
+    """The rows of a query, and how many jobs it took."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return collect(run()), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+
+
+@pytest.mark.parametrize("edges, roots, most", [([], {}, 8), ([(1, 2), (1, 3), (7, 9), (9, 7)], {1: 1, 2: 1, 3: 1, 7: 7, 9: 7}, 8), ([(1, 2), (2, 3)], {1: 1, 2: 1, 3: 1}, 20)])
+def test_settled_components_take_no_round(spark, edges, roots, most):
+    edges = spark.createDataFrame(edges, "a long, b long")
+    got, jobs = jobs_of(spark, f"components of {roots}", lambda: components.connected_components(Shared(spark, "test"), edges))
+    assert {r["node"]: r["root"] for r in got} == roots and jobs <= most
+
+
+def test_a_join_without_gaps_takes_few_jobs(spark):
+    """Two stars of near copies, and two texts that share a passage but aren't linked: every link is found in the first step."""
+    rnd = random.Random(3)
+    words = [[f"w{k}x{rnd.randrange(900)}" for _ in range(60)] for k in range(4)]
+    rows = [(10 * k + i, " ".join(w + ["end"] * i)) for k, w in enumerate(words[:2]) for i in range(3)]
+    rows += [(30, " ".join(words[2])), (40, " ".join(words[2][:20] + words[3][20:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got, jobs = jobs_of(spark, "join without gaps", lambda: jaccard_join.jaccard_components(spark, docs))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute_components(rows))
+    assert jobs <= 65
+
+
 # ---- 2 ----------------------------------------------------------------------
 
 
